@@ -1,0 +1,50 @@
+"""Written intermediate tables in the shared scratch folder."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
+
+CHECKPOINT_DIR = "spark.checkpoint.dir"
+_local_roots: dict[str, str] = {}
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """The shared folder the cluster names, or a temporary one in local mode."""
+    named = spark.conf.get(CHECKPOINT_DIR, None)
+    if named:
+        return named.rstrip("/")
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that every executor reaches")
+    app = spark.conf.get("spark.app.id", "local")
+    if app not in _local_roots:
+        _local_roots[app] = tempfile.mkdtemp(prefix="tickloom-")
+    return _local_roots[app]
+
+
+def fresh_path(spark: SparkSession, label: str) -> str:
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """`df` written once and read back, so that later passes do not recompute it.
+
+    The table survives the loss of executors. It is removed at the end.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, label)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        _remove(spark, path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
