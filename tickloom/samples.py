@@ -11,8 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.functions import civil_date, epoch_millis, plain_day
-from tickloom.operators import partition_keys
+from tickloom.functions import epoch_millis
+from tickloom.operators import (
+    accepted,
+    decode_envelope,
+    explode_snapshot,
+    normalize_ticks,
+    partition_keys,
+)
 from tickloom.plans.scratch import fresh_path
 from tickloom.schemas import FIELDS, TIME_KEY
 
@@ -115,6 +121,12 @@ def messages(events: DataFrame) -> DataFrame:
     )
 
 
+def ticks(events: DataFrame) -> DataFrame:
+    """The batch rows of all envelopes with a good status."""
+    rows = accepted(explode_snapshot(decode_envelope(raw_lines(events).select("value"))))
+    return normalize_ticks(rows, ZONE)
+
+
 def written(spark: SparkSession, sf_dir: str, name: str) -> str:
     """The path of an input, written once per application to the scratch folder."""
     key = (spark.conf.get("spark.app.id", "local"), sf_dir, name)
@@ -132,6 +144,8 @@ def written(spark: SparkSession, sf_dir: str, name: str) -> str:
             )
         elif name == "topic":
             messages(source).write.parquet(path)
+        elif name == "ticks":
+            ticks(source).write.parquet(path)
         else:
             raise ValueError(f"unknown input: {name}")
         _written[key] = path
