@@ -1,0 +1,326 @@
+"""Laws of the sinks and jobs."""
+
+import datetime as dt
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from tickloom.plans.jobs import daily_load, hourly_batch, land_hour
+from tickloom.plans.scratch import fresh_path
+from tickloom.schemas import BATCH, WAREHOUSE
+from tickloom.sinks import (
+    append_days,
+    compact_small_files,
+    merge_partitions,
+    overwrite_days,
+    replace_day,
+)
+from tickloom.sinks import merge as merge_module
+from tickloom.sources import read_days, read_optional, read_snapshots, read_ticks
+from tests.oracle import rows_of
+
+ZONE = "Asia/Seoul"
+
+
+def ticks(spark, *rows):
+    """Rows of (coin, time, closing price); the day is taken from the time."""
+    fields = [name for name in BATCH.names]
+    data = []
+    for coin, at, price in rows:
+        values = dict.fromkeys(fields)
+        day = None if at is None else dt.date.fromisoformat(at[:10])
+        values.update(coin=coin, timestamp=at, closing_price=price, dt=day)
+        data.append(tuple(values[name] for name in fields))
+    return spark.createDataFrame(data, BATCH)
+
+
+def content(df):
+    return rows_of(df.columns, [tuple(row) for row in df.collect()])
+
+
+D1 = ("A", "2024-01-01 10:00:00", 1.0)
+D2 = ("A", "2024-01-02 10:00:00", 2.0)
+D3 = ("B", "2024-01-03 10:00:00", 3.0)
+LATE = ("B", "2024-01-01 23:00:00", 9.0)
+
+
+@pytest.fixture(params=["true", "false"], ids=["adaptive", "static"])
+def any_planner(request, session_settings):
+    session_settings(adaptive=request.param)
+
+
+def test_merge_keeps_stored_rows_of_touched_and_other_days(spark, any_planner):
+    path = fresh_path(spark, "t")
+    merge_partitions(ticks(spark, D1, D2), path)
+    report = merge_partitions(ticks(spark, D2, D3, LATE), path)
+    assert report.days == tuple(dt.date(2024, 1, d) for d in (1, 2, 3))
+    assert content(read_ticks(spark, path)) == content(ticks(spark, D1, D2, D3, LATE))
+
+
+def test_merge_twice_is_merge_once(spark):
+    path = fresh_path(spark, "t")
+    new = ticks(spark, D1, D1, D2)
+    merge_partitions(new, path)
+    once = content(read_ticks(spark, path))
+    merge_partitions(new, path)
+    assert content(read_ticks(spark, path)) == once == content(ticks(spark, D1, D2))
+
+
+def test_merge_leaves_untouched_days_alone(spark):
+    path = fresh_path(spark, "t")
+    merge_partitions(ticks(spark, D1, D2, D3), path)
+    before = sorted(f for f in read_ticks(spark, path).inputFiles() if "dt=2024-01-01" not in f)
+    merge_partitions(ticks(spark, LATE), path)
+    after = sorted(f for f in read_ticks(spark, path).inputFiles() if "dt=2024-01-01" not in f)
+    assert before == after
+
+
+def test_merge_treats_nan_and_negative_zero_as_equal(spark):
+    path = fresh_path(spark, "t")
+    merge_partitions(ticks(spark, ("A", "2024-01-01 10:00:00", float("nan"))), path)
+    merge_partitions(
+        ticks(
+            spark,
+            ("A", "2024-01-01 10:00:00", float("nan")),
+            ("B", "2024-01-01 10:00:00", 0.0),
+            ("B", "2024-01-01 10:00:00", -0.0),
+        ),
+        path,
+    )
+    assert read_ticks(spark, path).count() == 2
+
+
+def test_merge_refuses_rows_without_a_day(spark):
+    path = fresh_path(spark, "t")
+    with pytest.raises(ValueError):
+        merge_partitions(ticks(spark, D1, ("A", None, 1.0)), path)
+    assert read_optional(spark, path).count() == 0
+
+
+def test_merge_of_nothing(spark):
+    path = fresh_path(spark, "t")
+    assert merge_partitions(ticks(spark), path).day_count == 0
+    assert read_optional(spark, path).count() == 0
+
+
+def test_merge_of_more_days_than_can_be_listed(spark, monkeypatch):
+    path = fresh_path(spark, "t")
+    merge_partitions(ticks(spark, D1, D2, D3), path)
+    monkeypatch.setattr(merge_module, "MAX_LISTED_DAYS", 2)
+    report = merge_partitions(ticks(spark, LATE, D2, D3), path)
+    assert (report.day_count, report.days) == (3, None)
+    assert content(read_ticks(spark, path)) == content(ticks(spark, D1, D2, D3, LATE))
+    with pytest.raises(ValueError):
+        merge_partitions(ticks(spark, LATE, D2, D3, ("A", None, 1.0)), path)
+
+
+def test_merge_over_many_days_packs_each_day(spark):
+    path = fresh_path(spark, "t")
+    rows = [("A", f"2024-01-{d:02d} 10:00:{s:02d}", 1.0) for d in range(1, 11) for s in range(20)]
+    merge_partitions(ticks(spark, *rows), path)
+    assert read_ticks(spark, path).count() == 200
+    assert len(read_ticks(spark, path).inputFiles()) == 10
+
+
+def test_a_hot_day_is_written_by_several_tasks(spark, session_settings):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8k")
+    try:
+        path = fresh_path(spark, "t")
+        rows = spark.range(60000).select(
+            F.concat(F.lit("C"), "id").alias("coin"),
+            F.when(F.col("id") < 20000, F.lit("2024-01-01")).otherwise(
+                F.concat(F.lit("2024-01-1"), F.col("id") % 10)
+            ).cast("date").alias("dt"),
+        )
+        overwrite_days(rows, path)
+        files = read_ticks(spark, path).inputFiles()
+        assert sum("dt=2024-01-01" in name for name in files) > 2
+        assert read_ticks(spark, path).count() == 60000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    session_settings(adaptive="false")
+    path = fresh_path(spark, "t")
+    overwrite_days(rows, path)
+    files = read_ticks(spark, path).inputFiles()
+    assert sum("dt=2024-01-01" in name for name in files) > 2
+    assert read_ticks(spark, path).count() == 60000
+
+
+def test_overwrite_touches_only_its_days(spark, any_planner):
+    path = fresh_path(spark, "t")
+    overwrite_days(ticks(spark, D1, D2), path)
+    overwrite_days(ticks(spark, LATE), path)
+    assert content(read_ticks(spark, path)) == content(ticks(spark, LATE, D2))
+
+
+def test_overwrite_may_read_its_own_table(spark):
+    path = fresh_path(spark, "t")
+    overwrite_days(ticks(spark, D1, D2), path)
+    overwrite_days(read_ticks(spark, path).unionByName(ticks(spark, LATE)), path)
+    assert content(read_ticks(spark, path)) == content(ticks(spark, D1, D2, LATE))
+
+
+def test_append_twice_doubles(spark, any_planner):
+    path = fresh_path(spark, "t")
+    append_days(ticks(spark, D1, D2), path)
+    append_days(ticks(spark, D1, D2), path, files=3)
+    assert content(read_ticks(spark, path)) == content(ticks(spark, D1, D1, D2, D2))
+
+
+@pytest.mark.parametrize("files", [None, 2])
+def test_replace_day_is_repeatable(spark, files):
+    path = fresh_path(spark, "t")
+    overwrite_days(ticks(spark, D1, D2), path)
+    for _ in range(2):
+        assert replace_day(ticks(spark, LATE, LATE, D3), path, "2024-01-01", files) == 2
+    assert content(read_ticks(spark, path)) == content(ticks(spark, LATE, LATE, D2))
+
+
+def test_replace_day_without_rows_empties_it(spark):
+    path = fresh_path(spark, "t")
+    overwrite_days(ticks(spark, D1, D2), path)
+    assert replace_day(ticks(spark, D2), path, "2024-01-01") == 0
+    assert content(read_ticks(spark, path)) == content(ticks(spark, D2))
+
+
+def test_optional_scan_hides_only_a_missing_path(spark):
+    path = fresh_path(spark, "t")
+    assert read_optional(spark, path).count() == 0
+    overwrite_days(ticks(spark, D1), path)
+    assert read_days(spark, path, ["2024-01-01", "2030-01-01"]).count() == 1
+    assert read_days(spark, path, ["2030-01-01"]).count() == 0
+    with pytest.raises(Exception, match="No FileSystem"):
+        read_optional(spark, path, path="nosuchscheme:///x")
+
+
+def test_missing_raw_root_is_an_error_but_a_missing_day_is_not(spark):
+    root = fresh_path(spark, "raw")
+    with pytest.raises(AnalysisException):
+        read_snapshots(spark, root, "2024-01-01")
+    spark.createDataFrame([("x", "2024-01-01")], "value string, dt string").write.partitionBy(
+        "dt"
+    ).text(root)
+    assert read_snapshots(spark, root, "2024-01-02").count() == 0
+    assert read_snapshots(spark, root, "2024-01-01", "2024-01-03").count() == 1
+    assert read_snapshots(spark, root, "1924-01-01", "2024-01-03").count() == 1
+
+
+def test_raw_days_with_and_without_dashes(spark):
+    root = fresh_path(spark, "raw")
+    spark.createDataFrame(
+        [("x", "20240101"), ("y", "2024-01-02"), ("z", "2024-01-01")], "value string, dt string"
+    ).write.partitionBy("dt").text(root)
+    rows = read_snapshots(spark, root, "2024-01-01").collect()
+    assert sorted(r.value for r in rows) == ["x", "z"]
+    assert {str(r.dt) for r in read_snapshots(spark, root).collect()} == {
+        "2024-01-01", "2024-01-02"
+    }
+
+
+def small_files(spark, docs):
+    root = fresh_path(spark, "small")
+    spark.createDataFrame(docs, "value string, dt string, hh string").write.option(
+        "maxRecordsPerFile", 1
+    ).partitionBy("dt", "hh").text(root)
+    return root
+
+
+DOCS = [
+    ('{"status": "0000",\r\n "data": {"A B": {"closing_price": "1"},\n"date": "1636000000123"}}',
+     "20211104", "13"),
+    ('{"status":"0000",\n"data":{"C":{"closing_price":"2"},"date":"1636000000123"}}',
+     "20211104", "13"),
+    ('{"status":"0000","data":{"D":{"closing_price":"3"},\t"date":"1635980000123"}}',
+     "20211104", "07"),
+]
+
+
+def test_compaction_keeps_every_document_as_one_line(spark, any_planner):
+    src, dst = small_files(spark, DOCS), fresh_path(spark, "lines")
+    for _ in range(2):
+        compact_small_files(spark, src, dst)
+    got = sorted(r.value for r in read_snapshots(spark, dst).collect())
+    assert got == sorted(
+        d[0].replace(" ", "").replace("\r", "").replace("\n", "") for d in DOCS
+    )
+
+
+def test_landing_one_hour_replaces_only_that_hour(spark):
+    src, dst = small_files(spark, DOCS), fresh_path(spark, "lines")
+    at = dt.datetime(2021, 11, 4, 4, 10)
+    assert land_hour(spark, src, dst, at, ZONE) == (dt.date(2021, 11, 4), 13)
+    assert read_snapshots(spark, dst).count() == 2
+    aware = dt.datetime(2021, 11, 3, 22, 10, tzinfo=dt.timezone.utc)
+    assert land_hour(spark, src, dst, aware, ZONE) == (dt.date(2021, 11, 4), 7)
+    land_hour(spark, src, dst, at, ZONE)
+    assert read_snapshots(spark, dst, "2021-11-04").count() == 3
+
+
+def test_from_small_files_to_batch_table(spark, any_planner):
+    src, raw, out = small_files(spark, DOCS), fresh_path(spark, "lines"), fresh_path(spark, "t")
+    compact_small_files(spark, src, raw)
+    for _ in range(2):
+        report = hourly_batch(spark, raw, out, ZONE, "2021-11-04", quarantine=f"{out}-q")
+        assert report.rejects == {}
+    rows = sorted((r.coin, r.timestamp, r.closing_price) for r in read_ticks(spark, out).collect())
+    assert rows == [
+        ("AB", "2021-11-04 13:26:40", 1.0),
+        ("C", "2021-11-04 13:26:40", 2.0),
+        ("D", "2021-11-04 07:53:20", 3.0),
+    ]
+
+
+def test_rejects_follow_their_raw_day(spark):
+    raw, out = fresh_path(spark, "raw"), fresh_path(spark, "t")
+    good = DOCS[2][0]
+    schema = "value string, dt string"
+
+    def land(*rows):
+        spark.createDataFrame(list(rows), schema).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy("dt").text(raw)
+
+    def rejects():
+        table = spark.read.schema("reason string, coin string, body string, dt date")
+        return sorted((str(r.dt), r.reason, r.body) for r in table.parquet(f"{out}-q").collect())
+
+    land((good, "2021-11-04"), ("garbage", "2021-11-04"), ("rubbish", "2021-11-05"))
+    report = hourly_batch(spark, raw, out, ZONE, quarantine=f"{out}-q")
+    assert report.rejects == {"status": 2}
+    assert rejects() == [
+        ("2021-11-04", "status", "garbage"), ("2021-11-05", "status", "rubbish")
+    ]
+    land((good, "2021-11-04"))
+    hourly_batch(spark, raw, out, ZONE, "2021-11-04", quarantine=f"{out}-q")
+    assert rejects() == [("2021-11-05", "status", "rubbish")]
+    assert read_ticks(spark, out).count() == 1
+
+
+def test_stray_old_row_in_a_raw_day_does_not_wipe_its_day(spark):
+    raw, out = fresh_path(spark, "raw"), fresh_path(spark, "t")
+    old = '{"status":"0","data":{"A":{"closing_price":"1"},"date":"1635700000000"}}'
+    stray = '{"status":"0","data":{"B":{"closing_price":"1"},"date":"1635700000000"}}'
+    spark.createDataFrame(
+        [(old, "2021-11-01"), (DOCS[2][0], "2021-11-04"), (stray, "2021-11-04")],
+        "value string, dt string",
+    ).write.partitionBy("dt").text(raw)
+    hourly_batch(spark, raw, out, ZONE, "2021-11-01")
+    hourly_batch(spark, raw, out, ZONE, "2021-11-04")
+    assert sorted(r.coin for r in read_ticks(spark, out).collect()) == ["A", "B", "D"]
+
+
+@pytest.mark.parametrize("mode, copies", [("replace", 1), ("append", 2)])
+def test_daily_load_twice(spark, mode, copies):
+    out = fresh_path(spark, "w")
+    message = '{"coin":"A","date":"1636000000123","closing_price":"1.5"}'
+    other = '{"coin":"A","date":"1636100000123","closing_price":"1.5"}'
+    topic = spark.createDataFrame(
+        [(text,) for text in (message, message, other, "garbage")], "value string"
+    ).select(F.col("value").cast("binary"))
+    for _ in range(2):
+        daily_load(topic, out, "2021-11-04", ZONE, mode, files=2)
+    rows = read_ticks(spark, out, WAREHOUSE).collect()
+    assert [r.timestamp for r in rows] == ["1636000000"] * 2 * copies
+    with pytest.raises(ValueError):
+        daily_load(topic, out, "2021-11-04", ZONE, "other")

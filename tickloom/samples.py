@@ -136,8 +136,11 @@ def written(spark: SparkSession, sf_dir: str, name: str) -> str:
         if name == "lines":
             raw_lines(source).write.partitionBy("dt").text(path)
         elif name == "documents":
+            # A file per document: many small writes, so a fixed number of tasks.
+            tasks = 4 * spark.sparkContext.defaultParallelism
             (
                 documents(source)
+                .repartition(tasks, "dt", "hh")
                 .write.option("maxRecordsPerFile", 1)
                 .partitionBy("dt", "hh")
                 .text(path)
