@@ -20,7 +20,7 @@ from tickloom.operators import (
 from tickloom.plans.scratch import staged
 from tickloom.schemas import BATCH
 from tickloom.sinks import append_days, compact_small_files, merge_partitions, replace_day
-from tickloom.sinks.days import _overwrite
+from tickloom.sinks.days import overwrite_days
 from tickloom.sinks.merge import MergeReport
 from tickloom.sources import read_snapshots
 
@@ -89,7 +89,7 @@ def _replace_quarantine(
     if day is not None and until is None:
         replace_day(bad, path, day, stage=False)
     else:
-        _overwrite(bad.hint("rebalance", "dt"), path, "dt")
+        overwrite_days(bad, path)
 
 
 def warehouse_rows(messages: DataFrame, zone: str) -> DataFrame:

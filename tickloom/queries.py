@@ -50,6 +50,12 @@ from tickloom.sources import (
     read_ticks,
     read_topic,
 )
+from tickloom.streaming import (
+    stream_batch_layer,
+    stream_lines,
+    stream_topic,
+    stream_warehouse,
+)
 
 DAY = "2024-01-15"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -437,3 +443,26 @@ def warehouse_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily_load(topic, path, DAY, ZONE)
     daily_load(topic, path, DAY, ZONE)
     return read_ticks(spark, path, WAREHOUSE)
+
+
+# --- incremental loads -------------------------------------------------------
+
+
+@check("batch_stream", f"{_TICKS} select distinct {_BATCH} from ticks")
+def batch_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "batch")
+    lines = stream_lines(spark, samples.written(spark, sf_dir, "lines"))
+    for _ in range(2):
+        query = stream_batch_layer(lines, path, f"{path}-state", ZONE)
+        query.awaitTermination()
+    return read_ticks(spark, path)
+
+
+@check("warehouse_stream", _WAREHOUSE)
+def warehouse_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "warehouse")
+    messages = stream_topic(spark, samples.written(spark, sf_dir, "topic"))
+    for _ in range(2):
+        query = stream_warehouse(messages, path, f"{path}-state", ZONE)
+        query.awaitTermination()
+    return read_ticks(spark, path, WAREHOUSE)

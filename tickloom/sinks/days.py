@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame
 
 from tickloom.operators.ticks import day_slice
 from tickloom.plans.scratch import staged
-from tickloom.sinks.layout import spread
-from tickloom.sources.paths import as_date
+from tickloom.sinks.layout import packed, spread
+from tickloom.sources.paths import as_date, no_rows
 
 
-def _overwrite(df: DataFrame, path: str, *keys: str, fmt: str = "parquet") -> None:
+def write_dynamic(df: DataFrame, path: str, *keys: str, fmt: str = "parquet") -> None:
+    """Replaces the partitions that occur in `df`, with its rows where they are."""
     # The mode is set on the write: a session without the setting would
     # otherwise drop the whole table.
     (
@@ -24,13 +25,13 @@ def _overwrite(df: DataFrame, path: str, *keys: str, fmt: str = "parquet") -> No
     )
 
 
-def overwrite_days(df: DataFrame, path: str, spread_rows: bool = True) -> None:
+def overwrite_days(df: DataFrame, path: str) -> None:
     """Replaces the days that occur in `df`, and no others.
 
     The new files are staged and swapped in at the end, so `df` may read the
     table it replaces.
     """
-    _overwrite(spread(df, "dt") if spread_rows else df, path, "dt")
+    write_dynamic(spread(df, "dt"), path, "dt")
 
 
 def append_days(df: DataFrame, path: str, files: int | None = None) -> None:
@@ -52,8 +53,8 @@ def replace_day(
     """Makes `df`'s rows of `day` the whole content of that day; gives their number.
 
     Safe to repeat. Without rows the day ends up empty. The slice is staged, which
-    gives its size from file footers and, read back, tasks of even size, so that
-    the final write needs no shuffle. Pass `stage=False` for a plain table scan.
+    gives its number of rows from file footers and its size for the final write,
+    which so needs no shuffle. Pass `stage=False` for a plain table scan.
     """
     rows = day_slice(df, day)
     if not stage:
@@ -65,9 +66,9 @@ def replace_day(
 def _replace(rows: DataFrame, path: str, day: dt.date | str, files: int | None) -> int:
     count = rows.count()
     if count:
-        _overwrite(rows if files is None else rows.repartition(files), path, "dt")
+        write_dynamic(packed(rows) if files is None else rows.repartition(files), path, "dt")
     else:
         # A dynamic overwrite leaves a day alone when it gets no rows for it.
-        empty = rows.sparkSession.createDataFrame([], rows.drop("dt").schema)
+        empty = no_rows(rows.sparkSession, rows.drop("dt").schema)
         empty.write.mode("overwrite").parquet(f"{path.rstrip('/')}/dt={as_date(day)}")
     return count

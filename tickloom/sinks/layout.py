@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 # Write tasks per key where the runtime cannot split a hot one itself.
 SALTS = 32
 
+# Input bytes per write task where no shuffle sizes the tasks.
+TASK_BYTES = 128 * 1024 * 1024
+MAX_TASKS = 1_000_000
+
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Gathers rows by `keys` for the writer, without one task per hot key.
@@ -17,6 +21,17 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     by the row's own values, so that a recomputed task gets the same rows.
     """
     if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
-        return df.hint("rebalance", *keys) if keys else df.hint("rebalance")
+        return df.hint("rebalance", *keys)
     rest = [name for name in df.columns if name not in keys]
     return df.repartition(*keys, F.pmod(F.xxhash64(*rest), F.lit(SALTS)))
+
+
+def packed(df: DataFrame) -> DataFrame:
+    """Joins small tasks into fewer, fuller ones without a shuffle.
+
+    A wide cluster reads a small day in thousands of slivers, and each would
+    become a file. The size comes from the plan, which knows its files' lengths;
+    where it does not, the size is huge and the tasks stay as they are.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.coalesce(min(max(1, -(-size // TASK_BYTES)), MAX_TASKS))

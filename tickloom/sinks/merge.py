@@ -11,13 +11,14 @@ from pyspark.sql.types import StructType
 from tickloom.operators.sets import dedupe_exact, union_prior
 from tickloom.plans.scratch import staged
 from tickloom.schemas import BATCH
-from tickloom.sinks.days import overwrite_days
+from tickloom.sinks.days import overwrite_days, write_dynamic
+from tickloom.sinks.layout import packed
 from tickloom.sources.paths import MAX_LISTED_DAYS
 from tickloom.sources.tables import read_days, read_optional
 
-# Up to this many days the dedupe's own partitioning is written as it is: each
-# task holds some rows of every day, so its files per task are at most this many
-# and a second shuffle of all rows is saved.
+# Up to this many days the dedupe's own tasks are written as they are, joined to
+# a good size. Each holds rows of every day, so it writes at most this many
+# files, and a second shuffle of all rows is saved.
 FEW_DAYS = 4
 
 
@@ -62,7 +63,10 @@ def _merge(new: DataFrame, path: str, schema: StructType) -> MergeReport:
         # Calendar days number a few million at most, so this stays a small join.
         stored = read_optional(spark, path, schema).join(touched, "dt", "left_semi")
     merged = dedupe_exact(union_prior(stored.select(*schema.names), new))
-    overwrite_days(merged, path, spread_rows=len(listed) > FEW_DAYS)
+    if len(listed) <= FEW_DAYS:
+        write_dynamic(packed(merged), path, "dt")
+    else:
+        overwrite_days(merged, path)
     if listable:
         return MergeReport(len(listed), tuple(sorted(listed)))
     return MergeReport(touched.count(), None)

@@ -12,6 +12,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 # Longest list of days that is written into a glob or an IN list. Beyond it the
@@ -43,6 +44,12 @@ def is_missing_path(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
+def no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
+    """An empty table that the optimizer knows to be empty."""
+    nulls = [F.lit(None).cast(field.dataType).alias(field.name) for field in schema]
+    return spark.range(0).select(*nulls)
+
+
 def scan(
     spark: SparkSession,
     fmt: str,

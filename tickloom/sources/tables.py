@@ -17,6 +17,7 @@ from tickloom.sources.paths import (
     as_date,
     days_glob,
     is_missing_path,
+    no_rows,
     scan,
 )
 
@@ -46,7 +47,7 @@ def read_optional(
     except AnalysisException as error:
         if not is_missing_path(error):
             raise
-        return spark.createDataFrame([], schema)
+        return no_rows(spark, schema)
 
 
 def read_days(
@@ -58,7 +59,7 @@ def read_days(
     """
     wanted = sorted({as_date(day) for day in days})
     if not wanted:
-        return spark.createDataFrame([], schema)
+        return no_rows(spark, schema)
     path = days_glob(root, wanted) if len(wanted) <= MAX_LISTED_DAYS else None
     stored = read_optional(spark, root, schema, path)
     return stored.where(F.col("dt").isin([F.lit(day) for day in wanted]))
