@@ -17,7 +17,13 @@ from tickloom.sinks import (
     replace_day,
 )
 from tickloom.sinks import merge as merge_module
-from tickloom.sources import read_days, read_optional, read_snapshots, read_ticks
+from tickloom.sources import (
+    read_days,
+    read_optional,
+    read_snapshots,
+    read_ticks,
+    topic_reader_options,
+)
 from tests.oracle import rows_of
 
 ZONE = "Asia/Seoul"
@@ -324,3 +330,30 @@ def test_daily_load_twice(spark, mode, copies):
     assert [r.timestamp for r in rows] == ["1636000000"] * 2 * copies
     with pytest.raises(ValueError):
         daily_load(topic, out, "2021-11-04", ZONE, "other")
+
+
+def test_daily_load_keeps_messages_without_a_time_apart(spark):
+    out = fresh_path(spark, "w")
+    good = '{"coin":"A","date":"1636000000123","closing_price":"1.5"}'
+    texts = [good, '{"coin":"A","date":"1636100000123"}', "garbage", '{"coin":"B","date":"x"}']
+    for found in (texts, texts, texts[:3]):
+        topic = spark.createDataFrame([(text,) for text in found], "value string").select(
+            F.col("value").cast("binary")
+        )
+        daily_load(topic, out, "2021-11-04", ZONE, quarantine=f"{out}-q")
+        assert [r.coin for r in read_ticks(spark, out, WAREHOUSE).collect()] == ["A"]
+        table = spark.read.schema("reason string, body string, dt date").parquet(f"{out}-q")
+        expected = [("message", "garbage"), ("time", '{"coin":"B","date":"x"}')]
+        assert sorted((r.reason, r.body) for r in table.collect()) == [
+            pair for pair in expected if pair[1] in found
+        ]
+
+
+def test_topic_bounds():
+    server = {"kafka.bootstrap.servers": "h:1", "subscribe": "ticks"}
+    assert topic_reader_options(server) == server
+    bounded = topic_reader_options(server, "2021-11-04", ZONE, dt.timedelta(hours=2))
+    assert bounded["startingTimestamp"] == "1635944400000"  # 2021-11-03 13:00 UTC
+    assert "endingTimestamp" not in bounded
+    with pytest.raises(ValueError):
+        topic_reader_options(server, slack=dt.timedelta(hours=2))

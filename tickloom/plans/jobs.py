@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass, field
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from tickloom.operators import (
     rejected,
 )
 from tickloom.plans.scratch import staged
-from tickloom.schemas import BATCH
+from tickloom.schemas import BATCH, FIELDS, TIME_KEY, WAREHOUSE
 from tickloom.sinks import append_days, compact_small_files, merge_partitions, replace_day
 from tickloom.sinks.days import overwrite_days
 from tickloom.sinks.merge import MergeReport
@@ -38,8 +39,6 @@ def land_hour(
 
     Gives the day and hour in `zone`.
     """
-    from zoneinfo import ZoneInfo
-
     aware = instant if instant.tzinfo else instant.replace(tzinfo=dt.timezone.utc)
     wall = aware.astimezone(ZoneInfo(zone))
     compact_small_files(spark, src, dst, wall.date(), wall.hour)
@@ -104,15 +103,46 @@ def daily_load(
     zone: str,
     mode: str = "replace",
     files: int | None = None,
+    quarantine: str | None = None,
 ) -> None:
     """Loads the messages of one civil day into the warehouse table.
 
     `replace` is safe to repeat; `append` adds the rows once more on each run.
+    Messages without a usable time belong to no day. With `quarantine` the run
+    keeps them in that table, under the day it loads.
     """
-    rows = warehouse_rows(messages, zone)
+    if mode not in ("append", "replace"):
+        raise ValueError(f"unknown mode: {mode}")
+    if quarantine is None:
+        _load_day(warehouse_rows(messages, zone), out, day, mode, files)
+        return
+    with staged(_day_and_rejects(messages, day, zone), "daily") as rows:
+        _load_day(rows.select(*WAREHOUSE.names), out, day, mode, files, stage=False)
+        bad = rows.where(F.col("dt").isNull()).select(
+            "reason", "body", F.lit(str(day)).cast("date").alias("dt")
+        )
+        replace_day(bad, quarantine, day, stage=False)
+
+
+def _load_day(
+    rows: DataFrame, out: str, day: dt.date | str, mode: str, files: int | None, stage: bool = True
+) -> None:
     if mode == "append":
         append_days(day_slice(rows, day), out, files)
-    elif mode == "replace":
-        replace_day(rows, out, day, files)
     else:
-        raise ValueError(f"unknown mode: {mode}")
+        replace_day(rows, out, day, files, stage)
+
+
+def _day_and_rejects(messages: DataFrame, day: dt.date | str, zone: str) -> DataFrame:
+    flat = decode_flat(messages, keep=("value",)).withColumn(
+        "_empty", F.coalesce(*FIELDS, "coin", TIME_KEY).isNull()
+    )
+    rows = normalize_ticks(flat, zone, "warehouse", keep=("value", "_empty"))
+    timeless = F.col("dt").isNull()
+    return rows.where(timeless | (F.col("dt") == F.lit(str(day)).cast("date"))).select(
+        *WAREHOUSE.names,
+        F.when(timeless & F.col("_empty"), F.lit("message"))
+        .when(timeless, F.lit("time"))
+        .alias("reason"),
+        F.when(timeless, F.col("value").cast("string")).alias("body"),
+    )

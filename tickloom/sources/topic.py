@@ -29,7 +29,7 @@ def topic_reader_options(
     arrived no earlier than `slack` before the day. It has no upper bound, so
     late messages of the day are always read.
     """
-    bounded = {"includeHeaders": "true", **options}
+    bounded = dict(options)
     if slack is not None:
         if day is None or zone is None:
             raise ValueError("slack needs day and zone")
