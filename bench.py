@@ -26,7 +26,7 @@ from tickloom.operators import (
     partition_counts,
 )
 from tickloom.plans.jobs import daily_load, hourly_batch, warehouse_rows
-from tickloom.plans.scratch import fresh_path
+from tickloom.scratch import fresh_path
 from tickloom.samples import ZONE
 from tickloom.schemas import BATCH, FIELDS
 from tickloom.sinks import append_days, compact_small_files, merge_partitions, overwrite_days

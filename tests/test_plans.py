@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tickloom import samples
 from tickloom.operators import accepted, dedupe_exact
 from tickloom.plans.jobs import batch_rows, warehouse_rows
-from tickloom.plans.scratch import fresh_path
+from tickloom.scratch import fresh_path
 from tickloom.sinks import overwrite_days
 from tickloom.sources import read_days, read_snapshots, read_ticks, read_topic
 
@@ -42,6 +42,14 @@ def test_one_day_of_raw_lines_lists_one_day(spark):
     assert one.count() == read_snapshots(spark, path).where("dt = date'2024-01-15'").count() > 0
 
 
+def test_a_filter_on_raw_days_prunes_files(spark):
+    lines = read_snapshots(spark, samples.written(spark, SF_DIR, "lines"))
+    executed = lines.where("dt = date'2024-01-15'")._jdf.queryExecution().executedPlan()
+    assert executed.execute().count() > 0
+    scan = executed.collectLeaves().head()
+    assert scan.metrics().apply("numFiles").value() == 1
+
+
 def test_day_predicate_prunes_partitions(spark):
     path = fresh_path(spark, "table")
     overwrite_days(samples.ticks(samples.events(spark, SF_DIR)), path)

@@ -19,3 +19,9 @@ def test_query_matches_its_sql(spark, db, name):
 
 def test_entry_gives_rows(spark):
     assert driver.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", sorted(driver.queries()))
+def test_query_in_another_session(spark, db, session_settings, name):
+    session_settings(zone="America/New_York", ansi="false", adaptive="false")
+    compare(driver.queries()[name](spark, SF_DIR), db, driver.oracle_sql()[name])

@@ -7,7 +7,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tickloom.plans.jobs import daily_load, hourly_batch, land_hour
-from tickloom.plans.scratch import fresh_path
+from tickloom.scratch import fresh_path
 from tickloom.schemas import BATCH, WAREHOUSE
 from tickloom.sinks import (
     append_days,
@@ -224,6 +224,23 @@ def test_raw_days_with_and_without_dashes(spark):
     }
 
 
+def test_hours_as_files_and_as_directories_in_one_root(spark):
+    root = fresh_path(spark, "raw")
+    for name, value in (("dt=2024-01-01", "old"), ("dt=2024-01-02", "old"),
+                        ("dt=2024-01-01/hh=13", "new")):
+        spark.createDataFrame([(value,)], "value string").write.mode("append").text(
+            f"{root}/{name}"
+        )
+    for rows in (
+        read_snapshots(spark, root, "2024-01-01"),
+        read_snapshots(spark, root).where("dt = date'2024-01-01'"),
+    ):
+        assert sorted((str(r.dt), r.value) for r in rows.collect()) == [
+            ("2024-01-01", "new"), ("2024-01-01", "old")
+        ]
+    assert read_snapshots(spark, root).count() == 3
+
+
 def small_files(spark, docs):
     root = fresh_path(spark, "small")
     spark.createDataFrame(docs, "value string, dt string, hh string").write.option(

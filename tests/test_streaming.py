@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tickloom import samples
 from tickloom.plans.jobs import hourly_batch, warehouse_rows
-from tickloom.plans.scratch import fresh_path
+from tickloom.scratch import fresh_path
 from tickloom.samples import ZONE
 from tickloom.schemas import TOPIC, WAREHOUSE
 from tickloom.sources import read_ticks

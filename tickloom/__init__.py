@@ -1 +1,67 @@
 """Market-tick ingestion on Spark: snapshots and topic messages to day-partitioned tables."""
+
+from tickloom.operators import (
+    accepted,
+    day_range,
+    day_slice,
+    decode_envelope,
+    decode_flat,
+    dedupe_exact,
+    explode_snapshot,
+    normalize_ticks,
+    partition_counts,
+    partition_keys,
+    previous_day,
+    rejected,
+    status_filter,
+    union_prior,
+)
+from tickloom.plans.jobs import daily_load, hourly_batch, land_hour
+from tickloom.sinks import (
+    append_days,
+    compact_small_files,
+    merge_partitions,
+    overwrite_days,
+    replace_day,
+)
+from tickloom.sources import (
+    partition_filter,
+    read_days,
+    read_documents,
+    read_optional,
+    read_snapshots,
+    read_ticks,
+    read_topic,
+)
+
+__all__ = [
+    "accepted",
+    "append_days",
+    "compact_small_files",
+    "daily_load",
+    "day_range",
+    "day_slice",
+    "decode_envelope",
+    "decode_flat",
+    "dedupe_exact",
+    "explode_snapshot",
+    "hourly_batch",
+    "land_hour",
+    "merge_partitions",
+    "normalize_ticks",
+    "overwrite_days",
+    "partition_counts",
+    "partition_filter",
+    "partition_keys",
+    "previous_day",
+    "read_days",
+    "read_documents",
+    "read_optional",
+    "read_snapshots",
+    "read_ticks",
+    "read_topic",
+    "rejected",
+    "replace_day",
+    "status_filter",
+    "union_prior",
+]

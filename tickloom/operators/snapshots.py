@@ -29,11 +29,13 @@ def status_filter(df: DataFrame, ok_status: int = 0, column: str = "status") ->
     return df.where(_status_ok(F.col(column), ok_status))
 
 
-def decode_envelope(lines: DataFrame, ok_status: int = 0) -> DataFrame:
+def decode_envelope(
+    lines: DataFrame, ok_status: int = 0, reserved: str = TIME_KEY
+) -> DataFrame:
     """Raw lines (`value`) to `status`, `timestamp`, `payload` and `reason`.
 
     `payload` maps each key to its JSON text, `timestamp` is the snapshot's epoch
-    text. `reason` is null for a good snapshot, `status` for a line that is no
+    text, found under the key `reserved`. `reason` is null for a good snapshot, `status` for a line that is no
     JSON or has another status, `payload` for a good status without an object,
     `time` for a payload without a usable snapshot time.
     """
@@ -46,7 +48,7 @@ def decode_envelope(lines: DataFrame, ok_status: int = 0) -> DataFrame:
             F.col("_envelope.status").alias("status"),
             last_wins(F.col("_envelope.data")).alias("payload"),
         )
-        .withColumn("timestamp", F.col("payload").getItem(TIME_KEY))
+        .withColumn("timestamp", F.col("payload").getItem(reserved))
     )
     seconds = seconds_from_millis(F.col("timestamp"))
     return parsed.withColumn(
@@ -57,7 +59,9 @@ def decode_envelope(lines: DataFrame, ok_status: int = 0) -> DataFrame:
     )
 
 
-def explode_snapshot(snapshots: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
+def explode_snapshot(
+    snapshots: DataFrame, fields: tuple[str, ...] = FIELDS, reserved: str = TIME_KEY
+) -> DataFrame:
     """Decoded snapshots to one row per instrument.
 
     Gives the columns that came with the lines, then `coin`, `timestamp` (the
@@ -75,7 +79,7 @@ def explode_snapshot(snapshots: DataFrame, fields: tuple[str, ...] = FIELDS) ->
         F.explode(F.when(F.col("reason").isNull(), F.col("payload")).otherwise(whole_line)).alias(
             "_key", "_text"
         ),
-    ).where(F.col("_key") != TIME_KEY)
+    ).where(F.col("_key") != reserved)
     is_object = F.coalesce(F.startswith("_text", F.lit("{")), F.lit(False))
     # One expression over a generated column: a filter on it stays above the
     # generator. Below it, every line would be parsed once more.

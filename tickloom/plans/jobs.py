@@ -18,7 +18,7 @@ from tickloom.operators import (
     normalize_ticks,
     rejected,
 )
-from tickloom.plans.scratch import staged
+from tickloom.scratch import staged
 from tickloom.schemas import BATCH, FIELDS, TIME_KEY, WAREHOUSE
 from tickloom.sinks import append_days, compact_small_files, merge_partitions, replace_day
 from tickloom.sinks.days import overwrite_days

@@ -31,7 +31,7 @@ from tickloom.operators import (
     union_prior,
 )
 from tickloom.plans.jobs import daily_load, hourly_batch, warehouse_rows
-from tickloom.plans.scratch import fresh_path
+from tickloom.scratch import fresh_path
 from tickloom.samples import ZONE
 from tickloom.schemas import BATCH, FIELDS, TIME_KEY, WAREHOUSE
 from tickloom.sinks import (

@@ -19,7 +19,7 @@ from tickloom.operators import (
     normalize_ticks,
     partition_keys,
 )
-from tickloom.plans.scratch import fresh_path
+from tickloom.scratch import fresh_path
 from tickloom.schemas import FIELDS, TIME_KEY
 
 ZONE = "Asia/Seoul"

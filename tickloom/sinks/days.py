@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 
 from tickloom.operators.ticks import day_slice
-from tickloom.plans.scratch import staged
+from tickloom.scratch import staged
 from tickloom.sinks.layout import packed, spread
 from tickloom.sources.paths import as_date, no_rows
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
 from tickloom.operators.sets import dedupe_exact, union_prior
-from tickloom.plans.scratch import staged
+from tickloom.scratch import staged
 from tickloom.schemas import BATCH
 from tickloom.sinks.days import overwrite_days, write_dynamic
 from tickloom.sinks.layout import packed

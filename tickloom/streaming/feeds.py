@@ -10,23 +10,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tickloom.functions import dashed_day
 from tickloom.operators import accepted, rejected
 from tickloom.plans.jobs import batch_rows, warehouse_rows
-from tickloom.plans.scratch import staged
+from tickloom.scratch import staged
 from tickloom.schemas import BATCH, TOPIC
 from tickloom.sinks import merge_partitions
-from tickloom.sources.files import LINES
+from tickloom.sources.files import LINES, dated_by_path
 
 
 def stream_lines(
     spark: SparkSession, root: str, max_files: int | None = None
 ) -> DataFrame:
     """Raw lines of the files that arrive under `root/dt=…`: `value`, `dt`."""
-    reader = spark.readStream.schema(LINES).option("basePath", root)
+    reader = spark.readStream.schema(LINES).option("recursiveFileLookup", "true")
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.text(root).select("value", dashed_day(F.col("dt")).alias("dt"))
+    return dated_by_path(reader.text(root))
 
 
 def stream_topic(
