@@ -314,10 +314,37 @@ def test_rejects_follow_their_raw_day(spark):
     assert rejects() == [
         ("2021-11-04", "status", "garbage"), ("2021-11-05", "status", "rubbish")
     ]
-    land((good, "2021-11-04"))
     hourly_batch(spark, raw, out, ZONE, "2021-11-04", quarantine=f"{out}-q")
-    assert rejects() == [("2021-11-05", "status", "rubbish")]
+    land(("rubbish", "2021-11-05"), ("trash", "2021-11-05"))
+    hourly_batch(spark, raw, out, ZONE, "2021-11-05", quarantine=f"{out}-q")
+    assert rejects() == [
+        ("2021-11-04", "status", "garbage"),
+        ("2021-11-05", "status", "rubbish"),
+        ("2021-11-05", "status", "trash"),
+    ]
+    assert read_ticks(spark, out).count() == 1
+
+
+def test_hour_by_hour_gives_what_the_whole_day_gives(spark):
+    src, raw = small_files(spark, DOCS), fresh_path(spark, "lines")
+    whole, hourly = fresh_path(spark, "t"), fresh_path(spark, "t")
+    compact_small_files(spark, src, raw)
+    hourly_batch(spark, raw, whole, ZONE, "2021-11-04")
+    counts = []
+    for hour in (7, 8, 13):
+        assert read_snapshots(spark, raw, hour=hour).count() == {7: 1, 8: 0, 13: 2}[hour]
+        report = hourly_batch(spark, raw, hourly, ZONE, "2021-11-04", hour=hour)
+        counts.append(report.merged.day_count)
+    assert counts == [1, 0, 1]
+    assert content(read_ticks(spark, hourly)) == content(read_ticks(spark, whole))
+
+
+def test_lines_outside_day_directories_are_kept(spark):
+    raw, out = fresh_path(spark, "raw"), fresh_path(spark, "t")
+    spark.createDataFrame([(DOCS[1][0].replace("\n", ""),), ("garbage",)], "value string").write.text(raw)
+    hourly_batch(spark, raw, out, ZONE, quarantine=f"{out}-q")
     assert read_ticks(spark, out).count() == 1
+    assert [str(r.dt) for r in spark.read.parquet(f"{out}-q").collect()] == ["1970-01-01"]
 
 
 def test_stray_old_row_in_a_raw_day_does_not_wipe_its_day(spark):

@@ -19,13 +19,15 @@ from tickloom.operators import (
     rejected,
 )
 from tickloom.scratch import staged
-from tickloom.schemas import BATCH, FIELDS, TIME_KEY, WAREHOUSE
+from tickloom.schemas import BATCH, FIELDS, QUARANTINE, TIME_KEY, WAREHOUSE
 from tickloom.sinks import append_days, compact_small_files, merge_partitions, replace_day
-from tickloom.sinks.days import overwrite_days
 from tickloom.sinks.merge import MergeReport
 from tickloom.sources import read_snapshots
 
 
+NO_DAY = dt.date(1970, 1, 1)
+
+
 @dataclass(frozen=True)
 class BatchReport:
     merged: MergeReport
@@ -61,36 +63,40 @@ def hourly_batch(
     zone: str,
     day: dt.date | str | None = None,
     until: dt.date | str | None = None,
+    hour: int | None = None,
     quarantine: str | None = None,
 ) -> BatchReport:
     """Merges the raw snapshots of `day` (or a range, or all) into the batch table.
 
-    The raw text is parsed once, into a staged table that serves the touched
-    days, the merge, the reject counts and the quarantine. `quarantine` is a
-    table by raw day; the days that were read are replaced in it.
+    With `hour` only the lines that landed in that hour are parsed. Run each
+    hour, this gives the table that parsing the whole day each hour gives.
+    """
+    lines = read_snapshots(spark, raw, day, until, hour)
+    return load_batch(lines, out, zone, quarantine)
+
+
+def load_batch(
+    lines: DataFrame, out: str, zone: str, quarantine: str | None = None
+) -> BatchReport:
+    """Merges raw lines into the batch table, and their rejects into `quarantine`.
+
+    The text is parsed once, into a staged table that serves the touched days,
+    the merge, the reject counts and the quarantine. Both merges are safe to
+    repeat.
     """
-    lines = read_snapshots(spark, raw, day, until)
     with staged(batch_rows(lines, zone), "batch") as rows:
-        merged = merge_partitions(
-            accepted(rows).select(*BATCH.names), out, BATCH, stage=False
-        )
+        merged = merge_partitions(accepted(rows).select(*BATCH.names), out, BATCH, stage=False)
         bad = rejected(rows)
         counts = {row.reason: row["count"] for row in bad.groupBy("reason").count().collect()}
-        if quarantine is not None:
-            _replace_quarantine(rows, quarantine, day, until)
+        if quarantine is not None and counts:
+            # A line outside any day directory goes under the first day.
+            landed = F.coalesce("line_dt", F.lit(NO_DAY)).alias("dt")
+            merge_partitions(
+                bad.select("reason", "coin", "body", landed), quarantine, QUARANTINE, stage=False
+            )
     return BatchReport(merged, counts)
 
 
-def _replace_quarantine(
-    rows: DataFrame, path: str, day: dt.date | str | None, until: dt.date | str | None
-) -> None:
-    bad = rejected(rows).select("reason", "coin", "body", F.col("line_dt").alias("dt"))
-    if day is not None and until is None:
-        replace_day(bad, path, day, stage=False)
-    else:
-        overwrite_days(bad, path)
-
-
 def warehouse_rows(messages: DataFrame, zone: str) -> DataFrame:
     """Topic messages to warehouse rows of every day; `dt` is null without a time."""
     return normalize_ticks(decode_flat(messages), zone, "warehouse")

@@ -33,7 +33,7 @@ from tickloom.operators import (
 from tickloom.plans.jobs import daily_load, hourly_batch, warehouse_rows
 from tickloom.scratch import fresh_path
 from tickloom.samples import ZONE
-from tickloom.schemas import BATCH, FIELDS, TIME_KEY, WAREHOUSE
+from tickloom.schemas import BATCH, FIELDS, QUARANTINE, TIME_KEY, WAREHOUSE
 from tickloom.sinks import (
     append_days,
     compact_small_files,
@@ -420,7 +420,7 @@ def batch_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check(
     "quarantine",
-    f"{_FEEDS} select {_day('seen')} as dt, 'status' as reason, status, "
+    f"{_FEEDS} select distinct {_day('seen')} as dt, 'status' as reason, status, "
     f'{_ms("seen")} as "timestamp" from feeds '
     "where status is null or status not in ('0000', '00', '0')"
 )
@@ -428,8 +428,7 @@ def quarantined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "batch")
     lines = samples.written(spark, sf_dir, "lines")
     hourly_batch(spark, lines, path, ZONE, quarantine=f"{path}-rejects")
-    schema = "reason string, coin string, body string, dt date"
-    rejects = spark.read.schema(schema).parquet(f"{path}-rejects")
+    rejects = read_ticks(spark, f"{path}-rejects", QUARANTINE)
     again = rejects.select("dt", F.col("reason").alias("why"), F.col("body").alias("value"))
     return decode_envelope(again).select(
         "dt", F.col("why").alias("reason"), "status", "timestamp"

@@ -66,7 +66,15 @@ def _table(texts: tuple[str, ...], measures: tuple[str, ...]) -> T.StructType:
 # warehouse table, whose civil text is `date`.
 BATCH = _table(("coin", "timestamp"), BATCH_MEASURES)
 WAREHOUSE = _table(("coin", "date", "timestamp"), WAREHOUSE_MEASURES)
-LAYOUTS = {"batch": BATCH, "warehouse": WAREHOUSE}
+
+# Rejected lines and instruments, by the day their line landed on.
+QUARANTINE = (
+    T.StructType()
+    .add("reason", T.StringType())
+    .add("coin", T.StringType())
+    .add("body", T.StringType())
+    .add("dt", T.DateType())
+)
 
 ENVELOPE = "status string, data map<string,string>"
 

@@ -10,11 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tickloom.operators import accepted, rejected
-from tickloom.plans.jobs import batch_rows, warehouse_rows
-from tickloom.scratch import staged
-from tickloom.schemas import BATCH, TOPIC
-from tickloom.sinks import merge_partitions
+from tickloom.plans.jobs import load_batch, warehouse_rows
+from tickloom.schemas import TOPIC
 from tickloom.sources.files import LINES, dated_by_path
 
 
@@ -46,16 +43,11 @@ def stream_batch_layer(
 ) -> StreamingQuery:
     """Merges new raw lines into the batch table, then stops.
 
-    A repeated micro-batch changes nothing: the merge removes copies, and the
-    rejects of a micro-batch replace those of its earlier attempt.
+    A repeated micro-batch changes nothing, since the merges remove copies.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        with staged(batch_rows(batch, zone), "stream") as rows:
-            merge_partitions(accepted(rows).select(*BATCH.names), out, BATCH, stage=False)
-            if quarantine is not None:
-                bad = rejected(rows).select("reason", "coin", "body", "line_dt")
-                bad.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
+        load_batch(batch, out, zone, quarantine)
 
     return (
         lines.writeStream.foreachBatch(load)
