@@ -3,6 +3,7 @@
 import datetime as dt
 import itertools
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -163,6 +164,55 @@ def test_same_rows_as_a_plain_python_decoder(spark):
     assert sorted(map(tuple, rows.collect())) == sorted(expected)
 
 
+def _random_text(rng):
+    alphabet = ["a", "B", "9", ".", " ", '"', "\\", "/", "{", "}", ",", ":", "\t", "\n", "é", "한", "😀", "date"]
+    return "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 6)))
+
+
+def _random_snapshot(rng):
+    """A snapshot as JSON text with repeated keys, and the rows it must give."""
+    pairs, rows = [], {}
+    at = str(rng.randint(0, 10**13))
+    for _ in range(rng.randint(0, 6)):
+        coin = rng.choice((_random_text(rng), "AAA", "BBB"))
+        if coin == "date":
+            continue
+        fields = {
+            "closing_price": rng.choice((_random_text(rng), "1.5", None)),
+            _random_text(rng): rng.choice((1, None, {"closing_price": "7"}, ["x"])),
+            "date": _random_text(rng),
+        }
+        pairs.append((coin, fields))
+        rows[coin] = fields["closing_price"]
+    pairs.insert(rng.randint(0, len(pairs)), ("date", at))
+    body = ",".join(
+        f"{json.dumps(key)}:{json.dumps(value, ensure_ascii=rng.random() < 0.5)}"
+        for key, value in pairs
+    )
+    return f'{{"status":"0000","data":{{{body}}}}}', at, rows
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_random_snapshots(spark, session_settings, ansi):
+    session_settings(ansi=ansi)
+    rng = random.Random(7)
+    snapshots = [_random_snapshot(rng) for _ in range(400)]
+    df = spark.createDataFrame(
+        [(i, text) for i, (text, _, _) in enumerate(snapshots)], "i int, value string"
+    )
+    rows = explode_snapshot(decode_envelope(df))
+    assert rejected(rows).count() == 0
+    got = sorted(
+        (r.i, r.coin, r.timestamp, r.closing_price or "", r.closing_price is None)
+        for r in accepted(rows).collect()
+    )
+    assert got == sorted(
+        (i, coin, at, price or "", price is None)
+        for i, (_, at, items) in enumerate(snapshots)
+        for coin, price in items.items()
+    )
+
+
 @pytest.mark.parametrize(
     "ms, text",
     [

@@ -1,13 +1,15 @@
 """Laws of the sinks and jobs."""
 
 import datetime as dt
+import os
+import random
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tickloom.plans.jobs import daily_load, hourly_batch, land_hour
-from tickloom.scratch import fresh_path
+from tickloom.scratch import fresh_path, scratch_root, staged
 from tickloom.schemas import BATCH, WAREHOUSE
 from tickloom.sinks import (
     append_days,
@@ -16,6 +18,7 @@ from tickloom.sinks import (
     overwrite_days,
     replace_day,
 )
+from tickloom.sinks import layout
 from tickloom.sinks import merge as merge_module
 from tickloom.sources import (
     read_days,
@@ -121,6 +124,53 @@ def test_merge_of_more_days_than_can_be_listed(spark, monkeypatch):
         merge_partitions(ticks(spark, LATE, D2, D3, ("A", None, 1.0)), path)
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_merges_keep_the_set_of_all_rows(spark, seed):
+    rng = random.Random(seed)
+    path, model = fresh_path(spark, "t"), set()
+    for _ in range(5):
+        first = rng.randint(1, 20)
+        batch = [
+            (
+                rng.choice("AB"),
+                f"2024-01-{rng.randint(first, first + rng.choice((0, 2, 8))):02d} 10:00:00",
+                rng.choice((None, 1.0, 2.0)),
+            )
+            for _ in range(rng.randint(1, 12))
+        ]
+        merge_partitions(ticks(spark, *batch), path)
+        model |= set(batch)
+        assert content(read_ticks(spark, path)) == content(ticks(spark, *model))
+
+
+def test_large_merges_get_a_wider_shuffle(spark, monkeypatch):
+    path = fresh_path(spark, "t")
+    overwrite_days(ticks(spark, D1, D2), path)
+    stored = read_ticks(spark, path)
+    before = spark.conf.get(layout.SHUFFLE_TASKS)
+    with layout.shuffle_width(stored):
+        assert spark.conf.get(layout.SHUFFLE_TASKS) == before
+    monkeypatch.setattr(layout, "SHUFFLE_BYTES", 100)
+    with pytest.raises(KeyError), layout.shuffle_width(stored):
+        assert int(spark.conf.get(layout.SHUFFLE_TASKS)) > int(before)
+        raise KeyError
+    assert spark.conf.get(layout.SHUFFLE_TASKS) == before
+    with layout.shuffle_width(ticks(spark, D1)):  # a size the plan does not know
+        assert spark.conf.get(layout.SHUFFLE_TASKS) == before
+    assert merge_partitions(ticks(spark, D1, D3), path).day_count == 2
+    assert content(read_ticks(spark, path)) == content(ticks(spark, D1, D2, D3))
+
+
+def test_small_reads_become_few_files(spark):
+    path = fresh_path(spark, "t")
+    for _ in range(5):
+        append_days(ticks(spark, D1, D2), path)
+    assert len(read_ticks(spark, path).inputFiles()) == 10
+    assert layout.packed(read_ticks(spark, path)).rdd.getNumPartitions() == 1
+    merge_partitions(ticks(spark, LATE), path)
+    assert len(read_days(spark, path, ["2024-01-01"]).inputFiles()) == 1
+
+
 def test_merge_over_many_days_packs_each_day(spark):
     path = fresh_path(spark, "t")
     rows = [("A", f"2024-01-{d:02d} 10:00:{s:02d}", 1.0) for d in range(1, 11) for s in range(20)]
@@ -274,8 +324,9 @@ def test_landing_one_hour_replaces_only_that_hour(spark):
     at = dt.datetime(2021, 11, 4, 4, 10)
     assert land_hour(spark, src, dst, at, ZONE) == (dt.date(2021, 11, 4), 13)
     assert read_snapshots(spark, dst).count() == 2
-    aware = dt.datetime(2021, 11, 3, 22, 10, tzinfo=dt.timezone.utc)
-    assert land_hour(spark, src, dst, aware, ZONE) == (dt.date(2021, 11, 4), 7)
+    for same in (dt.datetime(2021, 11, 3, 22, 10, tzinfo=dt.timezone.utc),
+                 "2021-11-03T22:10:00+00:00", "2021-11-03T22:10:00.25"):
+        assert land_hour(spark, src, dst, same, ZONE) == (dt.date(2021, 11, 4), 7)
     land_hour(spark, src, dst, at, ZONE)
     assert read_snapshots(spark, dst, "2021-11-04").count() == 3
 
@@ -401,3 +452,23 @@ def test_topic_bounds():
     assert "endingTimestamp" not in bounded
     with pytest.raises(ValueError):
         topic_reader_options(server, slack=dt.timedelta(hours=2))
+
+
+class _Session:
+    def __init__(self, **options):
+        self.conf = {name.replace("_", "."): value for name, value in options.items()}
+
+
+def test_scratch_folder_is_the_named_one_or_local_only():
+    assert scratch_root(_Session(spark_checkpoint_dir="hdfs:///x/")) == "hdfs:///x"
+    local = _Session(spark_master="local[4]", spark_app_id="scratch-test")
+    assert scratch_root(local) == scratch_root(local)
+    with pytest.raises(RuntimeError):
+        scratch_root(_Session(spark_master="spark://host:7077"))
+
+
+def test_staged_table_is_gone_afterwards(spark):
+    with staged(spark.range(3), "x") as rows:
+        path = rows.inputFiles()[0].removeprefix("file://")
+        assert rows.count() == 3 and os.path.exists(path)
+    assert not os.path.exists(os.path.dirname(path))

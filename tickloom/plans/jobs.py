@@ -35,12 +35,14 @@ class BatchReport:
 
 
 def land_hour(
-    spark: SparkSession, src: str, dst: str, instant: dt.datetime, zone: str
+    spark: SparkSession, src: str, dst: str, instant: dt.datetime | str, zone: str
 ) -> tuple[dt.date, int]:
-    """Lands the hour of `instant` (aware, or naive in UTC): small files to lines.
+    """Lands the hour of `instant`: small files to lines. Gives its day and hour in `zone`.
 
-    Gives the day and hour in `zone`.
+    The instant is a datetime or ISO text, in UTC if it names no offset.
     """
+    if isinstance(instant, str):
+        instant = dt.datetime.fromisoformat(instant)
     aware = instant if instant.tzinfo else instant.replace(tzinfo=dt.timezone.utc)
     wall = aware.astimezone(ZoneInfo(zone))
     compact_small_files(spark, src, dst, wall.date(), wall.hour)

@@ -21,6 +21,7 @@ from tickloom.operators import (
 )
 from tickloom.scratch import fresh_path
 from tickloom.schemas import FIELDS, TIME_KEY
+from tickloom.sinks.layout import spread
 
 ZONE = "Asia/Seoul"
 _written: dict[tuple[str, str, str], str] = {}
@@ -134,13 +135,12 @@ def written(spark: SparkSession, sf_dir: str, name: str) -> str:
         path = fresh_path(spark, name)
         source = events(spark, sf_dir)
         if name == "lines":
-            raw_lines(source).write.partitionBy("dt").text(path)
+            spread(raw_lines(source), "dt").write.partitionBy("dt").text(path)
         elif name == "documents":
-            # A file per document: many small writes, so a fixed number of tasks.
-            tasks = 4 * spark.sparkContext.defaultParallelism
+            # A file per document: many small writes, so as many tasks as there are cores.
             (
                 documents(source)
-                .repartition(tasks, "dt", "hh")
+                .repartition(spark.sparkContext.defaultParallelism)
                 .write.option("maxRecordsPerFile", 1)
                 .partitionBy("dt", "hh")
                 .text(path)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +13,14 @@ SALTS = 32
 
 # Input bytes per write task where no shuffle sizes the tasks.
 TASK_BYTES = 128 * 1024 * 1024
-MAX_TASKS = 1_000_000
+# No input has as many tasks as this: its size is not known.
+UNKNOWN_TASKS = 100_000_000
+
+# File bytes per shuffle task: rows grow several times over when they are decoded.
+SHUFFLE_BYTES = 64 * 1024 * 1024
+# Wider shuffles cost more in tiny blocks than they save in spilling.
+MOST_SHUFFLE_TASKS = 20_000
+SHUFFLE_TASKS = "spark.sql.shuffle.partitions"
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
@@ -26,12 +36,40 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(*keys, F.pmod(F.xxhash64(*rest), F.lit(SALTS)))
 
 
+def planned_bytes(df: DataFrame) -> int:
+    """Bytes the plan expects; it knows the lengths of the files it scans.
+
+    The number is huge where the plan knows nothing.
+    """
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def packed(df: DataFrame) -> DataFrame:
     """Joins small tasks into fewer, fuller ones without a shuffle.
 
     A wide cluster reads a small day in thousands of slivers, and each would
-    become a file. The size comes from the plan, which knows its files' lengths;
-    where it does not, the size is huge and the tasks stay as they are.
+    become a file.
+    """
+    tasks = max(1, -(-planned_bytes(df) // TASK_BYTES))
+    return df.coalesce(min(tasks, UNKNOWN_TASKS))
+
+
+@contextmanager
+def shuffle_width(df: DataFrame) -> Iterator[None]:
+    """Raises the session's number of shuffle tasks to fit `df`, inside the block.
+
+    Adaptive execution joins small shuffle tasks, but cannot split those of a
+    dedupe. The session's number stays where it is large enough, or where the
+    size is not known.
     """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.coalesce(min(max(1, -(-size // TASK_BYTES)), MAX_TASKS))
+    conf = df.sparkSession.conf
+    before = conf.get(SHUFFLE_TASKS)
+    needed = -(-planned_bytes(df) // SHUFFLE_BYTES)
+    if needed <= int(before) or needed >= UNKNOWN_TASKS:
+        yield
+        return
+    conf.set(SHUFFLE_TASKS, str(min(needed, MOST_SHUFFLE_TASKS)))
+    try:
+        yield
+    finally:
+        conf.set(SHUFFLE_TASKS, before)

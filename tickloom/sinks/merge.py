@@ -12,7 +12,7 @@ from tickloom.operators.sets import dedupe_exact, union_prior
 from tickloom.scratch import staged
 from tickloom.schemas import BATCH
 from tickloom.sinks.days import overwrite_days, write_dynamic
-from tickloom.sinks.layout import packed
+from tickloom.sinks.layout import packed, shuffle_width
 from tickloom.sources.paths import MAX_LISTED_DAYS
 from tickloom.sources.tables import read_days, read_optional
 
@@ -63,10 +63,11 @@ def _merge(new: DataFrame, path: str, schema: StructType) -> MergeReport:
         # Calendar days number a few million at most, so this stays a small join.
         stored = read_optional(spark, path, schema).join(touched, "dt", "left_semi")
     merged = dedupe_exact(union_prior(stored.select(*schema.names), new))
-    if len(listed) <= FEW_DAYS:
-        write_dynamic(packed(merged), path, "dt")
-    else:
-        overwrite_days(merged, path)
+    with shuffle_width(merged):
+        if len(listed) <= FEW_DAYS:
+            write_dynamic(packed(merged), path, "dt")
+        else:
+            overwrite_days(merged, path)
     if listable:
         return MergeReport(len(listed), tuple(sorted(listed)))
     return MergeReport(touched.count(), None)
