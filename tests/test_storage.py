@@ -144,20 +144,16 @@ def test_random_merges_keep_the_set_of_all_rows(spark, seed):
 
 
 def test_large_merges_get_a_wider_shuffle(spark, monkeypatch):
-    path = fresh_path(spark, "t")
-    overwrite_days(ticks(spark, D1, D2), path)
-    stored = read_ticks(spark, path)
     before = spark.conf.get(layout.SHUFFLE_TASKS)
-    with layout.shuffle_width(stored):
+    with layout.shuffle_width(spark, 100):
         assert spark.conf.get(layout.SHUFFLE_TASKS) == before
-    monkeypatch.setattr(layout, "SHUFFLE_BYTES", 100)
-    with pytest.raises(KeyError), layout.shuffle_width(stored):
-        assert int(spark.conf.get(layout.SHUFFLE_TASKS)) > int(before)
+    with pytest.raises(KeyError), layout.shuffle_width(spark, 100, 5):
+        assert spark.conf.get(layout.SHUFFLE_TASKS) == "20"
         raise KeyError
     assert spark.conf.get(layout.SHUFFLE_TASKS) == before
-    with layout.shuffle_width(ticks(spark, D1)):  # a size the plan does not know
-        assert spark.conf.get(layout.SHUFFLE_TASKS) == before
-    assert merge_partitions(ticks(spark, D1, D3), path).day_count == 2
+    path = fresh_path(spark, "t")
+    merge_partitions(ticks(spark, D1, D2), path, task_rows=1)
+    assert merge_partitions(ticks(spark, D1, D3), path, task_rows=1).day_count == 2
     assert content(read_ticks(spark, path)) == content(ticks(spark, D1, D2, D3))
 
 
@@ -166,7 +162,6 @@ def test_small_reads_become_few_files(spark):
     for _ in range(5):
         append_days(ticks(spark, D1, D2), path)
     assert len(read_ticks(spark, path).inputFiles()) == 10
-    assert layout.packed(read_ticks(spark, path)).rdd.getNumPartitions() == 1
     merge_partitions(ticks(spark, LATE), path)
     assert len(read_days(spark, path, ["2024-01-01"]).inputFiles()) == 1
 

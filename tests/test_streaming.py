@@ -43,5 +43,5 @@ def test_warehouse_stream(spark):
     for part in (messages.where("offset < 400"), messages.where("offset >= 400")):
         part.write.mode("append").parquet(topic)
         for _ in range(2):
-            run(stream_warehouse(stream_topic(spark, topic), out, state, ZONE))
+            run(stream_warehouse(stream_topic(spark, topic), out, state, ZONE, files=2))
     assert content(read_ticks(spark, out, WAREHOUSE)) == content(warehouse_rows(messages, ZONE))

@@ -26,6 +26,8 @@ from tickloom.sources import read_snapshots
 
 
 NO_DAY = dt.date(1970, 1, 1)
+# Whole raw lines are hundreds of times larger than tick rows.
+TASK_LINES = 10_000
 
 
 @dataclass(frozen=True)
@@ -94,7 +96,11 @@ def load_batch(
             # A line outside any day directory goes under the first day.
             landed = F.coalesce("line_dt", F.lit(NO_DAY)).alias("dt")
             merge_partitions(
-                bad.select("reason", "coin", "body", landed), quarantine, QUARANTINE, stage=False
+                bad.select("reason", "coin", "body", landed),
+                quarantine,
+                QUARANTINE,
+                stage=False,
+                task_rows=TASK_LINES,
             )
     return BatchReport(merged, counts)
 

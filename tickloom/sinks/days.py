@@ -52,9 +52,9 @@ def replace_day(
 ) -> int:
     """Makes `df`'s rows of `day` the whole content of that day; gives their number.
 
-    Safe to repeat. Without rows the day ends up empty. The slice is staged, which
-    gives its number of rows from file footers and its size for the final write,
-    which so needs no shuffle. Pass `stage=False` for a plain table scan.
+    Safe to repeat. Without rows the day ends up empty. The slice is staged, so
+    that file footers give its number of rows and the final write needs no
+    shuffle. Pass `stage=False` for a plain table scan.
     """
     rows = day_slice(df, day)
     if not stage:
@@ -66,7 +66,8 @@ def replace_day(
 def _replace(rows: DataFrame, path: str, day: dt.date | str, files: int | None) -> int:
     count = rows.count()
     if count:
-        write_dynamic(packed(rows) if files is None else rows.repartition(files), path, "dt")
+        tasks = packed(rows, count) if files is None else rows.repartition(files)
+        write_dynamic(tasks, path, "dt")
     else:
         # A dynamic overwrite leaves a day alone when it gets no rows for it.
         empty = no_rows(rows.sparkSession, rows.drop("dt").schema)

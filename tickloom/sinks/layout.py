@@ -5,19 +5,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Write tasks per key where the runtime cannot split a hot one itself.
 SALTS = 32
 
-# Input bytes per write task where no shuffle sizes the tasks.
-TASK_BYTES = 128 * 1024 * 1024
-# No input has as many tasks as this: its size is not known.
-UNKNOWN_TASKS = 100_000_000
+# Tick rows per task: some 250 MB in memory, and a file of some ten to a hundred
+# MB. Rows are counted because file sizes tell little: in another order the same
+# rows can take several times the space.
+TASK_ROWS = 2_000_000
 
-# File bytes per shuffle task: rows grow several times over when they are decoded.
-SHUFFLE_BYTES = 64 * 1024 * 1024
 # Wider shuffles cost more in tiny blocks than they save in spilling.
 MOST_SHUFFLE_TASKS = 20_000
 SHUFFLE_TASKS = "spark.sql.shuffle.partitions"
@@ -36,40 +34,29 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(*keys, F.pmod(F.xxhash64(*rest), F.lit(SALTS)))
 
 
-def planned_bytes(df: DataFrame) -> int:
-    """Bytes the plan expects; it knows the lengths of the files it scans.
-
-    The number is huge where the plan knows nothing.
-    """
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def packed(df: DataFrame) -> DataFrame:
+def packed(df: DataFrame, rows: int, task_rows: int = TASK_ROWS) -> DataFrame:
     """Joins small tasks into fewer, fuller ones without a shuffle.
 
     A wide cluster reads a small day in thousands of slivers, and each would
     become a file.
     """
-    tasks = max(1, -(-planned_bytes(df) // TASK_BYTES))
-    return df.coalesce(min(tasks, UNKNOWN_TASKS))
+    return df.coalesce(max(1, -(-rows // task_rows)))
 
 
 @contextmanager
-def shuffle_width(df: DataFrame) -> Iterator[None]:
-    """Raises the session's number of shuffle tasks to fit `df`, inside the block.
+def shuffle_width(spark: SparkSession, rows: int, task_rows: int = TASK_ROWS) -> Iterator[None]:
+    """Raises the session's number of shuffle tasks to fit `rows`, inside the block.
 
     Adaptive execution joins small shuffle tasks, but cannot split those of a
-    dedupe. The session's number stays where it is large enough, or where the
-    size is not known.
+    dedupe. The session's number stays where it is large enough.
     """
-    conf = df.sparkSession.conf
-    before = conf.get(SHUFFLE_TASKS)
-    needed = -(-planned_bytes(df) // SHUFFLE_BYTES)
-    if needed <= int(before) or needed >= UNKNOWN_TASKS:
+    before = spark.conf.get(SHUFFLE_TASKS)
+    needed = min(-(-rows // task_rows), MOST_SHUFFLE_TASKS)
+    if needed <= int(before):
         yield
         return
-    conf.set(SHUFFLE_TASKS, str(min(needed, MOST_SHUFFLE_TASKS)))
+    spark.conf.set(SHUFFLE_TASKS, str(needed))
     try:
         yield
     finally:
-        conf.set(SHUFFLE_TASKS, before)
+        spark.conf.set(SHUFFLE_TASKS, before)

@@ -12,7 +12,7 @@ from tickloom.operators.sets import dedupe_exact, union_prior
 from tickloom.scratch import staged
 from tickloom.schemas import BATCH
 from tickloom.sinks.days import overwrite_days, write_dynamic
-from tickloom.sinks.layout import packed, shuffle_width
+from tickloom.sinks.layout import TASK_ROWS, packed, shuffle_width
 from tickloom.sources.paths import MAX_LISTED_DAYS
 from tickloom.sources.tables import read_days, read_optional
 
@@ -31,7 +31,11 @@ class MergeReport:
 
 
 def merge_partitions(
-    new: DataFrame, path: str, schema: StructType = BATCH, stage: bool = True
+    new: DataFrame,
+    path: str,
+    schema: StructType = BATCH,
+    stage: bool = True,
+    task_rows: int = TASK_ROWS,
 ) -> MergeReport:
     """Adds `new` to the stored rows of every day it touches, without copies.
 
@@ -41,33 +45,36 @@ def merge_partitions(
 
     `new` is read twice (for its days and for its rows). It is staged as a table
     in the scratch folder first; pass `stage=False` if it is a plain table scan.
+    `task_rows` sizes the shuffle and, for few days, the files.
     """
     if not stage:
-        return _merge(new.select(*schema.names), path, schema)
+        return _merge(new.select(*schema.names), path, schema, task_rows)
     with staged(new.select(*schema.names), "merge") as rows:
-        return _merge(rows, path, schema)
+        return _merge(rows, path, schema, task_rows)
 
 
-def _merge(new: DataFrame, path: str, schema: StructType) -> MergeReport:
+def _merge(new: DataFrame, path: str, schema: StructType, task_rows: int) -> MergeReport:
     spark = new.sparkSession
-    touched = new.select("dt").distinct()
-    listed = [row.dt for row in touched.limit(MAX_LISTED_DAYS + 1).collect()]
-    listable = len(listed) <= MAX_LISTED_DAYS
-    if None in listed or (not listable and not touched.where("dt is null").isEmpty()):
+    touched = new.groupBy("dt").count()
+    counts = {row["dt"]: row["count"] for row in touched.limit(MAX_LISTED_DAYS + 1).collect()}
+    listable = len(counts) <= MAX_LISTED_DAYS
+    if None in counts or (not listable and not touched.where("dt is null").isEmpty()):
         raise ValueError("rows without dt; keep them apart before the merge")
-    if not listed:
+    if not counts:
         return MergeReport(0, ())
     if listable:
-        stored = read_days(spark, path, listed, schema)
+        stored, added = read_days(spark, path, list(counts), schema), sum(counts.values())
     else:
         # Calendar days number a few million at most, so this stays a small join.
         stored = read_optional(spark, path, schema).join(touched, "dt", "left_semi")
+        added = new.count()
     merged = dedupe_exact(union_prior(stored.select(*schema.names), new))
-    with shuffle_width(merged):
-        if len(listed) <= FEW_DAYS:
-            write_dynamic(packed(merged), path, "dt")
+    rows = stored.count() + added
+    with shuffle_width(spark, rows, task_rows):
+        if len(counts) <= FEW_DAYS:
+            write_dynamic(packed(merged, rows, task_rows), path, "dt")
         else:
             overwrite_days(merged, path)
     if listable:
-        return MergeReport(len(listed), tuple(sorted(listed)))
+        return MergeReport(len(counts), tuple(sorted(counts)))
     return MergeReport(touched.count(), None)

@@ -58,12 +58,15 @@ def stream_batch_layer(
 
 
 def stream_warehouse(
-    messages: DataFrame, out: str, checkpoint: str, zone: str
+    messages: DataFrame, out: str, checkpoint: str, zone: str, files: int | None = None
 ) -> StreamingQuery:
-    """Appends new messages to a warehouse table of all days, each exactly once."""
-    rows = warehouse_rows(messages, zone)
+    """Appends new messages to a warehouse table of all days, each exactly once.
+
+    `files` sets the number of write tasks, and so the most new files per day.
+    """
+    rows = warehouse_rows(messages, zone).where(F.col("dt").isNotNull())
     return (
-        rows.where(F.col("dt").isNotNull())
+        (rows if files is None else rows.repartition(files))
         .writeStream.format("parquet")
         .option("path", out)
         .option("checkpointLocation", checkpoint)
