@@ -1,5 +1,6 @@
 """Incremental loads give what the batch loads give, also when run again."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tickloom import samples
@@ -45,3 +46,21 @@ def test_warehouse_stream(spark):
         for _ in range(2):
             run(stream_warehouse(stream_topic(spark, topic), out, state, ZONE, files=2))
     assert content(read_ticks(spark, out, WAREHOUSE)) == content(warehouse_rows(messages, ZONE))
+
+
+def test_an_hour_landed_again_after_a_failed_run(spark):
+    raw, out, state = (fresh_path(spark, name) for name in ("raw", "t", "state"))
+    line = '{{"status":"0","data":{{"{}":{{"closing_price":"1"}},"date":"1636000000123"}}}}'
+
+    def land(*coins):
+        rows = [(line.format(coin), "2021-11-04", "13") for coin in coins]
+        spark.createDataFrame(rows, "value string, dt string, hh string").coalesce(1).write.mode(
+            "overwrite"
+        ).option("partitionOverwriteMode", "dynamic").partitionBy("dt", "hh").text(raw)
+
+    land("A")
+    with pytest.raises(Exception, match="Nowhere"):
+        run(stream_batch_layer(stream_lines(spark, raw), out, state, "Nowhere/None"))
+    land("A", "B")
+    run(stream_batch_layer(stream_lines(spark, raw), out, state, ZONE))
+    assert sorted(r.coin for r in read_ticks(spark, out).collect()) == ["A", "B"]

@@ -19,7 +19,7 @@ from tickloom.sources.tables import read_days, read_optional
 # Up to this many days the dedupe's own tasks are written as they are, joined to
 # a good size. Each holds rows of every day, so it writes at most this many
 # files, and a second shuffle of all rows is saved.
-FEW_DAYS = 4
+FEW_DAYS = 8
 
 
 @dataclass(frozen=True)

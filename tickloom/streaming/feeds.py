@@ -18,8 +18,16 @@ from tickloom.sources.files import LINES, dated_by_path
 def stream_lines(
     spark: SparkSession, root: str, max_files: int | None = None
 ) -> DataFrame:
-    """Raw lines of the files that arrive under `root/dt=…`: `value`, `dt`."""
-    reader = spark.readStream.schema(LINES).option("recursiveFileLookup", "true")
+    """Raw lines of the files that arrive under `root/dt=…`: `value`, `dt`.
+
+    Landing an hour again replaces its files. A replaced file that a run had
+    planned to read is passed over, as the file in its place is read as well.
+    """
+    reader = (
+        spark.readStream.schema(LINES)
+        .option("recursiveFileLookup", "true")
+        .option("ignoreMissingFiles", "true")
+    )
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return dated_by_path(reader.text(root))
