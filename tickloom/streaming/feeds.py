@@ -20,14 +20,10 @@ def stream_lines(
 ) -> DataFrame:
     """Raw lines of the files that arrive under `root/dt=…`: `value`, `dt`.
 
-    Landing an hour again replaces its files. A replaced file that a run had
-    planned to read is passed over, as the file in its place is read as well.
+    Landing an hour again replaces its files. The stream passes over a replaced
+    file it had not read yet, and reads the file in its place.
     """
-    reader = (
-        spark.readStream.schema(LINES)
-        .option("recursiveFileLookup", "true")
-        .option("ignoreMissingFiles", "true")
-    )
+    reader = spark.readStream.schema(LINES).option("recursiveFileLookup", "true")
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return dated_by_path(reader.text(root))
