@@ -314,6 +314,28 @@ def test_compaction_keeps_every_document_as_one_line(spark, any_planner):
     )
 
 
+def test_a_hot_hour_is_written_by_several_tasks(spark, session_settings):
+    docs = spark.range(400).select(
+        F.concat(F.lit("{ "), F.repeat(F.md5(F.col("id").cast("string")), F.lit(40)), F.lit(" }"))
+        .alias("value"),
+        F.lit("20211104").alias("dt"),
+        F.when(F.col("id") < 300, F.lit("13")).otherwise(F.lit("07")).alias("hh"),
+    )
+    src = fresh_path(spark, "small")
+    docs.repartition(8).write.option("maxRecordsPerFile", 1).partitionBy("dt", "hh").text(src)
+    for adaptive in ("true", "false"):
+        session_settings(adaptive=adaptive)
+        dst = fresh_path(spark, "lines")
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2k")
+        try:
+            compact_small_files(spark, src, dst)
+        finally:
+            spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        lines = read_snapshots(spark, dst, hour=13)
+        assert lines.count() == 300 and read_snapshots(spark, dst).count() == 400
+        assert sum("hh=13" in name for name in lines.inputFiles()) > 2
+
+
 def test_landing_one_hour_replaces_only_that_hour(spark):
     src, dst = small_files(spark, DOCS), fresh_path(spark, "lines")
     at = dt.datetime(2021, 11, 4, 4, 10)
