@@ -96,7 +96,8 @@ def main() -> None:
     ticks = spark.read.schema(BATCH).parquet(samples.written(spark, SF_DIR, "ticks"))
     table = fresh_path(spark, "bench")
     overwrite_days(ticks, table)
-    documents = samples.written(spark, "/root/testdata/sf0.001", "documents")
+    smallest = os.path.join(os.path.dirname(SF_DIR.rstrip("/")), "sf0.001")
+    documents = samples.written(spark, smallest, "documents")
 
     def decoded() -> DataFrame:
         rows = explode_snapshot(decode_envelope(read_snapshots(spark, lines)))

@@ -253,6 +253,9 @@ def test_missing_raw_root_is_an_error_but_a_missing_day_is_not(spark):
         "dt"
     ).text(root)
     assert read_snapshots(spark, root, "2024-01-02").count() == 0
+    assert read_snapshots(spark, root, "2024-01-01", "2024-01-01").count() == 0
+    assert read_snapshots(spark, root, dt.datetime(2024, 1, 1, 5)).count() == 1
+    assert hourly_batch(spark, root, f"{root}-t", ZONE, "2024-01-02").merged.day_count == 0
     assert read_snapshots(spark, root, "2024-01-01", "2024-01-03").count() == 1
     assert read_snapshots(spark, root, "1924-01-01", "2024-01-03").count() == 1
 

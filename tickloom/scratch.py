@@ -9,6 +9,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tickloom.hadoop import remove
+
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 _local_roots: dict[str, str] = {}
 
@@ -42,9 +44,4 @@ def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
     try:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        _remove(spark, path)
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+        remove(spark, path)

@@ -8,7 +8,7 @@ scans of a few days name their directories in one glob instead.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +21,8 @@ MAX_LISTED_DAYS = 1000
 
 
 def as_date(day: dt.date | str) -> dt.date:
+    if isinstance(day, dt.datetime):
+        return day.date()
     return day if isinstance(day, dt.date) else dt.date.fromisoformat(day)
 
 
@@ -60,15 +62,3 @@ def scan(
 ) -> DataFrame:
     reader = spark.read.format(fmt).schema(schema).option("basePath", root)
     return reader.options(**(options or {})).load(path or root)
-
-
-def first_found(scans: Iterable) -> DataFrame:
-    """The first scan whose path exists; the last one raises if its path does not."""
-    scans = list(scans)
-    for attempt in scans[:-1]:
-        try:
-            return attempt()
-        except AnalysisException as error:
-            if not is_missing_path(error):
-                raise
-    return scans[-1]()
