@@ -59,23 +59,57 @@ def any_planner(request, session_settings):
     session_settings(adaptive=request.param)
 
 
-def test_merge_keeps_stored_rows_of_touched_and_other_days(spark, any_planner):
+@pytest.fixture(params=[True, False], ids=["rewrite", "append"])
+def rewrite(request):
+    return request.param
+
+
+def test_merge_keeps_stored_rows_of_touched_and_other_days(spark, any_planner, rewrite):
     path = fresh_path(spark, "t")
-    merge_partitions(ticks(spark, D1, D2), path)
-    report = merge_partitions(ticks(spark, D2, D3, LATE), path)
+    merge_partitions(ticks(spark, D1, D2), path, rewrite=rewrite)
+    report = merge_partitions(ticks(spark, D2, D3, LATE), path, rewrite=rewrite)
     assert report.days == tuple(dt.date(2024, 1, d) for d in (1, 2, 3))
     assert content(read_ticks(spark, path)) == content(ticks(spark, D1, D2, D3, LATE))
 
 
-def test_merge_twice_is_merge_once(spark):
+def test_merge_twice_is_merge_once(spark, rewrite):
     path = fresh_path(spark, "t")
     new = ticks(spark, D1, D1, D2)
-    merge_partitions(new, path)
+    merge_partitions(new, path, rewrite=rewrite)
     once = content(read_ticks(spark, path))
-    merge_partitions(new, path)
+    merge_partitions(new, path, rewrite=rewrite)
     assert content(read_ticks(spark, path)) == once == content(ticks(spark, D1, D2))
 
 
+def test_appending_merge_keeps_every_stored_file(spark):
+    path = fresh_path(spark, "t")
+    merge_partitions(ticks(spark, D1, D2), path)
+    before = set(read_ticks(spark, path).inputFiles())
+    merge_partitions(ticks(spark, D1, LATE), path, rewrite=False)
+    after = set(read_ticks(spark, path).inputFiles())
+    assert before < after and len(after - before) == 1
+    merge_partitions(ticks(spark, D1, LATE), path, rewrite=False)
+    assert set(read_ticks(spark, path).inputFiles()) == after
+
+
+def test_appending_merge_narrows_the_stored_rows_by_time(spark):
+    path = fresh_path(spark, "t")
+    merge_partitions(ticks(spark, D1, D2), path)
+    missing = merge_module._missing(read_ticks(spark, path), ticks(spark, LATE))
+    plan = missing._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(timestamp,2024-01-01 23:00:00)" in plan
+    assert content(missing) == content(ticks(spark, LATE))
+
+
+def test_appending_merge_of_rows_without_a_time(spark):
+    path = fresh_path(spark, "t")
+    row = ticks(spark, D1).withColumn("timestamp", F.lit(None).cast("string"))
+    for _ in range(2):
+        merge_partitions(row, path, rewrite=False)
+        merge_partitions(row.unionByName(ticks(spark, D1)), path, rewrite=False)
+    assert read_ticks(spark, path).count() == 2
+
+
 def test_merge_leaves_untouched_days_alone(spark):
     path = fresh_path(spark, "t")
     merge_partitions(ticks(spark, D1, D2, D3), path)
@@ -85,9 +119,10 @@ def test_merge_leaves_untouched_days_alone(spark):
     assert before == after
 
 
-def test_merge_treats_nan_and_negative_zero_as_equal(spark):
+def test_merge_treats_nan_and_negative_zero_as_equal(spark, rewrite):
     path = fresh_path(spark, "t")
-    merge_partitions(ticks(spark, ("A", "2024-01-01 10:00:00", float("nan"))), path)
+    nan = ticks(spark, ("A", "2024-01-01 10:00:00", float("nan")))
+    merge_partitions(nan, path, rewrite=rewrite)
     merge_partitions(
         ticks(
             spark,
@@ -96,14 +131,17 @@ def test_merge_treats_nan_and_negative_zero_as_equal(spark):
             ("B", "2024-01-01 10:00:00", -0.0),
         ),
         path,
+        rewrite=rewrite,
     )
+    zero = ticks(spark, ("B", "2024-01-01 10:00:00", -0.0))
+    merge_partitions(zero, path, rewrite=rewrite)
     assert read_ticks(spark, path).count() == 2
 
 
-def test_merge_refuses_rows_without_a_day(spark):
+def test_merge_refuses_rows_without_a_day(spark, rewrite):
     path = fresh_path(spark, "t")
     with pytest.raises(ValueError):
-        merge_partitions(ticks(spark, D1, ("A", None, 1.0)), path)
+        merge_partitions(ticks(spark, D1, ("A", None, 1.0)), path, rewrite=rewrite)
     assert read_optional(spark, path).count() == 0
 
 
@@ -113,11 +151,11 @@ def test_merge_of_nothing(spark):
     assert read_optional(spark, path).count() == 0
 
 
-def test_merge_of_more_days_than_can_be_listed(spark, monkeypatch):
+def test_merge_of_more_days_than_can_be_listed(spark, monkeypatch, rewrite):
     path = fresh_path(spark, "t")
     merge_partitions(ticks(spark, D1, D2, D3), path)
     monkeypatch.setattr(merge_module, "MAX_LISTED_DAYS", 2)
-    report = merge_partitions(ticks(spark, LATE, D2, D3), path)
+    report = merge_partitions(ticks(spark, LATE, D2, D3), path, rewrite=rewrite)
     assert (report.day_count, report.days) == (3, None)
     assert content(read_ticks(spark, path)) == content(ticks(spark, D1, D2, D3, LATE))
     with pytest.raises(ValueError):
@@ -138,7 +176,7 @@ def test_random_merges_keep_the_set_of_all_rows(spark, seed):
             )
             for _ in range(rng.randint(1, 12))
         ]
-        merge_partitions(ticks(spark, *batch), path)
+        merge_partitions(ticks(spark, *batch), path, rewrite=rng.random() < 0.5)
         model |= set(batch)
         assert content(read_ticks(spark, path)) == content(ticks(spark, *model))
 
@@ -396,7 +434,7 @@ def test_rejects_follow_their_raw_day(spark):
     assert read_ticks(spark, out).count() == 1
 
 
-def test_hour_by_hour_gives_what_the_whole_day_gives(spark):
+def test_hour_by_hour_gives_what_the_whole_day_gives(spark, rewrite):
     src, raw = small_files(spark, DOCS), fresh_path(spark, "lines")
     whole, hourly = fresh_path(spark, "t"), fresh_path(spark, "t")
     compact_small_files(spark, src, raw)
@@ -404,7 +442,7 @@ def test_hour_by_hour_gives_what_the_whole_day_gives(spark):
     counts = []
     for hour in (7, 8, 13):
         assert read_snapshots(spark, raw, hour=hour).count() == {7: 1, 8: 0, 13: 2}[hour]
-        report = hourly_batch(spark, raw, hourly, ZONE, "2021-11-04", hour=hour)
+        report = hourly_batch(spark, raw, hourly, ZONE, "2021-11-04", hour=hour, rewrite=rewrite)
         counts.append(report.merged.day_count)
     assert counts == [1, 0, 1]
     assert content(read_ticks(spark, hourly)) == content(read_ticks(spark, whole))

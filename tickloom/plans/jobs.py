@@ -69,18 +69,25 @@ def hourly_batch(
     until: dt.date | str | None = None,
     hour: int | None = None,
     quarantine: str | None = None,
+    rewrite: bool = True,
 ) -> BatchReport:
     """Merges the raw snapshots of `day` (or a range, or all) into the batch table.
 
     With `hour` only the lines that landed in that hour are parsed. Run each
-    hour, this gives the table that parsing the whole day each hour gives.
+    hour, this gives the table that parsing the whole day each hour gives. With
+    `rewrite=False` it also writes no more than that hour's rows; see
+    `merge_partitions`.
     """
     lines = read_snapshots(spark, raw, day, until, hour)
-    return load_batch(lines, out, zone, quarantine)
+    return load_batch(lines, out, zone, quarantine, rewrite)
 
 
 def load_batch(
-    lines: DataFrame, out: str, zone: str, quarantine: str | None = None
+    lines: DataFrame,
+    out: str,
+    zone: str,
+    quarantine: str | None = None,
+    rewrite: bool = True,
 ) -> BatchReport:
     """Merges raw lines into the batch table, and their rejects into `quarantine`.
 
@@ -89,7 +96,8 @@ def load_batch(
     repeat.
     """
     with staged(batch_rows(lines, zone), "batch") as rows:
-        merged = merge_partitions(accepted(rows).select(*BATCH.names), out, BATCH, stage=False)
+        good = accepted(rows).select(*BATCH.names)
+        merged = merge_partitions(good, out, BATCH, stage=False, rewrite=rewrite)
         bad = rejected(rows)
         counts = {row.reason: row["count"] for row in bad.groupBy("reason").count().collect()}
         if quarantine is not None and counts:
@@ -101,6 +109,7 @@ def load_batch(
                 QUARANTINE,
                 stage=False,
                 task_rows=TASK_LINES,
+                rewrite=rewrite,
             )
     return BatchReport(merged, counts)
 

@@ -408,6 +408,15 @@ def merged_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_ticks(spark, path)
 
 
+@check("merge_partitions_append", f"{_TICKS} select distinct {_BATCH} from ticks")
+def merged_by_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prior, new = _halves(spark, sf_dir)
+    path = fresh_path(spark, "table")
+    for rows in (prior, new, new):
+        merge_partitions(rows, path, rewrite=False)
+    return read_ticks(spark, path)
+
+
 # --- jobs --------------------------------------------------------------------
 
 

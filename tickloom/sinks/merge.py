@@ -6,12 +6,13 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tickloom.operators.sets import dedupe_exact, union_prior
 from tickloom.scratch import staged
 from tickloom.schemas import BATCH
-from tickloom.sinks.days import overwrite_days, write_dynamic
+from tickloom.sinks.days import append_days, overwrite_days, write_dynamic
 from tickloom.sinks.layout import TASK_ROWS, packed, shuffle_width
 from tickloom.sources.paths import MAX_LISTED_DAYS
 from tickloom.sources.tables import read_days, read_optional
@@ -21,6 +22,9 @@ from tickloom.sources.tables import read_days, read_optional
 # files, and a second shuffle of all rows is saved.
 FEW_DAYS = 8
 
+# The column by which stored rows are narrowed before an appending merge.
+CLOCK = "timestamp"
+
 
 @dataclass(frozen=True)
 class MergeReport:
@@ -36,6 +40,7 @@ def merge_partitions(
     schema: StructType = BATCH,
     stage: bool = True,
     task_rows: int = TASK_ROWS,
+    rewrite: bool = True,
 ) -> MergeReport:
     """Adds `new` to the stored rows of every day it touches, without copies.
 
@@ -43,17 +48,24 @@ def merge_partitions(
     are neither read nor written. Rows need a `dt`: without one they would be
     dropped by the next merge, so they are refused.
 
+    With `rewrite` the touched days are replaced as a whole, which also removes
+    copies they already held. Without it only the rows they lack are appended:
+    the cost then follows the new rows, not the day, and no stored file is ever
+    removed. Both give the same rows for a table that only this function writes.
+
     `new` is read twice (for its days and for its rows). It is staged as a table
     in the scratch folder first; pass `stage=False` if it is a plain table scan.
     `task_rows` sizes the shuffle and, for few days, the files.
     """
     if not stage:
-        return _merge(new.select(*schema.names), path, schema, task_rows)
+        return _merge(new.select(*schema.names), path, schema, task_rows, rewrite)
     with staged(new.select(*schema.names), "merge") as rows:
-        return _merge(rows, path, schema, task_rows)
+        return _merge(rows, path, schema, task_rows, rewrite)
 
 
-def _merge(new: DataFrame, path: str, schema: StructType, task_rows: int) -> MergeReport:
+def _merge(
+    new: DataFrame, path: str, schema: StructType, task_rows: int, rewrite: bool
+) -> MergeReport:
     spark = new.sparkSession
     touched = new.groupBy("dt").count()
     counts = {row["dt"]: row["count"] for row in touched.limit(MAX_LISTED_DAYS + 1).collect()}
@@ -68,13 +80,34 @@ def _merge(new: DataFrame, path: str, schema: StructType, task_rows: int) -> Mer
         # Calendar days number a few million at most, so this stays a small join.
         stored = read_optional(spark, path, schema).join(touched, "dt", "left_semi")
         added = new.count()
-    merged = dedupe_exact(union_prior(stored.select(*schema.names), new))
+    stored = stored.select(*schema.names)
     rows = stored.count() + added
     with shuffle_width(spark, rows, task_rows):
-        if len(counts) <= FEW_DAYS:
+        if not rewrite:
+            append_days(_missing(stored, new), path)
+        elif len(counts) <= FEW_DAYS:
+            merged = dedupe_exact(union_prior(stored, new))
             write_dynamic(packed(merged, rows, task_rows), path, "dt")
         else:
-            overwrite_days(merged, path)
+            overwrite_days(dedupe_exact(union_prior(stored, new)), path)
     if listable:
         return MergeReport(len(counts), tuple(sorted(counts)))
     return MergeReport(touched.count(), None)
+
+
+def _missing(stored: DataFrame, new: DataFrame) -> DataFrame:
+    """The distinct rows of `new` that are not in `stored`.
+
+    One aggregation over both, with the equality and the shuffle of a dedupe.
+    """
+    if CLOCK in new.columns:
+        # Equal rows have equal times. Appended files hold few hours each, so
+        # this skips most of the day by file statistics.
+        first, last = new.agg(F.min(CLOCK), F.max(CLOCK)).first()
+        time = F.col(CLOCK)
+        stored = stored.where(time.between(first, last) | time.isNull())
+    both = union_prior(
+        stored.withColumn("_stored", F.lit(True)), new.withColumn("_stored", F.lit(False))
+    )
+    kept = both.groupBy(*new.columns).agg(F.max("_stored").alias("_stored"))
+    return kept.where(~F.col("_stored")).drop("_stored")

@@ -47,11 +47,11 @@ def stream_batch_layer(
 ) -> StreamingQuery:
     """Merges new raw lines into the batch table, then stops.
 
-    A repeated micro-batch changes nothing, since the merges remove copies.
+    A repeated micro-batch changes nothing: the merges append only missing rows.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        load_batch(batch, out, zone, quarantine)
+        load_batch(batch, out, zone, quarantine, rewrite=False)
 
     return (
         lines.writeStream.foreachBatch(load)
