@@ -117,6 +117,7 @@ def main() -> None:
         "hourly_batch_one_day": lambda: run_job(hourly_batch, spark, lines, table, ZONE, DAY),
         "merge_all_days": lambda: run_job(merge_partitions, ticks, table),
         "merge_one_day": lambda: run_job(merge_partitions, day_slice(ticks, DAY), table),
+        "merge_one_day_append": lambda: merge_partitions_append(day_slice(ticks, DAY), table),
         "daily_load": lambda: run_job(
             daily_load, read_topic(spark, topic), fresh_path(spark, "w"), DAY, ZONE
         ),
@@ -151,6 +152,10 @@ def main() -> None:
     spark.stop()
 
 
+def merge_partitions_append(new: DataFrame, table: str) -> None:
+    merge_partitions(new, table, rewrite=False)
+
+
 def run_job(job, *args) -> None:
     job(*args)
 
