@@ -24,6 +24,7 @@ from tickloom.operators import (
     explode_snapshot,
     normalize_ticks,
     partition_counts,
+    with_civil_time,
 )
 from tickloom.plans.jobs import daily_load, hourly_batch, warehouse_rows
 from tickloom.scratch import fresh_path
@@ -100,8 +101,8 @@ def main() -> None:
     documents = samples.written(spark, smallest, "documents")
 
     def decoded() -> DataFrame:
-        rows = explode_snapshot(decode_envelope(read_snapshots(spark, lines)))
-        return accepted(normalize_ticks(rows, ZONE, keep=MARKS))
+        snapshots = with_civil_time(decode_envelope(read_snapshots(spark, lines)), ZONE)
+        return accepted(normalize_ticks(explode_snapshot(snapshots), ZONE, keep=MARKS))
 
     queries = {
         "snapshot_explode": decoded,
@@ -131,7 +132,7 @@ def main() -> None:
     many = read_snapshots(spark, lines).select(
         "value", F.explode(F.sequence(F.lit(1), F.lit(16)))
     ).select("value")
-    native = explode_snapshot(decode_envelope(many))
+    native = explode_snapshot(with_civil_time(decode_envelope(many), ZONE))
     comparison = {
         "native_explode_x16": best(lambda: accepted(normalize_ticks(native, ZONE, keep=MARKS))),
         "row_udf_explode_x16": best(lambda: row_udf_ticks(many)),

@@ -8,7 +8,7 @@ from tickloom.operators.snapshots import (
     rejected,
     status_filter,
 )
-from tickloom.operators.ticks import day_slice, day_range, normalize_ticks
+from tickloom.operators.ticks import day_range, day_slice, normalize_ticks, with_civil_time
 
 __all__ = [
     "accepted",
@@ -25,4 +25,5 @@ __all__ = [
     "rejected",
     "status_filter",
     "union_prior",
+    "with_civil_time",
 ]

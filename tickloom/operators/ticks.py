@@ -18,30 +18,54 @@ from tickloom.functions import (
 from tickloom.schemas import BATCH_MEASURES, TIME_KEY, WAREHOUSE_MEASURES
 
 
+# Civil time of a row, where it has been worked out already.
+CIVIL = ("civil_text", "civil_day")
+
+
+def with_civil_time(df: DataFrame, zone: str, layout: str = "batch") -> DataFrame:
+    """Adds the civil time of the row's epoch in `zone`, as text and as a day.
+
+    `batch` reads the epoch milliseconds in `timestamp`, `warehouse` those in
+    `date`.
+    """
+    if layout == "batch":
+        seconds = seconds_from_millis(F.col("timestamp"))
+    else:
+        seconds = seconds_from_prefix(F.col(TIME_KEY)).try_cast("bigint")
+    timed = df.withColumn("_seconds", seconds)
+    timed = timed.withColumn("_wall", civil_time(F.col("_seconds"), zone))
+    text, day = CIVIL
+    return timed.select(
+        *df.columns,
+        civil_text(F.col("_wall")).alias(text),
+        civil_date(F.col("_wall")).alias(day),
+    )
+
+
 def normalize_ticks(
     df: DataFrame, zone: str, layout: str = "batch", keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """Text fields to a typed row with its civil time and `dt` in `zone`.
 
-    `batch` reads the epoch milliseconds in `timestamp`, `warehouse` those in
-    `date`. `keep` names further columns to carry along.
+    Rows of one snapshot share its time, so `with_civil_time` may be applied
+    before the snapshot is exploded; otherwise it is applied here. `keep` names
+    further columns to carry along.
     """
-    wall = F.col("_wall")
+    text, day = CIVIL
     if layout == "batch":
-        timed = df.withColumn("_seconds", seconds_from_millis(F.col("timestamp")))
-        texts = [F.col("coin"), civil_text(wall).alias("timestamp")]
+        texts = [F.col("coin"), F.col(text).alias("timestamp")]
         measures = BATCH_MEASURES
     elif layout == "warehouse":
         prefix = seconds_from_prefix(F.col(TIME_KEY))
-        timed = df.withColumn("_seconds", prefix.try_cast("bigint"))
-        texts = [F.col("coin"), civil_text(wall).alias("date"), prefix.alias("timestamp")]
+        texts = [F.col("coin"), F.col(text).alias("date"), prefix.alias("timestamp")]
         measures = WAREHOUSE_MEASURES
     else:
         raise ValueError(f"unknown layout: {layout}")
-    return timed.withColumn("_wall", civil_time(F.col("_seconds"), zone)).select(
+    timed = df if set(CIVIL) <= set(df.columns) else with_civil_time(df, zone, layout)
+    return timed.select(
         *texts,
         *[to_double(F.col(name)).alias(name) for name in measures],
-        civil_date(wall).alias("dt"),
+        F.col(day).alias("dt"),
         *keep,
     )
 

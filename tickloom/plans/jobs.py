@@ -17,6 +17,7 @@ from tickloom.operators import (
     explode_snapshot,
     normalize_ticks,
     rejected,
+    with_civil_time,
 )
 from tickloom.scratch import staged
 from tickloom.schemas import BATCH, FIELDS, QUARANTINE, TIME_KEY, WAREHOUSE
@@ -56,7 +57,8 @@ def batch_rows(lines: DataFrame, zone: str) -> DataFrame:
 
     Adds `line_dt` (the partition the line came from), `reason` and `body`.
     """
-    rows = explode_snapshot(decode_envelope(lines.withColumnRenamed("dt", "line_dt")))
+    snapshots = decode_envelope(lines.withColumnRenamed("dt", "line_dt"))
+    rows = explode_snapshot(with_civil_time(snapshots, zone))
     return normalize_ticks(rows, zone, "batch", keep=("line_dt", "reason", "body"))
 
 

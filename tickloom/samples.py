@@ -18,6 +18,7 @@ from tickloom.operators import (
     explode_snapshot,
     normalize_ticks,
     partition_keys,
+    with_civil_time,
 )
 from tickloom.scratch import fresh_path
 from tickloom.schemas import FIELDS, TIME_KEY
@@ -124,8 +125,8 @@ def messages(events: DataFrame) -> DataFrame:
 
 def ticks(events: DataFrame) -> DataFrame:
     """The batch rows of all envelopes with a good status."""
-    rows = accepted(explode_snapshot(decode_envelope(raw_lines(events).select("value"))))
-    return normalize_ticks(rows, ZONE)
+    decoded = with_civil_time(decode_envelope(raw_lines(events).select("value")), ZONE)
+    return normalize_ticks(accepted(explode_snapshot(decoded)), ZONE)
 
 
 def written(spark: SparkSession, sf_dir: str, name: str) -> str:
