@@ -234,6 +234,15 @@ def test_civil_time_in_any_session(spark, any_session, ms, text):
     assert (row.t, row.d) == (text, text and text[:10])
 
 
+@pytest.mark.parametrize("zone", ["Asia/Seoul", "America/New_York", "Europe/Dublin"])
+def test_civil_time_against_convert_timezone(spark, any_session, zone):
+    seconds = F.col("id") * 1777
+    instants = spark.range(-1_000_000, 2_000_000, 1, 8).select(seconds.alias("s"))
+    utc = F.timestamp_add("SECOND", F.col("s"), F.expr("timestamp_ntz'1970-01-01 00:00:00'"))
+    other = F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
+    assert instants.where(~civil_time(F.col("s"), zone).eqNullSafe(other)).count() == 0
+
+
 def test_day_and_hour_keys(spark, any_session):
     df = spark.createDataFrame([(dt.datetime(2024, 3, 9, 17, 30, 1),)], "ts timestamp_ntz")
     row = partition_keys(df, ZONE).first()
