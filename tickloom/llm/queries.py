@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import exact_dedup, mixing, sharding
+from tickloom.llm import byte_bpe, exact_dedup, mixing, sharding, simhash, token_files
 from tickloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +26,17 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op3_token_files")
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return token_files.token_file_round_trip(table(spark, sf_dir, "documents"), vocabulary)
+
+
+@query("op4_simhash")
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(table(spark, sf_dir, "documents"))
+
+
 @query("op5_sharding")
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"))
@@ -78,6 +90,13 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op8_byte_bpe")
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    documents = table(spark, sf_dir, "documents")
+    return byte_bpe.digests(byte_bpe.encode_decode(documents, vocabulary, public_tokenizers.PATTERN))
+
+
 @query(
     "op10_exact_dedup",
     r"""
