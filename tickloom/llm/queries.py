@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import byte_bpe, exact_dedup, mixing, sharding, simhash, token_files
+from tickloom.llm import (
+    byte_bpe,
+    exact_dedup,
+    html_text,
+    language_id,
+    mixing,
+    sharding,
+    simhash,
+    token_files,
+)
 from tickloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +35,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op2_html_text")
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 @query("op3_token_files")
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
@@ -97,6 +111,18 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.encode_decode(documents, vocabulary, public_tokenizers.PATTERN))
 
 
+@query("op9_language_id")
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    named, lang_pred, score = language_id.identify(documents, language_id.fit(documents))
+    return named.select(
+        "doc_id",
+        language_id.held_out().alias("held_out"),
+        F.col(lang_pred).alias("lang_pred"),
+        F.col(score).alias("score"),
+    )
+
+
 @query(
     "op10_exact_dedup",
     r"""
