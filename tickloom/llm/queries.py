@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import (
+    bm25,
     byte_bpe,
     exact_dedup,
     html_text,
     language_id,
+    lm_score,
     mixing,
     sharding,
     simhash,
@@ -35,6 +37,49 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query(
+    "op1_bm25",
+    r"""
+    with words as (
+        select doc_id, unnest(regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x20\x09-\x0D]+'
+        )) as word
+        from documents
+    ), held as (
+        select doc_id, word, count(*) as times from words group by doc_id, word
+    ), lengths as (
+        select doc_id, sum(times) as length from held group by doc_id
+    ), found as (
+        select word, count(*) as docs from held group by word
+    ), corpus as (
+        select (select count(*) from documents) as docs,
+            (select sum(times) from held) / cast((select count(*) from documents) as double) as length
+    ), scored as (
+        select q.doc_id as query_id, d.doc_id,
+            round(sum(
+                ln(1 + (c.docs - f.docs + 0.5) / (f.docs + 0.5))
+                * d.times * 2.2 / (d.times + 1.2 * (0.25 + 0.75 * l.length / c.length))
+            ), 6) as score
+        from held q
+        join held d on q.word = d.word
+        join found f on f.word = d.word
+        join lengths l on l.doc_id = d.doc_id
+        cross join corpus c
+        where q.doc_id % 100 = 0
+        group by q.doc_id, d.doc_id
+    ), ranked as (
+        select *, row_number() over (partition by query_id order by score desc, doc_id) as place from scored
+    )
+    select query_id, cast(place as integer) as rank, doc_id, score from ranked where place <= 10
+    """,
+)
+def op1_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    asked = bm25.query_words(documents.where(F.col("doc_id") % 100 == 0))
+    return bm25.search(asked, bm25.build_index(documents))
+
+
 @query("op2_html_text")
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
@@ -104,6 +149,11 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op7_lm_score")
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_texts(table(spark, sf_dir, "documents"))
+
+
 @query("op8_byte_bpe")
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
