@@ -56,7 +56,7 @@ def reasons(df):
 GOOD = {"AAA": {"opening_price": "1.0", "closing_price": "1.5"}, "date": "1636000000123"}
 
 
-@pytest.mark.parametrize("status", ["0000", "0", "00", 0])
+@pytest.mark.parametrize("status", ["0000", "0", "00", 0, "0.0", "0.4", " 0.", "-.7", 0.2])
 def test_good_status(spark, any_session, status):
     assert coins(exploded(spark, envelope(GOOD, status))) == [("AAA", "1636000000123")]
 
@@ -279,3 +279,22 @@ def test_layouts(spark):
     ]
     with pytest.raises(ValueError):
         normalize_ticks(rows, ZONE, "other")
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Seoul"])
+def test_keys_of_both_kinds_of_time_in_any_session(spark, session_settings, zone):
+    session_settings(zone=zone)
+    instants = spark.sql(
+        "select timestamp_seconds(1636000000) as ts, timestamp_ntz'2021-11-04 04:26:40' as utc"
+    )
+    for column in ("ts", "utc"):
+        row = partition_keys(instants, "Asia/Seoul", column).first()
+        assert (str(row.dt), row.dt_nodash, row.hh) == ("2021-11-04", "20211104", "13")
+    with pytest.raises(TypeError):
+        partition_keys(spark.range(1), "UTC", "id")
+
+
+def test_the_zone_is_looked_up_once_per_row(spark):
+    rows = partition_keys(spark.sql("select timestamp_ntz'2021-11-04 04:26:40' as ts"), "Asia/Seoul")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "convert_timezone" not in plan

@@ -10,7 +10,7 @@ from tickloom.functions.civil import (
     seconds_from_millis,
     seconds_from_prefix,
 )
-from tickloom.functions.text import last_wins, strip_blanks, to_double
+from tickloom.functions.text import last_wins, strip_blanks, to_double, whole_number
 
 __all__ = [
     "civil_date",
@@ -26,4 +26,5 @@ __all__ = [
     "seconds_from_prefix",
     "strip_blanks",
     "to_double",
+    "whole_number",
 ]

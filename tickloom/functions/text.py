@@ -19,6 +19,12 @@ def to_double(text: Column) -> Column:
     return text.try_cast("double")
 
 
+def whole_number(text: Column) -> Column:
+    """Text to a whole number, a decimal fraction cut off; null for anything else."""
+    whole = F.regexp_replace(text, r"^(\s*[+-]?)(\d*)\.\d*(\s*)$", "$10$2")
+    return whole.try_cast("bigint")
+
+
 def last_wins(entries: Column) -> Column:
     """A parsed JSON map in which the last of several equal keys is the one kept.
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions import in_calendar, last_wins, seconds_from_millis
+from tickloom.functions import in_calendar, last_wins, seconds_from_millis, whole_number
 from tickloom.schemas import ENVELOPE, FIELDS, TIME_KEY
 
 BAD_STATUS = "status"
@@ -20,8 +20,8 @@ BAD_TIME = "time"
 
 
 def _status_ok(status: Column, ok_status: int) -> Column:
-    # Numeric: "0000", "00" and "0" are the same code, "E1" and null are none.
-    return F.coalesce(status.try_cast("bigint") == F.lit(ok_status), F.lit(False))
+    # Numeric: "0000", "0" and "0.0" are the same code, "E1" and null are none.
+    return F.coalesce(whole_number(status) == F.lit(ok_status), F.lit(False))
 
 
 def status_filter(df: DataFrame, ok_status: int = 0, column: str = "status") -> DataFrame:

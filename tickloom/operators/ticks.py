@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.days import as_date
 from tickloom.functions import (
     civil_date,
     civil_text,
@@ -14,6 +15,7 @@ from tickloom.functions import (
     seconds_from_millis,
     seconds_from_prefix,
     to_double,
+    whole_number,
 )
 from tickloom.schemas import BATCH_MEASURES, TIME_KEY, WAREHOUSE_MEASURES
 
@@ -31,7 +33,7 @@ def with_civil_time(df: DataFrame, zone: str, layout: str = "batch") -> DataFram
     if layout == "batch":
         seconds = seconds_from_millis(F.col("timestamp"))
     else:
-        seconds = seconds_from_prefix(F.col(TIME_KEY)).try_cast("bigint")
+        seconds = whole_number(seconds_from_prefix(F.col(TIME_KEY)))
     timed = df.withColumn("_seconds", seconds)
     timed = timed.withColumn("_wall", civil_time(F.col("_seconds"), zone))
     text, day = CIVIL
@@ -72,12 +74,12 @@ def normalize_ticks(
 
 def day_slice(df: DataFrame, day: dt.date | str, column: str = "dt") -> DataFrame:
     """Rows of one civil day."""
-    return df.where(F.col(column) == F.lit(str(day)).cast("date"))
+    return df.where(F.col(column) == F.lit(as_date(day)))
 
 
 def day_range(
     df: DataFrame, day: dt.date | str, until: dt.date | str, column: str = "dt"
 ) -> DataFrame:
     """Rows of the days from `day` up to, but not including, `until`."""
-    first, stop = F.lit(str(day)).cast("date"), F.lit(str(until)).cast("date")
+    first, stop = F.lit(as_date(day)), F.lit(as_date(until))
     return df.where((F.col(column) >= first) & (F.col(column) < stop))

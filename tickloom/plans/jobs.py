@@ -9,9 +9,10 @@ from zoneinfo import ZoneInfo
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.days import as_date
+from tickloom.functions import civil_date, civil_time
 from tickloom.operators import (
     accepted,
-    day_slice,
     decode_envelope,
     decode_flat,
     explode_snapshot,
@@ -20,7 +21,7 @@ from tickloom.operators import (
     with_civil_time,
 )
 from tickloom.scratch import staged
-from tickloom.schemas import BATCH, FIELDS, QUARANTINE, TIME_KEY, WAREHOUSE
+from tickloom.schemas import BATCH, FIELDS, QUARANTINE, QUARANTINE_KEY, TIME_KEY, WAREHOUSE
 from tickloom.sinks import append_days, compact_small_files, merge_partitions, replace_day
 from tickloom.sinks.merge import MergeReport
 from tickloom.sources import read_snapshots
@@ -55,11 +56,16 @@ def land_hour(
 def batch_rows(lines: DataFrame, zone: str) -> DataFrame:
     """Raw lines to batch rows, with rejects marked, in one pass and no shuffle.
 
-    Adds `line_dt` (the partition the line came from), `reason` and `body`.
+    Adds `line_dt` and `landed` (the partition the line came from), `reason`, `body` and the
+    body's `digest`.
     """
+    if "landed" not in lines.columns:
+        lines = lines.withColumn("landed", F.lit(None).cast("int"))
     snapshots = decode_envelope(lines.withColumnRenamed("dt", "line_dt"))
     rows = explode_snapshot(with_civil_time(snapshots, zone))
-    return normalize_ticks(rows, zone, "batch", keep=("line_dt", "reason", "body"))
+    marks = ("line_dt", "landed", "reason", "body")
+    ticks = normalize_ticks(rows, zone, "batch", keep=marks)
+    return ticks.withColumn("digest", F.sha2("body", 256))
 
 
 def hourly_batch(
@@ -105,17 +111,25 @@ def load_batch(
         if quarantine is not None and counts:
             # A line outside any day directory goes under the first day.
             landed = F.coalesce("line_dt", F.lit(NO_DAY)).alias("dt")
-            merge_partitions(
-                bad.select("reason", "coin", "body", landed),
-                quarantine,
-                QUARANTINE,
-                stage=False,
-                task_rows=TASK_LINES,
-                rewrite=rewrite,
-            )
+            rejects = bad.select("reason", "coin", "body", "digest", "landed", landed)
+            _keep_rejects(rejects, quarantine, rewrite)
     return BatchReport(merged, counts)
 
 
+def _keep_rejects(rejects: DataFrame, quarantine: str, rewrite: bool = False) -> None:
+    """Merges rejects by their digest: no stored text is read, and none is shuffled twice."""
+    merge_partitions(
+        rejects,
+        quarantine,
+        QUARANTINE,
+        stage=False,
+        task_rows=TASK_LINES,
+        rewrite=rewrite,
+        key=QUARANTINE_KEY,
+        clock="landed",
+    )
+
+
 def warehouse_rows(messages: DataFrame, zone: str) -> DataFrame:
     """Topic messages to warehouse rows of every day; `dt` is null without a time."""
     return normalize_ticks(decode_flat(messages), zone, "warehouse")
@@ -126,48 +140,74 @@ def daily_load(
     out: str,
     day: dt.date | str,
     zone: str,
-    mode: str = "replace",
+    mode: str = "merge",
     files: int | None = None,
     quarantine: str | None = None,
+    shrink: bool = False,
 ) -> None:
     """Loads the messages of one civil day into the warehouse table.
 
-    `replace` is safe to repeat; `append` adds the rows once more on each run.
-    Messages without a usable time belong to no day. With `quarantine` the run
-    keeps them in that table, under the day it loads.
+    `merge` adds the rows that the day lacks: safe to repeat, and it never removes a row, also when
+    the topic has forgotten some. Rows that are equal in every column become one. `append` adds all
+    rows once more on each run. `replace` makes the messages the whole day; it refuses to leave the
+    day with fewer rows than it has unless `shrink` says so.
+
+    Messages without a usable time belong to no day. With `quarantine` the run merges them into
+    that table, under the day it loads.
     """
-    if mode not in ("append", "replace"):
+    if mode not in ("merge", "append", "replace"):
         raise ValueError(f"unknown mode: {mode}")
-    if quarantine is None:
-        _load_day(warehouse_rows(messages, zone), out, day, mode, files)
-        return
-    with staged(_day_and_rejects(messages, day, zone), "daily") as rows:
-        _load_day(rows.select(*WAREHOUSE.names), out, day, mode, files, stage=False)
-        bad = rows.where(F.col("dt").isNull()).select(
-            "reason", "body", F.lit(str(day)).cast("date").alias("dt")
-        )
-        replace_day(bad, quarantine, day, stage=False)
-
-
-def _load_day(
-    rows: DataFrame, out: str, day: dt.date | str, mode: str, files: int | None, stage: bool = True
-) -> None:
-    if mode == "append":
-        append_days(day_slice(rows, day), out, files)
-    else:
-        replace_day(rows, out, day, files, stage)
+    day = as_date(day)
+    with staged(marked_messages(messages, zone, day), "daily") as rows:
+        good = rows.where(F.col("reason").isNull()).select(*WAREHOUSE.names)
+        if mode == "append":
+            append_days(good, out, files)
+        elif mode == "merge":
+            merge_partitions(good, out, WAREHOUSE, stage=False, rewrite=False)
+        else:
+            replace_day(good, out, day, files, stage=False, shrink=shrink)
+        if quarantine is not None:
+            rejects = rows.where(F.col("reason").isNotNull())
+            _keep_rejects(rejects.select(*QUARANTINE.names[:-1], F.lit(day).alias("dt")), quarantine)
+
+
+def load_messages(messages: DataFrame, out: str, zone: str, quarantine: str | None = None) -> None:
+    """Merges messages of all days into the warehouse table, and those without a time into `quarantine`.
+
+    Safe to repeat. Rejects go under the civil day on which they arrived.
+    """
+    with staged(marked_messages(messages, zone), "messages") as rows:
+        good = rows.where(F.col("reason").isNull()).select(*WAREHOUSE.names)
+        merge_partitions(good, out, WAREHOUSE, stage=False, rewrite=False)
+        if quarantine is not None:
+            arrived = F.coalesce("arrived", F.lit(NO_DAY)).alias("dt")
+            rejects = rows.where(F.col("reason").isNotNull())
+            _keep_rejects(rejects.select(*QUARANTINE.names[:-1], arrived), quarantine)
 
 
-def _day_and_rejects(messages: DataFrame, day: dt.date | str, zone: str) -> DataFrame:
-    flat = decode_flat(messages, keep=("value",)).withColumn(
-        "_empty", F.coalesce(*FIELDS, "coin", TIME_KEY).isNull()
-    )
-    rows = normalize_ticks(flat, zone, "warehouse", keep=("value", "_empty"))
+def marked_messages(messages: DataFrame, zone: str, day: dt.date | None = None) -> DataFrame:
+    """Warehouse rows with `reason`, `body`, `digest` and the day they `arrived`, in one pass.
+
+    With `day` only the rows of that day, and those of none. The reason is `message` for one
+    without any known field and `time` for one without a usable time.
+    """
+    arrival = F.lit(None).cast("date")
+    if "timestamp" in messages.columns:
+        arrival = civil_date(civil_time(F.unix_seconds("timestamp"), zone))
+    flat = decode_flat(messages.withColumn("_arrived", arrival), keep=("value", "_arrived"))
+    flat = flat.withColumn("_empty", F.coalesce(*FIELDS, "coin", TIME_KEY).isNull())
+    rows = normalize_ticks(flat, zone, "warehouse", keep=("value", "_empty", "_arrived"))
     timeless = F.col("dt").isNull()
-    return rows.where(timeless | (F.col("dt") == F.lit(str(day)).cast("date"))).select(
+    if day is not None:
+        rows = rows.where(timeless | (F.col("dt") == F.lit(day)))
+    body = F.when(timeless, F.col("value").cast("string"))
+    return rows.select(
         *WAREHOUSE.names,
         F.when(timeless & F.col("_empty"), F.lit("message"))
         .when(timeless, F.lit("time"))
         .alias("reason"),
-        F.when(timeless, F.col("value").cast("string")).alias("body"),
+        body.alias("body"),
+        F.sha2(body, 256).alias("digest"),
+        F.lit(None).cast("int").alias("landed"),
+        F.col("_arrived").alias("arrived"),
     )

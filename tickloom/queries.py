@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,18 +21,21 @@ from tickloom.functions import (
     to_double,
 )
 from tickloom.operators import (
+    accepted,
     day_slice,
     decode_envelope,
     decode_flat,
     dedupe_exact,
+    explode_snapshot,
     normalize_ticks,
     partition_counts,
     partition_keys,
     previous_day,
     status_filter,
     union_prior,
+    with_civil_time,
 )
-from tickloom.plans.jobs import daily_load, hourly_batch, warehouse_rows
+from tickloom.plans.jobs import daily_load, hourly_batch, land_hour, warehouse_rows
 from tickloom.scratch import fresh_path
 from tickloom.samples import ZONE
 from tickloom.schemas import BATCH, FIELDS, QUARANTINE, TIME_KEY, WAREHOUSE
@@ -107,23 +112,24 @@ def _ms(ts: str) -> str:
 
 
 _RANKED = f"""
-with ranked as (
+with numbered as (
   select *, {_K},
     row_number() over (
-      partition by user_id, cast(ts as date), event_type order by ts desc, event_id desc) as rn,
-    max(ts) over (partition by user_id, cast(ts as date)) as seen
+      partition by user_id, cast(ts as date), event_type order by ts, event_id) as nth
   from events
+), ranked as (
+  select *, max(ts) over (partition by user_id, cast(ts as date), nth) as seen from numbered
 )"""
 _TICKS = f"""{_RANKED}, ticks as (
   select event_type as coin, {_civil("seen")} as "timestamp", {_MEASURE_SQL}, {_day("seen")} as dt,
-    hour(seen + interval 9 hour) as hh
-  from ranked where rn = 1 and hour(seen) not in (3, 5, 7)
+    strftime(seen + interval 9 hour, '%H') as hh, event_id
+  from ranked where hour(seen) not in (3, 5, 7)
 )"""
 _FEEDS = f"""{_RANKED}, feeds as (
-  select user_id, cast(ts as date) as d, max(seen) as seen, count(*) as instruments,
+  select user_id, cast(ts as date) as d, nth, max(seen) as seen, count(*) as instruments,
     case hour(max(seen)) when 3 then '5600' when 4 then '0' when 5 then 'E1' when 6 then '00'
-      when 7 then null else '0000' end as status
-  from ranked where rn = 1 group by 1, 2
+      when 7 then null when 8 then '0.0' else '0000' end as status
+  from ranked group by 1, 2, 3
 )"""
 _BATCH = ", ".join(f'"{name}"' for name in BATCH.names)
 _WAREHOUSE = f"""
@@ -166,27 +172,57 @@ def _described(lines: DataFrame, *others: str) -> DataFrame:
     return decoded.select(*others, "status", "timestamp", instruments)
 
 
+def _typed(lines: DataFrame, *others: str) -> DataFrame:
+    """The typed rows of the lines, with the day that their files lie under."""
+    timed = with_civil_time(decode_envelope(lines.withColumnRenamed("dt", "line_dt")), ZONE)
+    marks = ("line_dt", *others, "reason", "body")
+    return accepted(normalize_ticks(explode_snapshot(timed), ZONE, keep=marks))
+
+
+def _compacted(spark: SparkSession, sf_dir: str) -> str:
+    path = fresh_path(spark, "compacted")
+    compact_small_files(spark, samples.written(spark, sf_dir, "documents"), path)
+    return path
+
+
 # --- sources -----------------------------------------------------------------
 
 
-@check(
-    "small_file_scan",
-    f"{_FEEDS} select {_day('seen')} as dt, strftime(seen + interval 9 hour, '%H') as hh, status, "
-    f'{_ms("seen")} as "timestamp", instruments from feeds'
-)
+@check("small_file_scan", f"{_TICKS} select {_BATCH}, dt as line_dt, hh from ticks")
 def small_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_documents(spark, samples.written(spark, sf_dir, "documents"))
-    return _described(docs.withColumn("value", strip_blanks(F.col("value"))), "dt", "hh")
+    return _typed(docs.withColumn("value", strip_blanks(F.col("value"))), "hh")
+
+
+@check("raw_text_scan", f"{_TICKS} select {_BATCH}, dt as line_dt from ticks")
+def raw_text_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _typed(read_snapshots(spark, samples.written(spark, sf_dir, "lines")))
 
 
 @check(
-    "raw_text_scan",
-    f'{_FEEDS} select {_day("seen")} as dt, status, {_ms("seen")} as "timestamp", instruments '
-    "from feeds"
+    "raw_text_scan_hour",
+    f"{_TICKS} select {_BATCH}, dt as line_dt, cast(hh as integer) as landed from ticks where hh = '13'",
 )
-def raw_text_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = read_snapshots(spark, samples.written(spark, sf_dir, "lines"))
-    return _described(lines, "dt")
+def raw_text_scan_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _typed(read_snapshots(spark, _compacted(spark, sf_dir), hour=13), "landed")
+
+
+@check(
+    "snapshot_accounting",
+    f"""{_RANKED} select count(*) filter (where hour(seen) not in (3, 5, 7)) as good,
+      count(*) filter (where hour(seen) in (3, 5, 7)) as bad, (select count(*) from events) as events
+      from ranked""",
+)
+def snapshot_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event is an instrument of a good snapshot or of a rejected one."""
+    decoded = decode_envelope(_lines(spark, sf_dir))
+    instruments = F.size("payload").cast("bigint") - 1
+    good = F.col("reason").isNull()
+    return decoded.agg(
+        F.sum(F.when(good, instruments)).alias("good"),
+        F.sum(F.when(~good, instruments)).alias("bad"),
+        F.sum(instruments).alias("events"),
+    )
 
 
 @check(
@@ -205,6 +241,18 @@ def topic_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@check(
+    "topic_scan_bounded",
+    f"""select event_id as "offset" from events
+      where ts >= timestamp '{DAY} 00:00:00' - interval 10 hour
+        and ts < timestamp '{DAY} 00:00:00' + interval 16 hour""",
+)
+def topic_scan_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hour = dt.timedelta(hours=1)
+    path = samples.written(spark, sf_dir, "topic")
+    return read_topic(spark, path, DAY, ZONE, slack=hour, late=hour).select("offset")
+
+
 @check(
     "partition_filter",
     f"{_FEEDS} select {_day('seen')} as dt, count(*) as \"count\" from feeds "
@@ -241,7 +289,7 @@ def envelope_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 @check(
     "status_filter",
     f'{_FEEDS} select status, {_ms("seen")} as "timestamp" from feeds '
-    "where status in ('0000', '00', '0')"
+    "where status in ('0000', '00', '0', '0.0')"
 )
 def status_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return status_filter(decode_envelope(_lines(spark, sf_dir))).select("status", "timestamp")
@@ -344,8 +392,8 @@ def distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check(
     "union_prior",
-    f"{_TICKS} select {_BATCH} from ticks where hh < 16 "
-    f"union all select {_BATCH} from ticks where hh >= 8"
+    f"{_TICKS} select {_BATCH} from ticks where hh < '16' "
+    f"union all select {_BATCH} from ticks where hh >= '08'"
 )
 def union_with_prior(spark: SparkSession, sf_dir: str) -> DataFrame:
     prior, new = _halves(spark, sf_dir)
@@ -355,20 +403,15 @@ def union_with_prior(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- sinks -------------------------------------------------------------------
 
 
-@check(
-    "compact_small_files",
-    f'{_FEEDS} select {_day("seen")} as dt, status, {_ms("seen")} as "timestamp", instruments '
-    "from feeds"
-)
+@check("compact_small_files", f"{_TICKS} select {_BATCH}, dt as line_dt, hh from ticks")
 def compacted_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = fresh_path(spark, "compacted")
-    compact_small_files(spark, samples.written(spark, sf_dir, "documents"), path)
-    return _described(read_snapshots(spark, path), "dt")
+    lines = spark.read.schema("value string, dt date, hh string").text(_compacted(spark, sf_dir))
+    return _typed(lines, "hh")
 
 
 @check(
     "dynamic_partition_overwrite",
-    f"{_TICKS} select {_BATCH} from ticks where dt < date '{DAY}' or hh >= 8",
+    f"{_TICKS} select {_BATCH} from ticks where dt < date '{DAY}' or hh >= '08'",
 )
 def dynamic_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _stored(spark, _ticks(spark, sf_dir))
@@ -379,8 +422,8 @@ def dynamic_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check(
     "append_partitioned",
-    f"{_TICKS} select {_BATCH} from ticks where hh < 16 "
-    f"union all select {_BATCH} from ticks where hh >= 8"
+    f"{_TICKS} select {_BATCH} from ticks where hh < '16' "
+    f"union all select {_BATCH} from ticks where hh >= '08'"
 )
 def append_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "table")
@@ -390,11 +433,11 @@ def append_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_ticks(spark, path)
 
 
-@check("replace_day", f"{_TICKS} select {_BATCH} from ticks where dt <> date '{DAY}' or hh >= 8")
+@check("replace_day", f"{_TICKS} select {_BATCH} from ticks where dt <> date '{DAY}' or hh >= '08'")
 def replaced_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _stored(spark, _ticks(spark, sf_dir))
     _, new = _halves(spark, sf_dir)
-    replace_day(new, path, DAY)
+    replace_day(new, path, DAY, shrink=True)
     replace_day(new, path, DAY)
     return read_ticks(spark, path)
 
@@ -431,7 +474,7 @@ def batch_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     "quarantine",
     f"{_FEEDS} select distinct {_day('seen')} as dt, 'status' as reason, status, "
     f'{_ms("seen")} as "timestamp" from feeds '
-    "where status is null or status not in ('0000', '00', '0')"
+    "where status is null or status not in ('0000', '00', '0', '0.0')"
 )
 def quarantined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "batch")
@@ -453,6 +496,51 @@ def warehouse_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_ticks(spark, path, WAREHOUSE)
 
 
+@check(
+    "daily_load_append",
+    f"select * from ({_WAREHOUSE}) where dt = date '{DAY}' "
+    f"union all select * from ({_WAREHOUSE}) where dt = date '{DAY}'",
+)
+def warehouse_append_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "warehouse")
+    topic = read_topic(spark, samples.written(spark, sf_dir, "topic"))
+    daily_load(topic, path, DAY, ZONE, mode="append")
+    daily_load(topic, path, DAY, ZONE, mode="append")
+    return read_ticks(spark, path, WAREHOUSE)
+
+
+@check("daily_load_replace", f"select * from ({_WAREHOUSE}) where dt = date '{DAY}'")
+def warehouse_replace_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "warehouse")
+    topic = read_topic(spark, samples.written(spark, sf_dir, "topic"))
+    daily_load(topic, path, DAY, ZONE, mode="append")
+    daily_load(topic, path, DAY, ZONE, mode="replace")
+    return read_ticks(spark, path, WAREHOUSE)
+
+
+def _landed(spark: SparkSession, sf_dir: str, path: str) -> list[tuple[dt.date, int]]:
+    """The small files of DAY, landed hour by hour."""
+    source = samples.written(spark, sf_dir, "documents")
+    start = dt.datetime.combine(dt.date.fromisoformat(DAY), dt.time(), ZoneInfo(ZONE))
+    hours = [start + dt.timedelta(hours=h) for h in range(24)]
+    return [land_hour(spark, source, path, hour, ZONE) for hour in hours]
+
+
+@check("land_hour", f"{_TICKS} select {_BATCH}, dt as line_dt from ticks where dt = date '{DAY}'")
+def landed_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "landed")
+    _landed(spark, sf_dir, path)
+    return _typed(read_snapshots(spark, path))
+
+
+@check("hourly_batch_hours", f"{_TICKS} select distinct {_BATCH} from ticks where dt = date '{DAY}'")
+def batch_job_by_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw, path = fresh_path(spark, "landed"), fresh_path(spark, "batch")
+    for day, hour in _landed(spark, sf_dir, raw):
+        hourly_batch(spark, raw, path, ZONE, day, hour=hour, rewrite=False)
+    return read_ticks(spark, path)
+
+
 # --- incremental loads -------------------------------------------------------
 
 
@@ -474,3 +562,27 @@ def warehouse_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         query = stream_warehouse(messages, path, f"{path}-state", ZONE)
         query.awaitTermination()
     return read_ticks(spark, path, WAREHOUSE)
+
+
+@check(
+    "warehouse_stream_rejects",
+    f"""select {_day("ts")} as dt, 'time' as reason, event_type as coin, event_id from events
+      where event_id % 7 = 0""",
+)
+def warehouse_stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A topic in which every seventh message has lost its time: none of them is lost."""
+    topic, path = fresh_path(spark, "topic"), fresh_path(spark, "warehouse")
+    messages = read_topic(spark, samples.written(spark, sf_dir, "topic"))
+    text = F.col("value").cast("string")
+    timeless = F.regexp_replace(text, f'"{TIME_KEY}":"[^"]*"', f'"{TIME_KEY}":"soon"')
+    value = F.when(F.col("offset") % 7 == 0, timeless).otherwise(text).cast("binary")
+    messages.withColumn("value", value).write.parquet(topic)
+    for _ in range(2):
+        query = stream_warehouse(
+            stream_topic(spark, topic), path, f"{path}-state", ZONE, f"{path}-rejects"
+        )
+        query.awaitTermination()
+    rejects = read_ticks(spark, f"{path}-rejects", QUARANTINE)
+    event = F.get_json_object("body", "$.acc_trade_value").cast("double").cast("bigint")
+    coin = F.get_json_object("body", "$.coin")
+    return rejects.select("dt", "reason", coin.alias("coin"), event.alias("event_id"))

@@ -1,14 +1,13 @@
 """Tick inputs in every source shape, derived by Spark from the `events` table.
 
 An event is a quote: its type is the instrument, its value the closing price.
-Each user is a feed that emits one snapshot a day, holding the feed's latest
-quote per instrument. The inputs grow with the table, and a hot user or type
-collapses in the map-side part of the aggregation.
+Each user is a feed whose n-th quotes of a day, of all instruments, make one
+snapshot, so every event is in exactly one. The inputs grow with the table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions import epoch_millis
@@ -57,19 +56,16 @@ def _fields() -> list:
 
 
 def snapshots(events: DataFrame) -> DataFrame:
-    """One envelope per feed and UTC day: `value`, `at` (UTC time of the latest quote).
+    """Envelopes of feeds and UTC days: `value`, `at` (UTC time of the latest quote).
 
     The status depends on the hour of `at`: 03 and 05 hold error codes, 07 has
-    none, 04 and 06 spell success in other ways.
+    none, 04, 06 and 08 spell success in other ways.
     """
-    latest = events.groupBy(
-        "user_id", F.col("ts").cast("date").alias("day"), "event_type"
-    ).agg(F.max(F.struct("ts", "event_id", "value", "props")).alias("q"))
-    quotes = latest.select(
-        "user_id", "day", "event_type", "q.ts", "q.event_id", "q.value", "q.props"
-    )
+    day = F.col("ts").cast("date")
+    in_order = Window.partitionBy("user_id", "day", "event_type").orderBy("ts", "event_id")
+    quotes = events.withColumn("day", day).withColumn("nth", F.row_number().over(in_order))
     entry = F.struct("event_type", F.struct(*_fields()))
-    feeds = quotes.groupBy("user_id", "day").agg(
+    feeds = quotes.groupBy("user_id", "day", "nth").agg(
         F.max("ts").alias("at"),
         # One entry per event type at most.
         F.to_json(F.map_from_entries(F.collect_list(entry))).alias("quotes"),
@@ -81,6 +77,7 @@ def snapshots(events: DataFrame) -> DataFrame:
         .when(hour == 5, '"E1"')
         .when(hour == 6, '"00"')
         .when(hour == 7, "null")
+        .when(hour == 8, '"0.0"')
         .otherwise('"0000"')
     )
     data = F.concat(

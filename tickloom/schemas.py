@@ -67,14 +67,19 @@ def _table(texts: tuple[str, ...], measures: tuple[str, ...]) -> T.StructType:
 BATCH = _table(("coin", "timestamp"), BATCH_MEASURES)
 WAREHOUSE = _table(("coin", "date", "timestamp"), WAREHOUSE_MEASURES)
 
-# Rejected lines and instruments, by the day their line landed on.
+# Rejected lines and instruments, by the day their line landed on. `digest` is the SHA-256 of the
+# body, `landed` the hour the line landed in, where its path tells.
 QUARANTINE = (
     T.StructType()
     .add("reason", T.StringType())
     .add("coin", T.StringType())
     .add("body", T.StringType())
+    .add("digest", T.StringType())
+    .add("landed", T.IntegerType())
     .add("dt", T.DateType())
 )
+# What tells rejects apart.
+QUARANTINE_KEY = ("reason", "coin", "digest", "landed", "dt")
 
 ENVELOPE = "status string, data map<string,string>"
 
@@ -87,5 +92,13 @@ TOPIC = T.StructType(
         T.StructField("offset", T.LongType()),
         T.StructField("timestamp", T.TimestampType()),
         T.StructField("timestampType", T.IntegerType()),
+        T.StructField(
+            "headers",
+            T.ArrayType(
+                T.StructType(
+                    [T.StructField("key", T.StringType()), T.StructField("value", T.BinaryType())]
+                )
+            ),
+        ),
     ]
 )

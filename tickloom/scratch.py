@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tickloom.hadoop import remove
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
-_local_roots: dict[str, str] = {}
+_local_roots: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -24,8 +24,9 @@ def scratch_root(spark: SparkSession) -> str:
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that every executor reaches")
     app = spark.conf.get("spark.app.id", "local")
     if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="tickloom-")
-    return _local_roots[app]
+        # Removed when the interpreter ends.
+        _local_roots[app] = tempfile.TemporaryDirectory(prefix="tickloom-", ignore_cleanup_errors=True)
+    return _local_roots[app].name
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
@@ -40,8 +41,8 @@ def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
     try:
+        df.write.parquet(path)
         yield spark.read.schema(df.schema).parquet(path)
     finally:
         remove(spark, path)

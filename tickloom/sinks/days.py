@@ -6,10 +6,12 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 
+from tickloom.days import as_date
 from tickloom.operators.ticks import day_slice
 from tickloom.scratch import staged
 from tickloom.sinks.layout import packed, spread
-from tickloom.sources.paths import as_date, no_rows
+from tickloom.sources.paths import no_rows
+from tickloom.sources.tables import read_days
 
 
 def write_dynamic(df: DataFrame, path: str, *keys: str, fmt: str = "parquet") -> None:
@@ -49,27 +51,34 @@ def replace_day(
     day: dt.date | str,
     files: int | None = None,
     stage: bool = True,
+    shrink: bool = False,
 ) -> int:
     """Makes `df`'s rows of `day` the whole content of that day; gives their number.
 
-    Safe to repeat. Without rows the day ends up empty. The slice is staged, so
-    that file footers give its number of rows and the final write needs no
-    shuffle. Pass `stage=False` for a plain table scan.
+    Safe to repeat. A day is not left with fewer rows than it has, or empty, unless `shrink` says
+    so: a source may have forgotten some of them. The slice is staged, so that file footers give
+    its number of rows and the final write needs no shuffle. Pass `stage=False` for a plain table
+    scan.
     """
+    day = as_date(day)
     rows = day_slice(df, day)
     if not stage:
-        return _replace(rows, path, day, files)
+        return _replace(rows, path, day, files, shrink)
     with staged(rows, "day") as slice_:
-        return _replace(slice_, path, day, files)
+        return _replace(slice_, path, day, files, shrink)
 
 
-def _replace(rows: DataFrame, path: str, day: dt.date | str, files: int | None) -> int:
+def _replace(rows: DataFrame, path: str, day: dt.date, files: int | None, shrink: bool) -> int:
     count = rows.count()
+    if not shrink:
+        stored = read_days(rows.sparkSession, path, [day], rows.schema).count()
+        if count < stored:
+            raise ValueError(f"{day} holds {stored} rows and would keep {count}; see shrink")
     if count:
         tasks = packed(rows, count) if files is None else rows.repartition(files)
         write_dynamic(tasks, path, "dt")
     else:
         # A dynamic overwrite leaves a day alone when it gets no rows for it.
         empty = no_rows(rows.sparkSession, rows.drop("dt").schema)
-        empty.write.mode("overwrite").parquet(f"{path.rstrip('/')}/dt={as_date(day)}")
+        empty.write.mode("overwrite").parquet(f"{path.rstrip('/')}/dt={day}")
     return count

@@ -2,22 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Write tasks per key where the runtime cannot split a hot one itself.
-SALTS = 32
-
 # Tick rows per task: some 250 MB in memory, and a file of some ten to a hundred
 # MB. Rows are counted because file sizes tell little: in another order the same
 # rows can take several times the space.
 TASK_ROWS = 2_000_000
 
-# Wider shuffles cost more in tiny blocks than they save in spilling.
-MOST_SHUFFLE_TASKS = 20_000
 SHUFFLE_TASKS = "spark.sql.shuffle.partitions"
 
 
@@ -25,13 +17,17 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Gathers rows by `keys` for the writer, without one task per hot key.
 
     With adaptive execution a rebalance splits large keys by size and packs
-    small ones together. Without it each key goes to up to `SALTS` tasks, chosen
-    by the row's own values, so that a recomputed task gets the same rows.
+    small ones together. Without it a range shuffle does, by a sample of the
+    rows: in order of key, then of the row's values and the task it comes from.
+    So equal rows of several tasks part too, and a repeated task gets the same
+    rows.
     """
     if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
         return df.hint("rebalance", *keys)
     rest = [name for name in df.columns if name not in keys]
-    return df.repartition(*keys, F.pmod(F.xxhash64(*rest), F.lit(SALTS)))
+    marked = df.withColumn("_task", F.spark_partition_id())
+    marked = marked.withColumn("_place", F.xxhash64("_task", *rest))
+    return marked.repartitionByRange(*keys, "_place").drop("_task", "_place")
 
 
 def packed(df: DataFrame, rows: int, task_rows: int = TASK_ROWS) -> DataFrame:
@@ -43,20 +39,19 @@ def packed(df: DataFrame, rows: int, task_rows: int = TASK_ROWS) -> DataFrame:
     return df.coalesce(max(1, -(-rows // task_rows)))
 
 
-@contextmanager
-def shuffle_width(spark: SparkSession, rows: int, task_rows: int = TASK_ROWS) -> Iterator[None]:
-    """Raises the session's number of shuffle tasks to fit `rows`, inside the block.
+def widened(spark: SparkSession, rows: int, task_rows: int = TASK_ROWS) -> SparkSession:
+    """A session whose shuffles have a task for every `task_rows` rows, or more.
 
     Adaptive execution joins small shuffle tasks, but cannot split those of a
-    dedupe. The session's number stays where it is large enough.
+    dedupe. The given session and its settings stay as they are; if it is wide
+    enough it is returned itself.
     """
-    before = spark.conf.get(SHUFFLE_TASKS)
-    needed = min(-(-rows // task_rows), MOST_SHUFFLE_TASKS)
-    if needed <= int(before):
-        yield
-        return
-    spark.conf.set(SHUFFLE_TASKS, str(needed))
-    try:
-        yield
-    finally:
-        spark.conf.set(SHUFFLE_TASKS, before)
+    needed = -(-rows // task_rows)
+    if needed <= int(spark.conf.get(SHUFFLE_TASKS)):
+        return spark
+    wide = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if name.startswith("spark.sql.") and spark.conf.isModifiable(name):
+            wide.conf.set(name, value)
+    wide.conf.set(SHUFFLE_TASKS, str(needed))
+    return wide

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -13,7 +14,7 @@ from tickloom.operators.sets import dedupe_exact, union_prior
 from tickloom.scratch import staged
 from tickloom.schemas import BATCH
 from tickloom.sinks.days import append_days, overwrite_days, write_dynamic
-from tickloom.sinks.layout import TASK_ROWS, packed, shuffle_width
+from tickloom.sinks.layout import TASK_ROWS, packed, widened
 from tickloom.sources.paths import MAX_LISTED_DAYS
 from tickloom.sources.tables import read_days, read_optional
 
@@ -28,10 +29,13 @@ CLOCK = "timestamp"
 
 @dataclass(frozen=True)
 class MergeReport:
-    """`days` lists the touched days, or is None where they are too many to list."""
+    """The touched days. There are no more of them than the calendar has."""
 
-    day_count: int
-    days: tuple[dt.date, ...] | None
+    days: tuple[dt.date, ...]
+
+    @property
+    def day_count(self) -> int:
+        return len(self.days)
 
 
 def merge_partitions(
@@ -41,6 +45,8 @@ def merge_partitions(
     stage: bool = True,
     task_rows: int = TASK_ROWS,
     rewrite: bool = True,
+    key: Sequence[str] | None = None,
+    clock: str = CLOCK,
 ) -> MergeReport:
     """Adds `new` to the stored rows of every day it touches, without copies.
 
@@ -53,61 +59,103 @@ def merge_partitions(
     the cost then follows the new rows, not the day, and no stored file is ever
     removed. Both give the same rows for a table that only this function writes.
 
+    `key` names columns that tell rows apart, for tables with long texts: only
+    these are compared, and an appending merge reads no others of the stored
+    rows. `clock` is a column by whose range stored rows are narrowed.
+
     `new` is read twice (for its days and for its rows). It is staged as a table
     in the scratch folder first; pass `stage=False` if it is a plain table scan.
     `task_rows` sizes the shuffle and, for few days, the files.
     """
     if not stage:
-        return _merge(new.select(*schema.names), path, schema, task_rows, rewrite)
+        return _merge(new.select(*schema.names), path, schema, task_rows, rewrite, key, clock)
     with staged(new.select(*schema.names), "merge") as rows:
-        return _merge(rows, path, schema, task_rows, rewrite)
+        return _merge(rows, path, schema, task_rows, rewrite, key, clock)
 
 
 def _merge(
-    new: DataFrame, path: str, schema: StructType, task_rows: int, rewrite: bool
+    new: DataFrame,
+    path: str,
+    schema: StructType,
+    task_rows: int,
+    rewrite: bool,
+    key: Sequence[str] | None,
+    clock: str,
 ) -> MergeReport:
     spark = new.sparkSession
-    touched = new.groupBy("dt").count()
-    counts = {row["dt"]: row["count"] for row in touched.limit(MAX_LISTED_DAYS + 1).collect()}
-    listable = len(counts) <= MAX_LISTED_DAYS
-    if None in counts or (not listable and not touched.where("dt is null").isEmpty()):
+    counts = {row["dt"]: row["count"] for row in new.groupBy("dt").count().collect()}
+    if None in counts:
         raise ValueError("rows without dt; keep them apart before the merge")
     if not counts:
-        return MergeReport(0, ())
-    if listable:
-        stored, added = read_days(spark, path, list(counts), schema), sum(counts.values())
+        return MergeReport(())
+    days, added = sorted(counts), sum(counts.values())
+    few = len(days) <= FEW_DAYS
+
+    def stored(session: SparkSession) -> DataFrame:
+        rows = stored_days(session, path, days, schema).select(*schema.names)
+        return rows if rewrite else _near(rows, new, clock)
+
+    rows = stored(spark).count() + added
+    prior = stored(widened(spark, rows, task_rows))
+    if not rewrite:
+        missing = _missing(prior, new, key)
+        if few:
+            packed(missing, added, task_rows).write.mode("append").partitionBy("dt").parquet(path)
+        else:
+            append_days(missing, path)
     else:
-        # Calendar days number a few million at most, so this stays a small join.
-        stored = read_optional(spark, path, schema).join(touched, "dt", "left_semi")
-        added = new.count()
-    stored = stored.select(*schema.names)
-    rows = stored.count() + added
-    with shuffle_width(spark, rows, task_rows):
-        if not rewrite:
-            append_days(_missing(stored, new), path)
-        elif len(counts) <= FEW_DAYS:
-            merged = dedupe_exact(union_prior(stored, new))
+        both = union_prior(prior, new)
+        merged = dedupe_exact(both) if key is None else both.dropDuplicates(list(key))
+        if few:
             write_dynamic(packed(merged, rows, task_rows), path, "dt")
         else:
-            overwrite_days(dedupe_exact(union_prior(stored, new)), path)
-    if listable:
-        return MergeReport(len(counts), tuple(sorted(counts)))
-    return MergeReport(touched.count(), None)
+            overwrite_days(merged, path)
+    return MergeReport(tuple(days))
+
+
+def stored_days(
+    spark: SparkSession, path: str, days: Sequence[dt.date], schema: StructType
+) -> DataFrame:
+    """The stored rows of `days`, however many they are, without a shuffle.
+
+    Beyond a list that fits a path, the days are sent to every task: their number
+    is known here, and the calendar bounds it to a few million.
+    """
+    if len(days) <= MAX_LISTED_DAYS:
+        return read_days(spark, path, days, schema)
+    wanted = spark.createDataFrame([(day,) for day in days], "dt date")
+    table = read_optional(spark, path, schema)
+    table = table.where(F.col("dt").between(F.lit(days[0]), F.lit(days[-1])))
+    return table.join(F.broadcast(wanted), "dt", "left_semi")
 
 
-def _missing(stored: DataFrame, new: DataFrame) -> DataFrame:
+def _near(stored: DataFrame, new: DataFrame, clock: str) -> DataFrame:
+    """Stored rows that may equal a new one, by time.
+
+    Equal rows have equal times. Appended files hold few hours each, so this
+    skips most of the day by file statistics.
+    """
+    if clock not in new.columns:
+        return stored
+    first, last = new.agg(F.min(clock), F.max(clock)).first()
+    time = F.col(clock)
+    return stored.where(time.between(first, last) | time.isNull())
+
+
+def _missing(stored: DataFrame, new: DataFrame, key: Sequence[str] | None = None) -> DataFrame:
     """The distinct rows of `new` that are not in `stored`.
 
     One aggregation over both, with the equality and the shuffle of a dedupe.
     """
-    if CLOCK in new.columns:
-        # Equal rows have equal times. Appended files hold few hours each, so
-        # this skips most of the day by file statistics.
-        first, last = new.agg(F.min(CLOCK), F.max(CLOCK)).first()
-        time = F.col(CLOCK)
-        stored = stored.where(time.between(first, last) | time.isNull())
-    both = union_prior(
-        stored.withColumn("_stored", F.lit(True)), new.withColumn("_stored", F.lit(False))
+    if key is None:
+        key = new.columns
+    # Of the stored rows only the key is read.
+    rest = [field for field in new.schema.fields if field.name not in key]
+    keys_only = stored.select(
+        *key, *[F.lit(None).cast(f.dataType).alias(f.name) for f in rest], F.lit(True).alias("_stored")
+    )
+    both = keys_only.unionByName(new.select(*key, *[f.name for f in rest], F.lit(False).alias("_stored")))
+    kept = both.groupBy(*key).agg(
+        F.max("_stored").alias("_stored"), *[F.min(f.name).alias(f.name) for f in rest]
     )
-    kept = both.groupBy(*new.columns).agg(F.max("_stored").alias("_stored"))
-    return kept.where(~F.col("_stored")).drop("_stored")
+    return kept.where(~F.col("_stored")).select(*new.columns)

@@ -15,17 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-# Longest list of days that is written into a glob or an IN list. Beyond it the
-# callers scan the root with a filter or a semi join, which gives the same rows.
+# Longest list of days that is written into a glob or an IN list. A longer one
+# names all day directories, and a filter drops the other days: the same files
+# are read either way.
 MAX_LISTED_DAYS = 1000
 
 
-def as_date(day: dt.date | str) -> dt.date:
-    if isinstance(day, dt.datetime):
-        return day.date()
-    return day if isinstance(day, dt.date) else dt.date.fromisoformat(day)
-
-
 def days_between(first: dt.date, stop: dt.date) -> list[dt.date] | None:
     """The days from `first` up to `stop`, or None if they are too many to list."""
     count = (stop - first).days
@@ -34,8 +29,15 @@ def days_between(first: dt.date, stop: dt.date) -> list[dt.date] | None:
     return [first + dt.timedelta(days=i) for i in range(max(count, 0))]
 
 
-def days_glob(root: str, days: Sequence[dt.date], plain: bool = False, below: str = "") -> str:
-    """One path for the directories of `days`; `plain` adds the `yyyyMMdd` form."""
+def days_glob(
+    root: str, days: Sequence[dt.date] | None, plain: bool = False, below: str = ""
+) -> str:
+    """One path for the directories of `days`, or of all days for None.
+
+    Day directories lie directly below the root. `plain` adds the `yyyyMMdd` form.
+    """
+    if days is None:
+        return f"{root.rstrip('/')}/dt=*{below}"
     names = [day.isoformat() for day in days]
     if plain:
         names += [day.strftime("%Y%m%d") for day in days]

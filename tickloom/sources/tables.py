@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tickloom.days import as_date
 from tickloom.operators.ticks import day_range, day_slice
 from tickloom.schemas import BATCH
 from tickloom.sources.paths import (
     MAX_LISTED_DAYS,
-    as_date,
     days_glob,
     is_missing_path,
     no_rows,

@@ -7,18 +7,18 @@ checkpoint folder of the stream, so a day's load no longer reads the whole topic
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tickloom.plans.jobs import load_batch, warehouse_rows
+from tickloom.plans.jobs import load_batch, load_messages
 from tickloom.schemas import TOPIC
 from tickloom.sources.files import LINES, dated_by_path
+from tickloom.sources.paths import days_glob
 
 
 def stream_lines(
     spark: SparkSession, root: str, max_files: int | None = None
 ) -> DataFrame:
-    """Raw lines of the files that arrive under `root/dt=…`: `value`, `dt`.
+    """Raw lines of the files that arrive under `root/dt=…`: `value`, `dt`, `landed`.
 
     Landing an hour again replaces its files. The stream passes over a replaced
     file it had not read yet, and reads the file in its place.
@@ -26,7 +26,7 @@ def stream_lines(
     reader = spark.readStream.schema(LINES).option("recursiveFileLookup", "true")
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return dated_by_path(reader.text(root))
+    return dated_by_path(reader.text(days_glob(root, None)))
 
 
 def stream_topic(
@@ -62,19 +62,21 @@ def stream_batch_layer(
 
 
 def stream_warehouse(
-    messages: DataFrame, out: str, checkpoint: str, zone: str, files: int | None = None
+    messages: DataFrame, out: str, checkpoint: str, zone: str, quarantine: str | None = None
 ) -> StreamingQuery:
-    """Appends new messages to a warehouse table of all days, each exactly once.
+    """Merges new messages into a warehouse table of all days, then stops.
 
-    `files` sets the number of write tasks, and so the most new files per day.
+    The table is that of `daily_load`, and both may write it, one after the other: a repeated
+    micro-batch changes nothing, and no log of files stands beside the table. Messages without a
+    usable time go to `quarantine`, under the day on which they arrived.
     """
-    rows = warehouse_rows(messages, zone).where(F.col("dt").isNotNull())
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        load_messages(batch, out, zone, quarantine)
+
     return (
-        (rows if files is None else rows.repartition(files))
-        .writeStream.format("parquet")
-        .option("path", out)
+        messages.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
-        .partitionBy("dt")
         .trigger(availableNow=True)
         .start()
     )
