@@ -22,6 +22,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -72,7 +73,7 @@ _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 class Node:
     """A block element: its parts are texts, (text in a link) and child nodes, in page order."""
 
-    __slots__ = ("name", "parent", "parts", "children", "tags", "links", "chars", "link_chars", "density", "sum")
+    __slots__ = ("name", "parent", "parts", "children", "tags", "links", "chars", "link_chars", "density", "sum", "best")
 
     def __init__(self, name: str, parent: Node | None):
         self.name, self.parent = name, parent
@@ -80,6 +81,7 @@ class Node:
         self.children: list[Node] = []
         self.tags = self.links = self.chars = self.link_chars = 0
         self.density = self.sum = 0.0
+        self.best = self  # of its subtree, the node with the highest density sum
 
 
 def _unwanted(name: str, attributes: str, inside: Node) -> bool:
@@ -104,6 +106,7 @@ def parse(page: str) -> Node:
     node = root
     # Open elements: name, the node to go back to, whether it is dropped.
     stack: list[tuple[str, Node, bool]] = []
+    open_names: Counter[str] = Counter()
     dropped = links = 0
     at = 0
 
@@ -115,11 +118,14 @@ def parse(page: str) -> Node:
         nonlocal node, dropped, links
         for _ in range(count):
             name, node, gone = stack.pop()
+            open_names[name] -= 1
             dropped -= gone
             links -= name == "a"
 
     def close_open(names: frozenset | set, barriers: frozenset | set) -> None:
         """Ends the outermost open element of these names above the barriers."""
+        if not any(open_names[name] for name in names):
+            return
         found = 0
         for depth, (name, _, _) in enumerate(reversed(stack), 1):
             if name in barriers:
@@ -138,6 +144,8 @@ def parse(page: str) -> Node:
             continue
         name = name.lower()
         if match["end"]:
+            if not open_names[name]:
+                continue
             for depth, (open_name, _, _) in enumerate(reversed(stack), 1):
                 if open_name == name:
                     close(depth)
@@ -165,6 +173,7 @@ def parse(page: str) -> Node:
             at = ended.end() if ended else len(page)
             continue
         stack.append((name, node, gone))
+        open_names[name] += 1
         dropped += gone
         links += name == "a"
         if dropped:
@@ -210,18 +219,14 @@ def _measure(nodes: list[Node], body: Node) -> None:
     share = body.link_chars / body.chars if body.chars else 0.0
     for node in reversed(nodes):
         if node.chars:
-            tags, links, linked = max(node.tags, 1), max(node.links, 1), max(node.link_chars, 1)
-            base = math.log(node.chars / max(node.chars - node.link_chars, 1) * node.link_chars + share * node.chars + math.e)
-            ratio = max(node.chars / linked * tags / links, 1.0)
-            node.density = node.chars / tags * math.log(ratio) / math.log(base) if base > 1 else 0.0
-            if not node.link_chars:
-                node.density = node.chars / tags
+            chars, tags, linked = node.chars, max(node.tags, 1), node.link_chars
+            plain = max(chars / max(linked, 1) * tags / max(node.links, 1), 1.0)
+            # The logarithm's base grows with the links; it is e at least, also on a page without any.
+            base = math.log(chars / max(chars - linked, 1) * linked + share * chars + math.e)
+            node.density = chars / tags * math.log(plain) / max(math.log(base), 1.0)
         node.sum = sum(child.density for child in node.children)
-
-
-def _best(node: Node) -> Node:
-    """The subtree of the highest density sum in a subtree; the first of equals."""
-    return max(_nodes(node), key=lambda x: x.sum)
+        # The first of equals.
+        node.best = max([node, *(child.best for child in node.children)], key=lambda x: x.sum)
 
 
 def main_nodes(root: Node) -> list[Node]:
@@ -229,7 +234,7 @@ def main_nodes(root: Node) -> list[Node]:
     nodes = _nodes(root)
     body = next((x for x in nodes if x.name == "body"), root)
     _measure(nodes, body)
-    core = _best(body)
+    core = body.best
     path, node = [], core
     while node is not None:
         path.append(node.density)
@@ -242,7 +247,7 @@ def main_nodes(root: Node) -> list[Node]:
         node = waiting.pop()
         if node.density < threshold or not node.chars:
             continue
-        best = _best(node)
+        best = node.best
         chosen.append(best)
         # The chosen subtree is taken whole; what lies beside it is looked at again.
         waiting.extend(x for x in node.children if x is not best and node is not best)
