@@ -45,7 +45,12 @@ class ByteBpe(dict):
     """Encodes and decodes by the ranks of a .tiktoken file. The mapping: a match to its ids' bytes."""
 
     def __init__(
-        self, path: str, pattern: str, text_leaf: int = TEXT_LEAF, match_leaf: int = MATCH_LEAF, ids_leaf: int = IDS_LEAF
+        self,
+        path: str,
+        pattern: str,
+        text_leaf: int = TEXT_LEAF,
+        match_leaf: int = MATCH_LEAF,
+        ids_leaf: int = IDS_LEAF,
     ):
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,7 +46,3 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
-
-
-def crc32_unsigned(data: bytes) -> int:
-    return zlib.crc32(data) & 0xFFFFFFFF

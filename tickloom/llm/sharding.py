@@ -19,16 +19,14 @@ values in all other columns of the result; no rows give an empty result. Other c
 
 from __future__ import annotations
 
-from bisect import bisect_left
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tickloom.llm.common import free_names, table, text_or_empty, written
+from tickloom.llm.common import text_or_empty, written
 
 LAW = "bytes"
 SHARDS = 8
@@ -115,13 +113,12 @@ def splitters(rows: DataFrame, least: int, rows_per_range: int) -> list[Key]:
         inside = ranged.where(F.col("range").isin(list(over)))
         # Each row alike: a range may be overfull by the number of its rows.
         drawn = _drawn(inside, per_byte, salt)
-        edges = [(NO_ID, NO_ID), *bounds]
+        keys = [k for k, _ in drawn]
         new: set[Key] = set()
         for number, parts in over.items():
-            low = edges[number]
-            high = bounds[number] if number < len(bounds) else None
-            own = [(k, w) for k, w in drawn if k > low and (high is None or k < high)]
-            new |= set(_quantiles(own, parts))
+            first = bisect_right(keys, bounds[number - 1]) if number else 0
+            end = bisect_left(keys, bounds[number]) if number < len(bounds) else len(keys)
+            new |= set(_quantiles(drawn[first:end], parts))
         if not new - set(bounds) and per_byte >= 1:
             break
         bounds = sorted({*bounds, *new})
