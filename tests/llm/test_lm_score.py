@@ -78,7 +78,7 @@ def test_probabilities_sum_to_one():
     weights = maxent.no_weights(sizes)
     batch = maxent.batch_of([[b"the", b"thing", b"a", b"zu", maxent.END]], kinds)
     maxent.learn(weights, batch)
-    shares = np.exp(maxent._log_shares(weights, batch.buckets))
+    shares = maxent.shares(weights, batch.buckets)
     within = np.full(maxent.CLASSES, 0.5)  # the unknown words
     for w, n in counts.items():
         within[kinds.of(w)] += n + 0.5

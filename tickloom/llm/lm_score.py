@@ -41,7 +41,7 @@ from tickloom.llm.maxent import Classes, Weights
 #: Rows with this remainder of the id's crc32 by FOLDS are held out.
 FOLDS, HELD_OUT = 5, 1
 #: At most this many words are sent to all tasks, none longer than HEAVY_BYTES.
-HEAVY, HEAVY_BYTES = 1 << 18, 64
+HEAVY, HEAVY_BYTES = 1 << 20, 64
 ROUNDS, TRAINER_TOKENS = 3, 5_000_000
 #: Words of a segment, and tokens that are worked on together.
 SEGMENT, TOKENS_AT_ONCE = 200_000, 300_000
@@ -78,7 +78,8 @@ def word_counts(learned: DataFrame) -> DataFrame:
         counts: Counter = Counter()
 
         def rows() -> pa.RecordBatch:
-            return pa.record_batch({"word": pa.array(list(counts), pa.binary()), "n": pa.array(list(counts.values()), pa.int64())})
+            words, times = pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())
+            return pa.record_batch({"word": words, "n": times})
 
         for batch in batches:
             for _, groups in _segments(batch["content"].to_pylist()):

@@ -12,16 +12,16 @@ import numpy as np
 END = b""
 #: The most frequent words and the most frequent endings of other words are classes of their own; all
 #: that is left falls into classes by a hash of its ending.
-TOP_WORDS, TOP_ENDINGS, REST = 24, 40, 8
+TOP_WORDS, TOP_ENDINGS, REST = 15, 28, 4
 CLASSES = 1 + TOP_WORDS + TOP_ENDINGS + REST
 ENDING = 3
 BUCKET_BITS = 13
 BUCKETS = 1 << BUCKET_BITS
 #: Tokens of a gradient step, and the step's size.
-STEP_TOKENS, RATE = 8192, 1.0
+STEP_TOKENS, RATE = 16_384, 1.0
 _BEFORE = 0x9E3779B1  # stands for words before the text
 _SIGNS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-_MIX = np.array([0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F, 0x165667B1, 0x9E3779B1], np.uint32)
+_MIX = np.array([0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F, 0x9E3779B1], np.uint32)
 FEATURES = len(_MIX)
 
 
@@ -97,29 +97,34 @@ def batch_of(split: list[list[bytes]], kinds: Classes) -> Batch:
         out[place < by] = outside
         return out
 
-    one, two, three = (earlier(hashes, k, _BEFORE) for k in (1, 2, 3))
+    one, two = (earlier(hashes, k, _BEFORE) for k in (1, 2))
     near, far = (earlier(classes, k, CLASSES) for k in (1, 2))
     mixed = np.stack([
         one * _MIX[0],  # the word before
         (one * np.uint32(31) + two) * _MIX[1] + np.uint32(1),  # the two words before
         two * _MIX[2] + np.uint32(2),  # one word skipped
-        three * _MIX[3] + np.uint32(3),  # two words skipped
-        (near * np.uint32(CLASSES + 1) + far + np.uint32(7)) * _MIX[4],  # the classes of the two before
+        (near * np.uint32(CLASSES + 1) + far + np.uint32(7)) * _MIX[3],  # the classes of the two before
     ])
     mixed ^= mixed >> np.uint32(15)
     mixed *= _MIX[1]
     return Batch(words, token, classes, (mixed >> np.uint32(32 - BUCKET_BITS)).astype(np.uint16), lengths)
 
 
-def _log_shares(weights: Weights, buckets: np.ndarray) -> np.ndarray:
-    """Natural logarithms of all classes' probabilities: (tokens, CLASSES)."""
-    logits = weights.table[buckets[0]]
+def _sums(weights: Weights, buckets: np.ndarray) -> np.ndarray:
+    """What speaks for each class: (tokens, CLASSES). Bounded, so that its exponential is finite."""
+    logits = weights.table.take(buckets[0], axis=0)
     for row in buckets[1:]:
-        logits += weights.table[row]
+        logits += weights.table.take(row, axis=0)
     logits += weights.bias
-    logits -= logits.max(axis=1, keepdims=True)
-    logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
-    return logits
+    return np.minimum(logits, 80, out=logits)
+
+
+def shares(weights: Weights, buckets: np.ndarray) -> np.ndarray:
+    """All classes' probabilities: (tokens, CLASSES)."""
+    out = _sums(weights, buckets)
+    np.exp(out, out=out)
+    out /= out.sum(axis=1, keepdims=True)
+    return out
 
 
 def log10_class(weights: Weights, batch: Batch) -> np.ndarray:
@@ -127,8 +132,9 @@ def log10_class(weights: Weights, batch: Batch) -> np.ndarray:
     out = np.empty(len(batch.token))
     for at in range(0, len(out), STEP_TOKENS):
         part = slice(at, at + STEP_TOKENS)
-        shares = _log_shares(weights, batch.buckets[:, part])
-        out[part] = shares[np.arange(len(shares)), batch.classes[part]]
+        logits = _sums(weights, batch.buckets[:, part])
+        chosen = logits[np.arange(len(logits)), batch.classes[part]].astype(np.float64)
+        out[part] = chosen - np.log(np.exp(logits, out=logits).sum(axis=1))
     return out / np.log(10)
 
 
@@ -137,7 +143,7 @@ def learn(weights: Weights, batch: Batch) -> None:
     for at in range(0, len(batch.token), STEP_TOKENS):
         part = slice(at, at + STEP_TOKENS)
         buckets = batch.buckets[:, part]
-        error = np.exp(_log_shares(weights, buckets))
+        error = shares(weights, buckets)
         n = len(error)
         error[np.arange(n), batch.classes[part]] -= 1
         flat, each = buckets.reshape(-1).astype(np.int64), np.ascontiguousarray(error.T)
