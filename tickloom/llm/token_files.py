@@ -25,12 +25,12 @@ not read. A task holds one file's ids, `FILE_VALUES` and one document at most.
 from __future__ import annotations
 
 import os
-import re
 import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
@@ -44,16 +44,17 @@ from tickloom.scratch import fresh_path
 MAGIC = b"PFR1"
 HEADER = struct.Struct("<4sIQQQ")
 BLOCK = 128
+#: Blocks that are packed or unpacked together; their bits are spread out meanwhile.
+BLOCKS_AT_ONCE = 2048
 #: Candidates for the width of a block: what these percentiles of its values need.
 PERCENTILES = (75, 90, 97, 100)
 FILE_VALUES = 8_000_000
 END_ID = 2
 #: Words whose ids an encoder remembers; beyond that it forgets all and starts again.
 WORDS_KEPT = 1_000_000
-TEXTS_AT_ONCE = 200
-
-#: A full stop or comma that stands alone after a letter or digit.
-_STOP = re.compile(rb"(?<=[a-z0-9])([.,])(?=[\x20\x09-\x0D]|\Z)")
+#: Plain letters lie before this sign: Latin, Greek and Cyrillic.
+LAST_PLAIN = "\u0530"
+TEXTS_AT_ONCE = 500
 
 _BITS = np.array([int(x).bit_length() for x in range(256)], dtype=np.uint8)
 
@@ -72,8 +73,8 @@ def _widths(rows: np.ndarray, percentiles: tuple[float, ...]) -> np.ndarray:
     best = bits = None
     for p in sorted(percentiles):
         width = _bit_length(in_order[:, min(block - 1, int(block * p / 100))]).astype(np.int64)
-        limit = (np.uint64(1) << width.astype(np.uint64))[:, None]
-        needed = block * width + 48 * (in_order >= limit).sum(axis=1)
+        top = ((np.uint64(1) << width.astype(np.uint64)) - np.uint64(1)).astype(np.uint32)
+        needed = block * width + 48 * (in_order > top[:, None]).sum(axis=1)
         if best is None:
             best, bits = width, needed
         else:
@@ -85,10 +86,18 @@ def pack_blocks(
     values: np.ndarray, block: int = BLOCK, percentiles: tuple[float, ...] = PERCENTILES
 ) -> tuple[np.ndarray, bytes]:
     """The starts of the blocks, with the payload's length at the end, and the payload."""
+    starts, parts, size = [np.zeros(1, np.uint64)], [], 0
+    for at in range(0, len(values), block * BLOCKS_AT_ONCE):
+        some, payload = _pack(values[at : at + block * BLOCKS_AT_ONCE], block, percentiles)
+        starts.append(some[1:] + np.uint64(size))
+        parts.append(payload)
+        size += len(payload)
+    return np.concatenate(starts), b"".join(parts)
+
+
+def _pack(values: np.ndarray, block: int, percentiles: tuple[float, ...]) -> tuple[np.ndarray, bytes]:
     values = np.ascontiguousarray(values, dtype=np.uint32)
     n = -(-len(values) // block)
-    if not n:
-        return np.zeros(1, np.uint64), b""
     rows = np.empty((n, block), np.uint32)
     rows.reshape(-1)[: len(values)] = values
     rows.reshape(-1)[len(values) :] = rows[-1, 0]
@@ -123,11 +132,13 @@ def pack_blocks(
 
 def unpack_blocks(starts: np.ndarray, payload: bytes, values: int, block: int = BLOCK) -> np.ndarray:
     """The first `values` values of the blocks that begin at `starts`."""
-    data = np.frombuffer(payload, np.uint8)
-    begin = starts[:-1].astype(np.int64)
+    data, begin = np.frombuffer(payload, np.uint8), starts[:-1].astype(np.int64)
+    parts = [_unpack(begin[at : at + BLOCKS_AT_ONCE], data, block) for at in range(0, len(begin), BLOCKS_AT_ONCE)]
+    return np.concatenate([np.zeros(0, np.uint32), *parts])[:values]
+
+
+def _unpack(begin: np.ndarray, data: np.ndarray, block: int) -> np.ndarray:
     n = len(begin)
-    if not n:
-        return np.zeros(0, np.uint32)
 
     def get(at: np.ndarray, length: int, kind: str) -> np.ndarray:
         return np.ascontiguousarray(data[at[:, None] + np.arange(length)]).view(kind)
@@ -151,7 +162,7 @@ def unpack_blocks(starts: np.ndarray, payload: bytes, values: int, block: int =
         upper = get(first + 2 * count[found] + 4 * nth, 4, "<u4").reshape(-1).astype(np.uint64)
         rows[found, place] |= (upper << width[found].astype(np.uint64)).astype(np.uint32)
     rows += least[:, None]
-    return rows.reshape(-1)[:values]
+    return rows.reshape(-1)
 
 
 def file_bytes(ids: list[int | None], lengths: list[int], values: np.ndarray, block: int = BLOCK) -> bytes:
@@ -189,50 +200,120 @@ class WordEncoder:
 
     The tokenizer lower-cases, splits at white space and between letters and other signs, and drops
     the white space, all before it merges anything. So the ids of a text are those of its words one
-    after the other, a full stop or comma after a letter or digit may be cut off, and each word
-    needs to be encoded only once. New words are encoded many at a time, with a sign between them
-    that none of them holds.
+    after the other, those of a word are those of its stem and of the signs after it, and each part
+    needs to be encoded only once. New parts are encoded many at a time, with a sign between them
+    that none of them holds. Plain ones, lower-case letters of Europe's alphabets, need no more than
+    the merges: the tokenizer's own preparation of the text would leave them as they are. When
+    `WORDS_KEPT` are known, new ones are forgotten at once, unless they are so many that the known
+    ones must be of another kind of text.
     """
 
     MARK = "#"
+    #: All ASCII signs but the apostrophe, which may belong to the letters after it.
+    SIGNS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.mark = self._ids(self.MARK)
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        # The signs by which the vocabulary writes the bytes 0 to 255.
+        byte_signs = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.signs = {b: byte_signs.pre_tokenize_str(chr(b))[0][0][-1] for b in range(128)}
+        self.signs |= {b: byte_signs.pre_tokenize_str(chr(b))[0][0][-1] for b in range(128, 192)}
+        self.signs |= {b: byte_signs.pre_tokenize_str(bytes([b, 128]).decode())[0][0][0] for b in range(194, 224)}
+        self.mark = self._ids([self.MARK])[0]
         self.known: dict[bytes, bytes] = {}
 
-    def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def _learn(self, words: list[bytes]) -> None:
-        if len(self.known) + len(words) > WORDS_KEPT:
-            self.known.clear()
-        apart = [w for w in words if self.MARK.encode() in w]
-        together = [w for w in words if self.MARK.encode() not in w]
-        if len(self.mark) != 1:
-            apart, together = words, []
-        for w in apart:
-            self.known[w] = np.array(self._ids(w.decode("utf-8")), "<u4").tobytes()
-        for i in range(0, len(together), 256):
-            some = together[i : i + 256]
-            ids = np.array(self._ids(f" {self.MARK} ".join(w.decode("utf-8") for w in some)), "<u4")
-            raw, ends = ids.tobytes(), (4 * np.flatnonzero(ids == self.mark[0])).tolist()
-            for w, start, end in zip(some, [0, *(e + 4 for e in ends)], [*ends, len(raw)], strict=True):
-                self.known[w] = raw[start:end]
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _plain(self, part: bytes) -> str | None:
+        """A part by its bytes' signs, if it is plain."""
+        if part.isalpha():
+            return part.decode("ascii")
+        word = part.decode("utf-8")
+        if word.isalpha() and max(word) < LAST_PLAIN and word.lower() == word and is_normalized("NFC", word):
+            return part.decode("latin-1").translate(self.signs)
+        return None
+
+    def _merged(self, plain: dict[bytes, str]) -> dict[bytes, bytes]:
+        parts, out = list(plain), {}
+        groups = [parts[i : i + 256] for i in range(0, len(parts), 256)]
+        joined = [" ".join(plain[p] for p in group) for group in groups]
+        for group, found in zip(groups, self.merges.encode_batch(joined, add_special_tokens=False)):
+            raw, word = np.array(found.ids, "<u4").tobytes(), np.array(found.word_ids)
+            ends = [*(4 * np.flatnonzero(word[1:] != word[:-1]) + 4).tolist(), len(raw)]
+            out |= {p: raw[a:b] for p, a, b in zip(group, [0, *ends], ends, strict=False)}
+        return out
+
+    def _encoded(self, parts: list[bytes]) -> dict[bytes, bytes]:
+        plain = {p: x for p in parts if (x := self._plain(p))}
+        return self._merged(plain) | self._others([p for p in parts if p not in plain])
+
+    def _others(self, parts: list[bytes]) -> dict[bytes, bytes]:
+        mark = self.MARK.encode()
+        single = [p for p in parts if mark in p or len(self.mark) != 1]
+        out = {p: np.array(x, "<u4").tobytes() for p, x in zip(single, self._ids([p.decode() for p in single]))}
+        several = [p for p in parts if p not in out]
+        groups = [several[i : i + 256] for i in range(0, len(several), 256)]
+        joined = self._ids([f" {self.MARK} ".join(p.decode() for p in group) for group in groups])
+        for group, ids in zip(groups, joined):
+            values = np.array(ids, "<u4")
+            raw, ends = values.tobytes(), (4 * np.flatnonzero(values == self.mark[0])).tolist()
+            out |= {
+                p: raw[start:end]
+                for p, start, end in zip(group, [0, *(e + 4 for e in ends)], [*ends, len(raw)], strict=True)
+            }
+        return out
+
+    def _new(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """The ids of words that are not known, and of their stems and signs."""
+        known, parts, pairs = self.known, set(), []
+        for word in words:
+            stem = word.rstrip(self.SIGNS)
+            if len(stem) == len(word) or not stem or not stem.decode()[-1].lower()[-1].isalnum():
+                parts.add(word)
+                continue
+            signs = word[len(stem) :]
+            pairs.append((word, stem, signs))
+            if stem not in known:
+                parts.add(stem)
+            if signs not in known:
+                parts.add(signs)
+        found = self._encoded(list(parts))
+        for word, stem, signs in pairs:
+            first, last = found.get(stem), found.get(signs)
+            found[word] = (known[stem] if first is None else first) + (known[signs] if last is None else last)
+        return found
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        # bytes.lower() and bytes.split() know ASCII letters and white space only.
-        words = [_STOP.sub(rb" \1", x.encode("utf-8").lower()).split() for x in texts]
-        new = set().union(*words).difference(self.known)
-        if len(self.known) + len(new) > WORDS_KEPT:
-            new = set().union(*words)
-        if new:
-            self._learn(sorted(new))
-        return [b"".join(map(self.known.__getitem__, x)) for x in words]
+        rows, new, count = [], set(), 0
+        for text in texts:
+            # bytes.lower() and bytes.split() know ASCII letters and white space only.
+            words = text.encode("utf-8").lower().split()
+            parts, gaps, at = list(map(self.known.get, words)), [], -1
+            for _ in range(parts.count(None)):
+                at = parts.index(None, at + 1)
+                gaps.append(at)
+                new.add(words[at])
+            rows.append((words, parts, gaps))
+            count += len(words)
+        found = self._new(new) if new else {}
+        out, missed = [], 0
+        for words, parts, gaps in rows:
+            for at in gaps:
+                parts[at] = found[words[at]]
+            out.append(b"".join(parts))
+            missed += len(gaps)
+        if len(self.known) + len(found) <= WORDS_KEPT:
+            self.known |= found
+        elif 2 * missed > count:
+            self.known = {}
+        return out
 
 
 @lru_cache(1)
@@ -241,9 +322,13 @@ def word_encoder(path: str) -> WordEncoder:
 
 
 def _store(folder: str, name: str, data: bytes) -> None:
+    """Writes a file under a hidden name, which Spark's readers pass over, and renames it."""
     from pyarrow import fs
 
-    system, root = fs.FileSystem.from_uri(folder.replace("s3a://", "s3://", 1)) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+    if folder.startswith("/"):
+        system, root = fs.LocalFileSystem(), folder
+    else:
+        system, root = fs.FileSystem.from_uri(folder.replace("s3a://", "s3://", 1))
     system.create_dir(root)
     hidden = f"{root}/_{name}-{uuid.uuid4().hex}"
     with system.open_output_stream(hidden) as out:
