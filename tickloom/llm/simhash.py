@@ -146,7 +146,8 @@ def near_links(nodes: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -
     index = nodes.select(F.explode(deletion_keys(F.col("fp"), max_bits)).alias("key"), "fp")
     crowded = written(index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "keys")
     parts = F.ceil(F.col("n") / block).cast("int")
-    shared = index.join(crowded, "key").select(
+    # Both sides shuffled at any size, so that the rows of a crowded key can be split.
+    shared = index.join(crowded.hint("merge"), "key").select(
         "key", "fp", parts.alias("parts"), F.pmod(F.xxhash64("fp"), parts.cast("long")).cast("int").alias("own")
     )
     cells = shared.select(
