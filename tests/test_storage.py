@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tickloom.operators import day_range, day_slice
@@ -101,7 +102,8 @@ def test_appending_merge_keeps_every_stored_file(spark):
 def test_appending_merge_narrows_the_stored_rows_by_time(spark):
     path = fresh_path(spark, "t")
     merge_partitions(ticks(spark, D1, D2), path)
-    near = merge_module._near(read_ticks(spark, path), ticks(spark, LATE), "timestamp")
+    span = [Row(dt=None, first=LATE[1], last=LATE[1])]
+    near = merge_module._near(read_ticks(spark, path), "timestamp", span)
     missing = merge_module._missing(near, ticks(spark, LATE))
     plan = missing._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(timestamp,2024-01-01 23:00:00)" in plan
@@ -610,7 +612,8 @@ def test_rejects_are_merged_without_reading_stored_bodies(spark):
         new = spark.createDataFrame([row, row], QUARANTINE)
         merge_partitions(new, path, QUARANTINE, rewrite=False, key=QUARANTINE_KEY, clock="landed")
     assert [tuple(r) for r in read_ticks(spark, path, QUARANTINE).collect()] == [row]
-    table = merge_module._near(read_ticks(spark, path, QUARANTINE), new, "landed")
+    span = [Row(dt=row[-1], first=13, last=13), Row(dt=row[-1], first=None, last=None)]
+    table = merge_module._near(read_ticks(spark, path, QUARANTINE), "landed", span)
     plan = merge_module._missing(table, new, QUARANTINE_KEY)._jdf.queryExecution().executedPlan().toString()
     schema = next(line for line in plan.splitlines() if "FileScan parquet" in line)
     assert "body" not in schema and "landed" in schema and missing.columns == QUARANTINE.names

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -83,17 +83,19 @@ def _merge(
     clock: str,
 ) -> MergeReport:
     spark = new.sparkSession
-    counts = {row["dt"]: row["count"] for row in new.groupBy("dt").count().collect()}
-    if None in counts:
+    timed = not rewrite and clock in new.columns
+    span = [F.min(clock).alias("first"), F.max(clock).alias("last")] if timed else []
+    touched = new.groupBy("dt").agg(F.count(F.lit(1)).alias("rows"), *span).collect()
+    if any(day.dt is None for day in touched):
         raise ValueError("rows without dt; keep them apart before the merge")
-    if not counts:
+    if not touched:
         return MergeReport(())
-    days, added = sorted(counts), sum(counts.values())
+    days, added = sorted(day.dt for day in touched), sum(day.rows for day in touched)
     few = len(days) <= FEW_DAYS
 
     def stored(session: SparkSession) -> DataFrame:
         rows = stored_days(session, path, days, schema).select(*schema.names)
-        return rows if rewrite else _near(rows, new, clock)
+        return _near(rows, clock, touched) if timed else rows
 
     rows = stored(spark).count() + added
     prior = stored(widened(spark, rows, task_rows))
@@ -129,17 +131,16 @@ def stored_days(
     return table.join(F.broadcast(wanted), "dt", "left_semi")
 
 
-def _near(stored: DataFrame, new: DataFrame, clock: str) -> DataFrame:
-    """Stored rows that may equal a new one, by time.
+def _near(stored: DataFrame, clock: str, touched: Sequence[Row]) -> DataFrame:
+    """Stored rows that may equal a new one, by the first and last time of each touched day.
 
     Equal rows have equal times. Appended files hold few hours each, so this
     skips most of the day by file statistics.
     """
-    if clock not in new.columns:
-        return stored
-    first, last = new.agg(F.min(clock), F.max(clock)).first()
+    first = min((day["first"] for day in touched if day["first"] is not None), default=None)
+    last = max((day["last"] for day in touched if day["last"] is not None), default=None)
     time = F.col(clock)
-    return stored.where(time.between(first, last) | time.isNull())
+    return stored.where(time.between(F.lit(first), F.lit(last)) | time.isNull())
 
 
 def _missing(stored: DataFrame, new: DataFrame, key: Sequence[str] | None = None) -> DataFrame:
