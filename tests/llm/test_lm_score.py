@@ -102,3 +102,11 @@ def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(held, "a b c")], "doc_id long, text string")
     (r,) = score_texts(docs).collect()
     assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score) == (True, 4, 0, 0, 0.0)
+
+
+def test_the_third_word_before_speaks_and_classes_are_whole():
+    assert maxent.CLASSES == 73 and maxent.STEP_TOKENS == 8192
+    kinds = maxent.classes_of([], [])
+    one = maxent.batch_of([[b"a", b"x", b"y", b"z"]], kinds)
+    two = maxent.batch_of([[b"b", b"x", b"y", b"z"]], kinds)
+    assert (one.buckets[:, 3] != two.buckets[:, 3]).sum() == 1
