@@ -110,3 +110,27 @@ def test_the_third_word_before_speaks_and_classes_are_whole():
     one = maxent.batch_of([[b"a", b"x", b"y", b"z"]], kinds)
     two = maxent.batch_of([[b"b", b"x", b"y", b"z"]], kinds)
     assert (one.buckets[:, 3] != two.buckets[:, 3]).sum() == 1
+
+
+def test_buckets_grow_with_the_distinct_words():
+    found = [maxent.buckets_for(n) for n in (0, 400_000, 4_000_000, 10**12)]
+    assert found == [1 << 13, 1 << 14, 1 << 17, 1 << 18]
+    kinds = maxent.classes_of([b"the"], [b"ing"])
+    batch = maxent.batch_of([[b"%d" % i for i in range(50_000)]], kinds, 1 << 17)
+    assert batch.buckets.max() >= 1 << 16 and len(np.unique(batch.buckets)) > 1 << 16
+    weights = maxent.no_weights(np.ones(maxent.CLASSES), 1 << 17)
+    maxent.learn(weights, batch)
+    assert (np.abs(weights.table).max(axis=1) > 0).sum() > 1 << 16
+
+
+def test_context_goes_on_over_the_border_of_a_segment(monkeypatch):
+    text = " ".join(f"w{i * i % 97}" for i in range(40))
+    kinds = maxent.classes_of([b"w1"], [b"w4"])
+    (_, groups, before), = lm_score._segments([text, "a b"])
+    whole = maxent.batch_of(groups, kinds, before=before)
+    monkeypatch.setattr(lm_score, "SEGMENT", 7)
+    (places, groups, before), = lm_score._segments([text, "a b"])
+    parts = maxent.batch_of(groups, kinds, before=before)
+    assert places == [0] * 6 + [1] and parts.lengths.tolist() == [len(g) for g in groups]
+    assert (parts.buckets == whole.buckets).all() and (parts.classes == whole.classes).all()
+    assert [parts.words[t] for t in parts.token] == [whole.words[t] for t in whole.token]

@@ -18,8 +18,10 @@ word, at most one row per text and word, so no key of that join holds more rows
 Defined cases: a null text is the empty text, whose only token is the end; rows that repeat an id
 or all of a row are scored, and learned from, each for itself; with nothing to learn from every
 base score is 0 and every class as likely; no rows give none; other columns are not read. Texts of
-more than `SEGMENT` words are read in segments of that many, before each of which the context is
-empty again.
+more than `SEGMENT` words are read in segments of that many, each with the words before it as context.
+
+Left out: P(word | class) has no weights of its own. What stands before tells classes apart, not the
+words of one class.
 """
 
 from __future__ import annotations
@@ -42,7 +44,8 @@ from tickloom.llm.maxent import Classes, Weights
 FOLDS, HELD_OUT = 5, 1
 #: At most this many words are sent to all tasks, none longer than HEAVY_BYTES.
 HEAVY, HEAVY_BYTES = 1 << 20, 64
-ROUNDS, TRAINER_TOKENS = 3, 5_000_000
+#: A trainer's tokens: so many, and so many for each bucket if the buckets are many.
+ROUNDS, TRAINER_TOKENS, BUCKET_TOKENS = 3, 5_000_000, 40
 #: Words of a segment, and tokens that are worked on together.
 SEGMENT, TOKENS_AT_ONCE = 200_000, 300_000
 #: Distinct words that a counting task holds.
@@ -55,20 +58,21 @@ def held_out(id: str = "doc_id") -> Column:
     return id_crc32(id) % FOLDS == HELD_OUT
 
 
-def _segments(texts: Iterator[str]) -> Iterator[tuple[list[int], list[list[bytes]]]]:
-    """Groups of segments of words, with the place of each one's text."""
-    places, groups, held = [], [], 0
+def _segments(texts: Iterator[str]) -> Iterator[tuple[list[int], list[list[bytes]], list[list[bytes]]]]:
+    """Groups of segments of words, with the place of each one's text and the words before it."""
+    places, groups, before, held = [], [], [], 0
     for place, text in enumerate(texts):
         words = maxent.words_of(text)
         for at in range(0, len(words), SEGMENT):
             places.append(place)
             groups.append(words[at : at + SEGMENT] if len(words) > SEGMENT else words)
+            before.append(words[max(at - maxent.REACH, 0) : at])
             held += len(groups[-1])
             if held >= TOKENS_AT_ONCE:
-                yield places, groups
-                places, groups, held = [], [], 0
+                yield places, groups, before
+                places, groups, before, held = [], [], [], 0
     if groups:
-        yield places, groups
+        yield places, groups, before
 
 
 def word_counts(learned: DataFrame) -> DataFrame:
@@ -82,7 +86,7 @@ def word_counts(learned: DataFrame) -> DataFrame:
             return pa.record_batch({"word": words, "n": times})
 
         for batch in batches:
-            for _, groups in _segments(batch["content"].to_pylist()):
+            for _, groups, _ in _segments(batch["content"].to_pylist()):
                 counts.update(chain.from_iterable(groups))
                 if len(counts) >= COUNTED_AT_ONCE:
                     yield rows()
@@ -155,13 +159,13 @@ def _train_round(part: DataFrame, kinds: Broadcast, start: Broadcast, trainers:
         own = Weights(bias, table.copy(), seen.copy())
         tokens, lane = 0, TaskContext.get().partitionId() // LANE
         for batch in batches:
-            for _, groups in _segments(batch["content"].to_pylist()):
-                some = maxent.batch_of(groups, kinds.value)
+            for _, groups, before in _segments(batch["content"].to_pylist()):
+                some = maxent.batch_of(groups, kinds.value, len(table), before)
                 maxent.learn(own, some)
                 tokens += len(some.token)
         if not tokens:
             return
-        for at in range(0, maxent.BUCKETS, SLICE):
+        for at in range(0, len(table), SLICE):
             part = np.concatenate([own.table[at : at + SLICE], own.seen[at : at + SLICE, None]], axis=1)
             row = {"slice": at, "lane": lane, "tokens": tokens, "weights": (part * np.float32(tokens)).tobytes()}
             yield pa.RecordBatch.from_pylist([row], _SLICES)
@@ -179,11 +183,14 @@ def _train_round(part: DataFrame, kinds: Broadcast, start: Broadcast, trainers:
     return Weights(start.value.bias, np.ascontiguousarray(both[:, :-1]), np.ascontiguousarray(both[:, -1]))
 
 
-def train(learned: DataFrame, kinds: Classes, sizes: np.ndarray, tokens: int) -> Weights:
+def train(
+    learned: DataFrame, kinds: Classes, sizes: np.ndarray, tokens: int, buckets: int = maxent.LEAST_BUCKETS
+) -> Weights:
     """The weights after one pass over the texts (`content`, `round`)."""
     context = learned.sparkSession.sparkContext
-    weights, shared = maxent.no_weights(sizes), context.broadcast(kinds)
-    trainers = max(1, round(tokens / ROUNDS / TRAINER_TOKENS))
+    weights, shared = maxent.no_weights(sizes, buckets), context.broadcast(kinds)
+    # What trainers exchange stays in proportion to what they read.
+    trainers = max(1, round(tokens / ROUNDS / max(TRAINER_TOKENS, BUCKET_TOKENS * buckets)))
     for number in range(ROUNDS):
         start = context.broadcast(weights)
         part = learned.where(F.col("round") == number).select("content")
@@ -203,8 +210,8 @@ def _scores(rows: DataFrame, kinds: Broadcast, weights: Broadcast, heavy: Broadc
             tokens, known = np.zeros(n, np.int64), np.zeros(n, np.int64)
             classes, counted = np.zeros(n), np.zeros(n)
             found = []  # (place, word, n)
-            for places, groups in _segments(batch["content"].to_pylist()):
-                some = maxent.batch_of(groups, kinds.value)
+            for places, groups, before in _segments(batch["content"].to_pylist()):
+                some = maxent.batch_of(groups, kinds.value, len(weights.value.table), before)
                 owner = np.repeat(np.array(places), some.lengths)
                 by_text = maxent.log10_class(weights.value, some) - log_sizes[some.classes]
                 counts = np.array([heavy.value.get(w, -1) for w in some.words], np.int64)[some.token]
@@ -249,7 +256,7 @@ def score_texts(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     kinds = word_classes(counts)
     sizes = class_sizes(counts, kinds)
-    weights = train(learned, kinds, sizes, total)
+    weights = train(learned, kinds, sizes, total, maxent.buckets_for(distinct))
 
     is_heavy = (F.col("n") * HEAVY >= total) & (F.octet_length("word") <= HEAVY_BYTES)
     heavy = context.broadcast({bytes(r.word): r.n for r in counts.where(is_heavy).collect()})

@@ -15,8 +15,11 @@ END = b""
 TOP_WORDS, TOP_ENDINGS, REST = 24, 40, 8
 CLASSES = 1 + TOP_WORDS + TOP_ENDINGS + REST
 ENDING = 3
-BUCKET_BITS = 13
-BUCKETS = 1 << BUCKET_BITS
+#: Buckets of features: a power of two, at least one for WORDS_A_BUCKET distinct words, between these
+#: bounds. The upper one is what two tasks of an executor and the driver can hold.
+LEAST_BUCKETS, MOST_BUCKETS, WORDS_A_BUCKET = 1 << 13, 1 << 18, 32
+#: How many words before a token its features see.
+REACH = 3
 #: Tokens of a gradient step, and the step's size.
 STEP_TOKENS, RATE = 8192, 1.0
 _BEFORE = 0x9E3779B1  # stands for words before the text
@@ -61,14 +64,22 @@ def classes_of(top_words: list[bytes], top_endings: list[bytes]) -> Classes:
 
 class Weights(NamedTuple):
     bias: np.ndarray  # (CLASSES,) natural logarithms of the classes' shares
-    table: np.ndarray  # (BUCKETS, CLASSES) weight of each class for each feature
-    seen: np.ndarray  # (BUCKETS,) squared gradients so far: features seen often move less
+    table: np.ndarray  # (buckets, CLASSES) weight of each class for each feature
+    seen: np.ndarray  # (buckets,) squared gradients so far: features seen often move less
 
 
-def no_weights(sizes: np.ndarray) -> Weights:
+def buckets_for(distinct: int) -> int:
+    """The buckets of a model over texts with that many distinct words."""
+    buckets = LEAST_BUCKETS
+    while buckets < MOST_BUCKETS and buckets * WORDS_A_BUCKET < distinct:
+        buckets *= 2
+    return buckets
+
+
+def no_weights(sizes: np.ndarray, buckets: int = LEAST_BUCKETS) -> Weights:
     """The model before training: each class by its share, whatever stands before."""
     bias = np.log(sizes / sizes.sum()).astype(np.float32)
-    return Weights(bias, np.zeros((BUCKETS, CLASSES), np.float32), np.zeros(BUCKETS, np.float32))
+    return Weights(bias, np.zeros((buckets, CLASSES), np.float32), np.zeros(buckets, np.float32))
 
 
 class Batch(NamedTuple):
@@ -81,7 +92,14 @@ class Batch(NamedTuple):
     lengths: np.ndarray
 
 
-def batch_of(split: list[list[bytes]], kinds: Classes) -> Batch:
+def batch_of(
+    split: list[list[bytes]], kinds: Classes, buckets: int = LEAST_BUCKETS, before: list[list[bytes]] | None = None
+) -> Batch:
+    """`before` has the words, `REACH` at most, that stand before each of the texts."""
+    own = None
+    if before and any(before):
+        own = np.concatenate([np.arange(len(b) + len(x)) >= len(b) for b, x in zip(before, split)])
+        split = [b + x if b else x for b, x in zip(before, split)]
     lengths = np.array([len(x) for x in split], np.int64)
     flat = list(chain.from_iterable(split))
     number = {w: i for i, w in enumerate(dict.fromkeys(flat))}
@@ -108,7 +126,11 @@ def batch_of(split: list[list[bytes]], kinds: Classes) -> Batch:
     ])
     mixed ^= mixed >> np.uint32(15)
     mixed *= _MIX[1]
-    return Batch(words, token, classes, (mixed >> np.uint32(32 - BUCKET_BITS)).astype(np.uint16), lengths)
+    mixed >>= np.uint32(33 - buckets.bit_length())
+    if own is not None:
+        token, classes, mixed = token[own], classes[own], mixed[:, own]
+        lengths = lengths - np.array([len(b) for b in before], np.int64)
+    return Batch(words, token, classes, mixed, lengths)
 
 
 def _sums(weights: Weights, buckets: np.ndarray) -> np.ndarray:
@@ -147,10 +169,12 @@ def learn(weights: Weights, batch: Batch) -> None:
         error = shares(weights, buckets)
         n = len(error)
         error[np.arange(n), batch.classes[part]] -= 1
-        flat, each = buckets.reshape(-1).astype(np.int64), np.ascontiguousarray(error.T)
-        gradient = np.empty((CLASSES, BUCKETS), np.float32)
+        # Only the buckets of these tokens move.
+        touched, place = np.unique(buckets.reshape(-1), return_inverse=True)
+        each = np.ascontiguousarray(error.T)
+        gradient = np.empty((CLASSES, len(touched)), np.float32)
         for k in range(CLASSES):
-            gradient[k] = np.bincount(flat, np.tile(each[k], FEATURES), BUCKETS)
-        weights.seen[:] += np.einsum("ij,ij->j", gradient, gradient)
-        gradient *= RATE / np.sqrt(weights.seen + 1.0)
-        weights.table[:] -= gradient.T
+            gradient[k] = np.bincount(place, np.tile(each[k], FEATURES), len(touched))
+        weights.seen[touched] += np.einsum("ij,ij->j", gradient, gradient)
+        gradient *= RATE / np.sqrt(weights.seen[touched] + 1.0)
+        weights.table[touched] -= gradient.T
