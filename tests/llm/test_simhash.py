@@ -101,3 +101,18 @@ def test_awkward_rows(spark):
 
 def test_no_documents(spark):
     assert near_groups(empty(spark)).count() == 0 == drop_near_copies(empty(spark)).count()
+
+
+def test_one_row_of_each_component_stays_whatever_its_ids(spark):
+    a = " ".join(f"alpha{i}" for i in range(300))
+    b = " ".join(f"beta{i}" for i in range(300))
+    c = " ".join(f"gamma{i}" for i in range(300))
+    rows = [(5, a), (9, a + " "), (5, b), (3, b + " "), (None, c), (None, c + " "), (None, c), (7, "x y"), (7, "x  y"), (7, "x y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted(((r.doc_id, r.text.split()[0]) for r in drop_near_copies(docs).collect()), key=str)
+    assert got == sorted([(5, "alpha0"), (3, "beta0"), (None, "gamma0"), (7, "x")], key=str)
+
+
+def test_a_row_without_an_id_goes_before_one_with_an_id(spark):
+    docs = spark.createDataFrame([(None, "a b c d"), (8, "a b c d")], "doc_id long, text string")
+    assert [r.doc_id for r in drop_near_copies(docs).collect()] == [8]

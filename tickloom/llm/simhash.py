@@ -16,8 +16,8 @@ each pair of blocks is a cell of its own, which any task can take.
 Defined cases: a null text is the empty text; a text without words has fingerprint zero and is
 linked like any other; a text with fewer words than a shingle is one shingle; every repeated row
 gives a row; a null id is never the smallest of its component unless there is no other, and then
-the component is null; no rows give none. Other columns are kept by `drop_near_copies`, otherwise
-not read.
+the component is null; no rows give none. Other columns are kept by `drop_near_copies`, which leaves
+one row of each component, otherwise not read.
 """
 
 from __future__ import annotations
@@ -65,12 +65,15 @@ def fingerprints(
     docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, seed: int = SEED
 ) -> DataFrame:
     """doc_id, fp of every row."""
+    return docs.select(F.col(id).alias("doc_id"), _simhash(shingle, seed)(text_or_empty(text)).alias("fp"))
 
+
+def _simhash(shingle: int, seed: int):
     @F.pandas_udf("long")
     def simhash(texts: pd.Series) -> pd.Series:
         return pd.Series([fingerprint(x, shingle, seed) for x in texts], dtype="int64")
 
-    return docs.select(F.col(id).alias("doc_id"), simhash(text_or_empty(text)).alias("fp"))
+    return simhash
 
 
 def _signed(x: int) -> int:
@@ -157,6 +160,13 @@ def near_links(nodes: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -
     return in_order.mapInPandas(_cell_links(max_bits), "a long, b long")
 
 
+def _tied(nodes: DataFrame, max_bits: int, block: int) -> DataFrame:
+    """fp, least of every node and the root of its component."""
+    roots = components(near_links(nodes, max_bits, block))
+    tied = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    return written(tied.select("fp", "least", F.coalesce("root", "fp").alias("root")), "tied")
+
+
 def near_groups(
     docs: DataFrame,
     id: str = "doc_id",
@@ -169,9 +179,7 @@ def near_groups(
     """doc_id, fingerprint (16 hex digits), component_id (smallest id of all it is linked with)."""
     rows = written(fingerprints(docs, id, text, shingle, seed), "fingerprints")
     nodes = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    roots = components(near_links(nodes, max_bits, block))
-    tied = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-    tied = written(tied.select("fp", "least", F.coalesce("root", "fp").alias("root")), "tied")
+    tied = _tied(nodes, max_bits, block)
     smallest = written(tied.groupBy("root").agg(F.min("least").alias("component_id")), "smallest")
     classes = written(tied.join(smallest, "root").select("fp", "component_id"), "classes")
     return rows.join(classes, "fp").select(
@@ -179,12 +187,41 @@ def near_groups(
     )
 
 
-def drop_near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of `docs` that have the smallest id of their component, with all their columns.
+def drop_near_copies(
+    docs: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    shingle: int = SHINGLE,
+    max_bits: int = MAX_BITS,
+    seed: int = SEED,
+    block: int = BLOCK,
+) -> DataFrame:
+    """One row of each component of `docs`, with all its columns.
 
-    Rows without an id stay. Only the ids that go meet the texts.
+    It is the one with the smallest id, null ids last; of rows that repeat an id, the first by
+    fingerprint, hash of the text and place in the table. Only numbers of rows that go meet the texts.
     """
-    gone = near_groups(docs, id, text, **options).where("doc_id <> component_id")
-    (dropped,) = free_names(docs, "dropped_id")
-    gone = written(gone.select(F.col("doc_id").alias(dropped)).distinct(), "near-copies")
-    return docs.join(gone, docs[id] == gone[dropped], "left_anti")
+    fp, row = names = free_names(docs, "fp", "row")
+    # Written, so that a row keeps its number.
+    rows = docs.select(
+        "*", _simhash(shingle, seed)(text_or_empty(text)).alias(fp), F.monotonically_increasing_id().alias(row)
+    )
+    rows = written(rows, "numbered")
+    keys = rows.select(
+        F.col(fp).alias("fp"),
+        F.col(row).alias("row"),
+        F.struct(
+            F.col(id).isNull().alias("no_id"),
+            F.col(id).alias("id"),
+            F.col(fp).alias("fp"),
+            F.xxhash64(text_or_empty(text)).alias("hash"),
+            F.col(row).alias("row"),
+        ).alias("place"),
+    )
+    nodes = written(keys.groupBy("fp").agg(F.min("place").alias("least")), "nodes")
+    tied = _tied(nodes, max_bits, block)
+    first = written(tied.groupBy("root").agg(F.min("least").alias("first")), "smallest")
+    stays = written(tied.join(first, "root").select("fp", F.col("first.row").alias("stays")), "classes")
+    gone = keys.select("fp", "row").join(stays, "fp").where("row <> stays")
+    gone = written(gone.select(F.col("row").alias(row)), "near-copies")
+    return rows.join(gone, row, "left_anti").drop(*names)
