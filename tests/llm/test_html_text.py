@@ -75,3 +75,35 @@ def test_null_repeated_and_no_rows(spark):
     got = sorted((tuple(r) for r in extract(pages).collect()), key=str)
     assert got == [(1, None, "", 0), (1, None, "", 0), (None, "u", "x", 1)]
     assert extract(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "around",
+    [
+        "<div class='layout has-sidebar'><article>%s</article></div>",
+        "<div class='no-comments ad-free'>%s</div>",
+        "<div class=elementor-widget-container>%s</div>",
+        "<div id=search-result>%s</div>",
+        "<div class=search>%s</div>",
+        "<article></article><div class=sidebar><div><div>%s</div></div></div>",
+        "<div class=widget><main>%s</main></div>",
+        "<div class=sidebar><div>%s</div></div><p>x</p>",
+        "<span class=share><div>%s</div></span>",
+        "<div title='the hidden cost'>%s</div>",
+        "<div class='wide hidden md:block'>%s</div>",
+        "<div data-id=ad data-style='display:none'>%s</div>",
+    ],
+)
+def test_a_wrapper_with_a_name_keeps_the_article(around):
+    assert main_text(around % ARTICLE) == LINES
+
+
+@pytest.mark.parametrize("attributes", ["hidden", "aria-hidden='true'", "style='color:red; display : none'", "HIDDEN=''"])
+def test_hidden_elements_go(attributes):
+    assert main_text(f"<article>{ARTICLE}<div {attributes}><p>Not to be seen.</p></div></article>") == LINES
+
+
+def test_a_marked_part_of_a_line_goes_and_the_line_stays_one():
+    assert main_text("<p>A line of text with<span class='ad box'> buy</span> words after it.</p>") == "A line of text with words after it."
+    most = "<p>Before <a class=share>nearly all of the characters of this page</a> after.</p>"
+    assert main_text(most) == "Before nearly all of the characters of this page after."

@@ -1,8 +1,11 @@
 """Main text of web pages by composite text density.
 
 A page is read into a tree of block elements; what is inline belongs to its block. Elements that
-hold no article by their kind or name (menus, footers, adverts, forms, scripts, …) leave the tree
-first. The density of a node is its characters per tag, lowered by how much of it is link text; the
+hold no article by their kind or name (menus, footers, adverts, forms, scripts, …) or are hidden leave
+the tree first. A name counts if all parts of a class, id or role are known, and never takes away a
+subtree with an article, a main element or a first-level heading in it, nor one with more than half of
+the page's characters unless an article or main element with text stands elsewhere: there the density
+decides. The density of a node is its characters per tag, lowered by how much of it is link text; the
 density sum of a node is the sum over its children. The node with the highest sum is the core of
 the page. The lowest density on its path to the body is the threshold: below the body, every node
 that reaches it gives the subtree with the highest sum in it, so an article in several parts is
@@ -23,6 +26,7 @@ import html as entities
 import math
 import re
 from collections import Counter
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -51,7 +55,7 @@ ENDS = {
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}),
     "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}),
 }
-#: Words in a class, an id or a role that mark what is no article.
+#: Words of a class, an id or a role that mark what is no article.
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments "
     "commentlist consent contentinfo cookie cookies disqus dialog footer masthead menu menus modal nav navbar "
@@ -60,20 +64,30 @@ MARKS = frozenset(
     "toolbar widget widgets".split()
 )
 
+#: Words that may stand beside a mark in one name.
+BESIDE = frozenset(
+    "area bar block bottom box button buttons form icons item items left link links list main page post posts right "
+    "section site slot top unit".split()
+)
+#: What an article is told by: no name takes it away.
+HOLDS_ARTICLE = frozenset(("article", "main", "h1"))
+
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"""
     r"""|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>"']|"[^"]*"|'[^']*')*)>""",
     re.S,
 )
-_NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|\Z)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Node:
     """A block element: its parts are texts, (text in a link) and child nodes, in page order."""
 
-    __slots__ = ("name", "parent", "parts", "children", "tags", "links", "chars", "link_chars", "density", "sum", "best")
+    __slots__ = (
+        "name", "parent", "parts", "children", "tags", "links", "chars", "link_chars", "density", "sum", "best", "marked"
+    )
 
     def __init__(self, name: str, parent: Node | None):
         self.name, self.parent = name, parent
@@ -82,9 +96,25 @@ class Node:
         self.tags = self.links = self.chars = self.link_chars = 0
         self.density = self.sum = 0.0
         self.best = self  # of its subtree, the node with the highest density sum
+        self.marked = False  # its name says that it is no article
+
+
+def _attributes(raw: str) -> dict[str, str]:
+    """Names in lower case and values; of repeated names the first."""
+    out: dict[str, str] = {}
+    for name, value in _ATTRIBUTE.findall(raw):
+        out.setdefault(name.lower(), entities.unescape(value.strip("\"'")))
+    return out
 
 
-def _unwanted(name: str, attributes: str, inside: Node) -> bool:
+@lru_cache(1 << 16)
+def _marks(token: str) -> bool:
+    parts = [x.lower() for x in _PARTS.findall(token)]
+    return any(x in MARKS for x in parts) and all(x in MARKS or x in BESIDE for x in parts)
+
+
+def _unwanted(name: str, attributes: dict[str, str], inside: Node) -> bool:
+    """Whether an element goes by its kind or is hidden."""
     if name in BOILERPLATE:
         return True
     if name == "header":  # an article's own header holds its title
@@ -94,10 +124,56 @@ def _unwanted(name: str, attributes: str, inside: Node) -> bool:
         return node is None
     if not attributes or name in ("html", "body", "article", "main"):
         return False
-    if _HIDDEN.search(attributes):
-        return True
-    named = " ".join(x.strip("\"'") for x in _NAMED.findall(attributes))
-    return any(x.lower() in MARKS for x in _PARTS.findall(named))
+    return (
+        "hidden" in attributes
+        or attributes.get("aria-hidden", "").strip().lower() == "true"
+        or _NO_DISPLAY.search(attributes.get("style", "")) is not None
+    )
+
+
+def _marked(name: str, attributes: dict[str, str]) -> bool:
+    """Whether an element's names say that it is no article."""
+    if not attributes or name in ("html", "body", "article", "main"):
+        return False
+    return any(_marks(x) for key in ("class", "id", "role") for x in attributes.get(key, "").split())
+
+
+def _prune(root: Node) -> None:
+    """Takes marked nodes away, except those that may hold the article; what stays of inline ones joins its block."""
+    nodes = _nodes(root)
+    if not any(x.marked for x in nodes):
+        return
+    chars, holds = {}, {}
+    for node in reversed(nodes):
+        own = sum(len(_squeezed(x[0])) for x in node.parts if isinstance(x, tuple))
+        chars[node] = own + sum(chars[x] for x in node.children)
+        holds[node] = node.name in HOLDS_ARTICLE or any(holds[x] for x in node.children)
+    # A marked node without one of these is beside them.
+    elsewhere = any(x.name in ("article", "main") and chars[x] for x in nodes)
+
+    def goes(node: Node) -> bool:
+        return node.marked and not holds[node] and (elsewhere or 2 * chars[node] <= chars[root])
+
+    for node in reversed(nodes):
+        if not any(x.marked for x in node.children):
+            continue
+        parts, children = [], []
+        for part in node.parts:
+            if not isinstance(part, Node):
+                parts.append(part)
+            elif goes(part):
+                continue
+            elif part.name in INLINE:
+                parts += part.parts
+                children += part.children
+                for child in part.children:
+                    child.parent = node
+                node.tags += part.tags + 1
+                node.links += part.links + (part.name == "a")
+            else:
+                parts.append(part)
+                children.append(part)
+        node.parts, node.children = parts, children
 
 
 def parse(page: str) -> Node:
@@ -161,9 +237,10 @@ def parse(page: str) -> Node:
         if name in ENDS:
             close_open(*ENDS[name])
         attributes = match["attributes"]
-        gone = _unwanted(name, attributes, node)
+        named = _attributes(attributes) if attributes else {}
+        gone, marked = _unwanted(name, named, node), _marked(name, named)
         if name in VOID or attributes.endswith("/") and name not in RAW and name not in INLINE | CLOSES_PARAGRAPH:
-            if not dropped and not gone:
+            if not dropped and not gone and not marked:
                 node.tags += 1
                 if name not in INLINE:
                     node.parts.append(None)
@@ -178,15 +255,18 @@ def parse(page: str) -> Node:
         links += name == "a"
         if dropped:
             continue
-        if name in INLINE:
+        # Inline elements with a mark are nodes until it is known whether they stay; the outermost one decides.
+        if name in INLINE and (not marked or node.name in INLINE):
             node.tags += 1
             node.links += name == "a"
         else:
             child = Node(name, node)
+            child.marked = marked
             node.parts.append(child)
             node.children.append(child)
             node = child
     text(page[at:])
+    _prune(root)
     return root
 
 
