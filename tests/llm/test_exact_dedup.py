@@ -55,3 +55,11 @@ def test_empty_table(spark):
 def test_plan_has_no_python_and_collapses_copies_before_the_shuffle(spark):
     plan = exact_groups(awkward(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "partial_min" in plan
+
+
+def test_one_of_repeated_keepers_and_of_rows_without_an_id_stays(spark):
+    rows = [(1, "a b"), (1, "a b"), (1, "a b"), (2, "ab"), (None, "x"), (None, "x"), (None, "x "), (None, "x "), (3, "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(((r.doc_id, r.text) for r in drop_copies(docs).collect()), key=str) == [(1, "a b"), (3, "c"), (None, "x ")]
+    groups = exact_groups(docs).collect()
+    assert len(groups) == len(rows) and sorted(r.group_size for r in groups if r.kept) == [1, 4, 4]

@@ -2,8 +2,7 @@
 
 Texts are equal when they are identical without the characters of `SPACE`. A null text is the
 empty text. Of equal texts the row with the most code points stays, then the one with the smallest
-id; a null id comes last. Rows that agree in id, text and length are one document: they stay or go
-together. An empty table gives an empty result, and other columns are never read.
+id; a null id comes last. Of rows that agree in all of this, any one stays. An empty table gives an empty result, and other columns are never read.
 
 The aggregate keeps hash and text as its key, so two texts are joined only if their bytes agree,
 and copies collapse before the shuffle: a group of any size leaves one row per task. Rows find
@@ -17,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import SPACE, free_names, text_or_empty
+from tickloom.llm.common import SPACE, free_names, text_or_empty, written
 
 
 def _bare(text: str) -> Column:
@@ -52,12 +51,28 @@ def exact_groups(
         .select("hash", F.sha2("bare", 256).alias("text_sha256"), "first", "group_size")
     )
     # The second digest tells texts apart that share the first.
-    return rows.drop("bare").join(groups, ["hash", "text_sha256"]).select(
+    found = rows.drop("bare").join(groups, ["hash", "text_sha256"]).select(
         "doc_id",
         "n_chars",
         F.col("first.doc_id").alias("keep_id"),
         "group_size",
-        (F.col("place") == F.col("first")).alias("kept"),
+        (F.col("place") == F.col("first")).alias("first"),
+        "text_sha256",
+        "hash",
+        F.monotonically_increasing_id().alias("row"),
+    )
+    # Written, so that a row keeps its number; without the texts.
+    found = written(found, "exact-groups")
+    tied = found.where("first").groupBy("hash", "text_sha256").agg(
+        F.min("row").alias("stays"), F.count(F.lit(1)).alias("ties")
+    )
+    tied = tied.where("ties > 1").drop("ties")
+    return found.join(tied, ["hash", "text_sha256"], "left").select(
+        "doc_id",
+        "n_chars",
+        "keep_id",
+        "group_size",
+        (F.col("first") & (F.col("row") == F.coalesce("stays", "row"))).alias("kept"),
         "text_sha256",
     )
 
@@ -75,11 +90,20 @@ def drop_copies(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
         F.length(text_or_empty(text)).cast("long").alias(n_chars),
         F.col(id).alias(row_id),
     )
-    gone = exact_groups(docs, id, text).where(~F.col("kept"))
-    gone = gone.select("text_sha256", "n_chars", "doc_id").distinct()
-    match = (
-        (keyed[sha] == gone["text_sha256"])
-        & (keyed[n_chars] == gone["n_chars"])
-        & keyed[row_id].eqNullSafe(gone["doc_id"])
+    gone = exact_groups(docs, id, text).groupBy("text_sha256", "n_chars", "doc_id").agg(
+        F.max("kept").alias("kept"), F.min("kept").alias("all")
     )
-    return keyed.join(gone, match, "left_anti").drop(*names)
+    gone = written(gone.where(~F.col("all")), "copies")
+    one_each = gone.where("kept")  # rows that go are tied with the one that stays
+
+    def match(some: DataFrame) -> Column:
+        return (
+            (keyed[sha] == some["text_sha256"])
+            & (keyed[n_chars] == some["n_chars"])
+            & keyed[row_id].eqNullSafe(some["doc_id"])
+        )
+
+    kept = keyed.join(gone, match(gone), "left_anti")
+    if not one_each.isEmpty():
+        kept = kept.unionByName(keyed.join(one_each, match(one_each), "left_semi").dropDuplicates(names))
+    return kept.drop(*names)
