@@ -95,3 +95,13 @@ def test_a_single_language(spark):
     docs = awkward(spark).selectExpr("doc_id", "text", "'xx' as lang")
     named, lang_pred, _ = identify(docs, fit(docs))
     assert {r[lang_pred] for r in named.collect()} == {"xx", "und"}
+
+
+def test_a_low_score_drops_no_document(spark, monkeypatch):
+    def unsure(docs, net, text="text"):
+        return docs.selectExpr("*", "if(doc_id = 3, 'und', 'en') as guess", "0.3d as sure"), "guess", "sure"
+
+    monkeypatch.setattr(language_id, "fit", lambda *args: None)
+    monkeypatch.setattr(language_id, "identify", unsure)
+    docs = spark.createDataFrame([(1, "a"), (2, "de la und"), (3, "12")], "doc_id long, text string")
+    assert sorted(r.doc_id for r in keep_identified(docs).collect()) == [1, 2]

@@ -243,9 +243,7 @@ def identify(docs: DataFrame, net: Network | None, text: str = "text") -> tuple[
     return named.drop(guess), lang_pred, score
 
 
-def keep_identified(
-    docs: DataFrame, least: float = 0.4, id: str = "doc_id", text: str = "text", lang: str = "lang"
-) -> DataFrame:
-    """The rows of `docs` whose language is known with a score of `least` or more, with their columns."""
+def keep_identified(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """The rows of `docs` that have a language, however low its score is, with their columns."""
     named, lang_pred, score = identify(docs, fit(docs, id, text, lang), text)
-    return named.where((F.col(lang_pred) != UNKNOWN) & (F.col(score) >= least)).drop(lang_pred, score)
+    return named.where(F.col(lang_pred) != UNKNOWN).drop(lang_pred, score)
