@@ -16,6 +16,7 @@ from tickloom.llm import (
     language_id,
     lm_score,
     mixing,
+    resampling,
     sharding,
     simhash,
     token_files,
@@ -191,3 +192,69 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents")).drop("n_chars")
+
+
+#: DuckDB has no crc32: its table by the rule of the polynomial, and a fold over bytes.
+_CRC_TABLE = """[list_reduce(range(8), lambda c, i: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, n)
+            for n in range(256)]"""
+
+
+def _crc32(bytes_: str) -> str:
+    """SQL of the unsigned crc32 of a list of byte values, with the table in `crc_table.entries`."""
+    fold = "lambda c, b: xor(entries[(xor(c, b) & 255) + 1], c >> 8)"
+    return f"xor(list_reduce({bytes_}, {fold}, 4294967295), 4294967295)"
+
+
+def _bytes(text: str) -> str:
+    """SQL of the values of a text's bytes in UTF-8."""
+    return f"[('0x' || pair)::bigint for pair in regexp_extract_all(hex(encode({text})), '..')]"
+
+
+@query(
+    "op12_resampling",
+    rf"""
+    with crc_table as (
+        select {_CRC_TABLE} as entries
+    ), texts as (
+        select false as aimed, row_number() over () as row, doc_id, text from documents
+        union all select true, row_number() over (), null, text from benchmark
+    ), split as (
+        select aimed, row, doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'
+        ) as words
+        from texts
+    ), features as (
+        select aimed, row, unnest(words) as word from split
+    ), bucketed as (
+        select word, {_crc32(_bytes("word"))} % 10000 as bucket
+        from (select distinct word from features), crc_table
+    ), held as (
+        select bucket, count(*) filter (where not aimed) as s, count(*) filter (where aimed) as t
+        from features join bucketed using (word) group by bucket
+    ), gained as (
+        select bucket, cast(floor(1000 * ln(
+            (t + 1) * cast(sum(s) over () + 10000 as double) / ((s + 1) * cast(sum(t) over () + 10000 as double))
+        )) as bigint) as gain
+        from held
+    ), weighed as (
+        select row, cast(sum(gain) as bigint) as weight
+        from features join bucketed using (word) join gained using (bucket) where not aimed group by row
+    ), scored as (
+        select row, doc_id, cast(len(words) as bigint) as n_features, coalesce(weight, 0) as weight,
+            coalesce(weight, 0) + cast(floor(-1000 * ln(-ln(
+                (cast('0x' || substr(sha256('2024:' || coalesce(cast(doc_id as varchar), '')), 1, 8) as bigint) + 0.5::double)
+                / 4294967296
+            ))) as bigint) as score
+        from split left join weighed using (row) where not aimed
+    ), placed as (
+        select row, row_number() over (order by score desc, doc_id nulls last, row) as place, count(*) over () as able
+        from scored where n_features >= 20
+    )
+    select doc_id, n_features, weight, score, case when place <= able * 10 // 100 then place end as rank
+    from scored left join placed using (row)
+    """,
+)
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return resampling.importance(documents, benchmark).drop("row", "n_words")
