@@ -14,6 +14,7 @@ from tickloom.llm import (
     exact_dedup,
     html_text,
     language_id,
+    license_scan,
     lm_score,
     mixing,
     resampling,
@@ -258,3 +259,67 @@ def _bytes(text: str) -> str:
 def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return resampling.importance(documents, benchmark).drop("row", "n_words")
+
+
+def _accepts(regions: tuple) -> str:
+    """A regular expression over ' '-led words for the regions of a license template."""
+    out = ""
+    for region in regions:
+        if isinstance(region, license_scan.Word):
+            out += " " + region.text.decode()
+        elif isinstance(region, license_scan.Any):
+            out += f"(?: [^ ]+){{{region.least},{region.most}}}"
+        else:
+            out += "(?:" + "|".join(map(_accepts, region.ways)) + ")"
+    return out
+
+
+def _license_sql() -> str:
+    """Templates as regular expressions, phrases by the words that follow each other."""
+    said = []
+    for number, template in enumerate(license_scan.all_templates()):
+        regions = license_scan.parse(template.markup)
+        regex = _accepts(regions).replace("'", "''")
+        said.append(
+            f"case when regexp_matches(line, '{regex}( |$)') then "
+            f"{{'label': '{template.label}', 'mandatory': {license_scan.mandatory_words(regions)}}} end"
+        )
+    return f"""
+    with split as (
+        select row_number() over () as row, doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'
+        ) as words
+        from documents
+    ), placed as (
+        select row, unnest(words) as word, generate_subscripts(words, 1) - 1 as spot from split
+    ), followed as (
+        select row, spot, word, lead(word) over near as word2, lead(word, 2) over near as word3
+        from placed window near as (partition by row order by spot)
+    ), phrased as (
+        select row, cast(spot as bigint) as spot, case
+            when word = 'mit' and word2 = 'license' then 'mit'
+            when word = 'apache' and word2 = 'license' then 'apache'
+            when word = 'general' and word2 = 'public' and word3 = 'license' then 'gpl' end as label
+        from followed
+    ), base as (
+        select row, count(*) as n_base, min(spot) as first_word, max(spot) as last_word,
+            array_to_string(list_sort(list(distinct label)), ',') as base_labels
+        from phrased where label is not null group by row
+    ), lines as (
+        select *, ' ' || array_to_string(words, ' ') as line from split
+    ), accepted as (
+        select row, list_filter([{", ".join(said)}], lambda x: x is not null) as held from lines
+    )
+    select doc_id, cast(len(words) as bigint) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word,
+        coalesce(base_labels, '') as base_labels,
+        array_to_string(list_sort(list_distinct([x.label for x in held])), ',') as labels,
+        coalesce(list_max([x.mandatory for x in held]), 0)
+            / (coalesce(list_max([x.mandatory for x in held]), 0) + {license_scan.HALF}::double) as score
+    from split join accepted using (row) left join base using (row)
+    """
+
+
+@query("op13_license_scan", _license_sql())
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.summary(table(spark, sf_dir, "documents"))
