@@ -17,6 +17,7 @@ from tickloom.llm import (
     license_scan,
     lm_score,
     mixing,
+    prefix_trie,
     resampling,
     sharding,
     simhash,
@@ -211,6 +212,68 @@ def _bytes(text: str) -> str:
     return f"[('0x' || pair)::bigint for pair in regexp_extract_all(hex(encode({text})), '..')]"
 
 
+@query(
+    "op11_prefix_trie",
+    rf"""
+    with crc_table as (
+        select {_CRC_TABLE} as entries
+    ), cleaned as (
+        select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+        where conv_id is not null
+    ), hashed as (
+        select *, sha256(concat(length(role), ':', role, ':', text)) as digest,
+            len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) as words
+        from cleaned
+    ), turns as (
+        select *, row_number() over (partition by conv_id order by turn nulls first, digest) - 1 as pos from hashed
+    ), convs as (
+        select conv_id, conv_id - conv_id % 20 as base, {_crc32(_bytes("cast(conv_id as varchar)"))} % 4 as h
+        from (select distinct conv_id from turns), crc_table
+    ), taken as (
+        select c.conv_id, t.pos, t.digest, t.words from convs c join turns t on t.conv_id = c.base and t.pos < c.h
+    ), known as (
+        select c.conv_id, c.h, count(t.pos) as taken from convs c left join taken t using (conv_id) group by all
+    ), rebuilt as (
+        select * from taken
+        union all
+        select t.conv_id, t.pos - k.h + k.taken, t.digest, t.words
+        from turns t join known k using (conv_id) where t.pos >= k.h
+    ), prefixes as (
+        select conv_id, pos + 1 as depth, words,
+            string_agg(digest, ',') over (partition by conv_id order by pos) as way from rebuilt
+        union all select conv_id, 0, 0, '' from convs
+    ), nodes as (
+        select depth, way, min(conv_id) as conv_id, count(*) as n_convs, min(words) as words
+        from prefixes group by depth, way
+    ), ways as (
+        select p.conv_id as member, p.depth, n.conv_id,
+            p.depth = max(p.depth) over (partition by p.conv_id) as ends
+        from prefixes p join nodes n using (depth, way)
+    ), linked as (
+        select n.conv_id, n.depth, n.n_convs, (n.n_convs - 1) * n.words as saved, up.conv_id as parent_conv_id
+        from nodes n left join ways up on up.member = n.conv_id and up.depth = n.depth - 1
+    ), children as (
+        select parent_conv_id as conv_id, depth - 1 as depth, count(*) as n_children
+        from linked where depth > 0 group by all
+    ), counted as (
+        select l.*, coalesce(n_children, 0) as n_children from linked l left join children using (conv_id, depth)
+    ), totals as (
+        select w.conv_id, w.depth, sum(cast(c.n_children = 0 as bigint)) as n_leaves, sum(c.saved) as saved_tokens
+        from counted c join ways w on w.member = c.conv_id and w.depth <= c.depth group by all
+    ), ended as (
+        select conv_id, depth, sha256(string_agg(cast(member as varchar), ',' order by member)) as ends_sha256
+        from ways where ends group by all
+    )
+    select conv_id, cast(depth as bigint) as depth, parent_conv_id, n_convs, n_children,
+        cast(n_leaves as bigint) as n_leaves, cast(saved_tokens as bigint) as saved_tokens,
+        coalesce(ends_sha256, sha256('')) as ends_sha256
+    from counted join totals using (conv_id, depth) left join ended using (conv_id, depth)
+    """,
+)
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 @query(
     "op12_resampling",
     rf"""
