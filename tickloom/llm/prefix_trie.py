@@ -61,8 +61,9 @@ def ordered_turns(conversations: DataFrame) -> DataFrame:
     )
     order = [F.col("conv_id"), F.col("turn").asc_nulls_first(), F.col("digest")]
     # Equal turns part by the task they come from.
-    turns = turns.withColumn("from", F.monotonically_increasing_id())
     order.append(F.col("from"))
+    # Written, since a range shuffle reads its rows twice: texts are hashed once.
+    turns = written(turns.withColumn("from", F.monotonically_increasing_id()), "digests")
     sorted_ = turns.repartitionByRange(*order).sortWithinPartitions(*order)
     placed = sorted_.select("conv_id", "digest", "words", F.monotonically_increasing_id().alias("place"))
     placed = written(placed, "turns")
@@ -281,10 +282,9 @@ def subtree_totals(nodes: DataFrame, ways: DataFrame, small: int = SMALL) -> Dat
     """`nodes` (with n_children, leaves and saved of the node itself) and all_leaves, all_saved of subtrees."""
     zero = F.lit(0).cast("long")
     state = nodes.select("*", zero.alias("all_leaves"), zero.alias("all_saved"))
-    top = nodes.where("depth = 0").select("conv_id").first()
-    state = state.select(
-        "*", F.lit(top["conv_id"] if top else None).cast("long").alias("top"), zero.alias("top_depth")
-    )
+    top = nodes.where("depth = 0").select("conv_id").first()  # the root
+    top = F.lit(top["conv_id"] if top else None).cast("long")
+    state = written(state.select("*", top.alias("top"), zero.alias("top_depth")), "state")
     ready, settled = [], []
     while True:
         sizes = state.groupBy(*_TOP).agg(F.count(F.lit(1)).alias("size"), F.max("weight").alias("whole"))
@@ -403,7 +403,7 @@ def prefix_trie(conversations: DataFrame, every: int = 20, heads: int = 4, small
         (n_children == 0).cast("long").alias("leaves"),
         ((F.col("n_convs") - 1) * F.col("words")).alias("saved"),
     )
-    totals = subtree_totals(written(nodes, "nodes"), ways, small)
+    totals = subtree_totals(nodes, ways, small)
     return totals.join(ends(ways), ["conv_id", "depth"], "left").select(
         "conv_id",
         "depth",
