@@ -116,9 +116,9 @@ def main() -> None:
     queries = {
         "snapshot_explode": decoded,
         "normalize_tick": lambda: warehouse_rows(read_topic(spark, topic), ZONE),
-        "day_slice": lambda: day_slice(warehouse_rows(read_topic(spark, topic), ZONE), DAY),
+        "day_slice": lambda: day_slice(warehouse_rows(read_topic(spark, topic), ZONE, DAY), DAY),
         "day_slice_bounded": lambda: day_slice(
-            warehouse_rows(read_topic(spark, topic, DAY, ZONE, dt.timedelta(hours=1)), ZONE), DAY
+            warehouse_rows(read_topic(spark, topic, DAY, ZONE, dt.timedelta(hours=1)), ZONE, DAY), DAY
         ),
         "partition_counts": lambda: partition_counts(read_snapshots(spark, lines)),
         "dedupe_exact": lambda: dedupe_exact(read_ticks(spark, table)),

@@ -15,6 +15,7 @@ from tickloom.operators import (
     rejected,
     status_filter,
     union_prior,
+    with_civil_day,
     with_civil_time,
 )
 from tickloom.plans.jobs import daily_load, hourly_batch, land_hour
@@ -65,5 +66,6 @@ __all__ = [
     "replace_day",
     "status_filter",
     "union_prior",
+    "with_civil_day",
     "with_civil_time",
 ]

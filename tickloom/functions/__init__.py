@@ -3,6 +3,7 @@ from tickloom.functions.civil import (
     civil_text,
     civil_time,
     dashed_day,
+    day_seconds,
     epoch_millis,
     epoch_seconds,
     in_calendar,
@@ -17,6 +18,7 @@ __all__ = [
     "civil_text",
     "civil_time",
     "dashed_day",
+    "day_seconds",
     "epoch_millis",
     "epoch_seconds",
     "in_calendar",

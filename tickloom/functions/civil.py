@@ -8,6 +8,9 @@ clock values are `timestamp_ntz`, and they become text or dates by a plain cast.
 
 from __future__ import annotations
 
+import datetime as dt
+from zoneinfo import ZoneInfo
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -65,6 +68,22 @@ def civil_time(seconds: Column, zone: str) -> Column:
     return F.timestamp_add("SECOND", shifted, _epoch())
 
 
+def day_seconds(day: dt.date, zone: str) -> tuple[int, int, bool]:
+    """The epoch seconds from which and up to which a civil day lies, and whether nothing else lies there.
+
+    A day that begins twice, since clocks go back over its midnight, shares its span with the day before.
+    """
+    there = ZoneInfo(zone)
+    first = dt.datetime.combine(day, dt.time(), there)
+    last = dt.datetime.combine(day + dt.timedelta(days=1), dt.time(fold=1), there)
+    start, stop = (int(at.timestamp()) for at in (first, last))
+    around = range(start - 2 * 3600, stop + 2 * 3600, 60)
+    exact = all(
+        (dt.datetime.fromtimestamp(at, there).date() == day) == (start <= at < stop) for at in around
+    )
+    return start, stop, exact
+
+
 def civil_text(wall: Column) -> Column:
     """`yyyy-MM-dd HH:mm:ss` of a whole-second wall clock."""
     return wall.cast("string")

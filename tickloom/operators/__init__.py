@@ -8,7 +8,13 @@ from tickloom.operators.snapshots import (
     rejected,
     status_filter,
 )
-from tickloom.operators.ticks import day_range, day_slice, normalize_ticks, with_civil_time
+from tickloom.operators.ticks import (
+    day_range,
+    day_slice,
+    normalize_ticks,
+    with_civil_day,
+    with_civil_time,
+)
 
 __all__ = [
     "accepted",
@@ -25,5 +31,6 @@ __all__ = [
     "rejected",
     "status_filter",
     "union_prior",
+    "with_civil_day",
     "with_civil_time",
 ]

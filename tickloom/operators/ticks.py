@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.days import as_date
@@ -12,6 +12,8 @@ from tickloom.functions import (
     civil_date,
     civil_text,
     civil_time,
+    day_seconds,
+    in_calendar,
     seconds_from_millis,
     seconds_from_prefix,
     to_double,
@@ -30,11 +32,7 @@ def with_civil_time(df: DataFrame, zone: str, layout: str = "batch") -> DataFram
     `batch` reads the epoch milliseconds in `timestamp`, `warehouse` those in
     `date`.
     """
-    if layout == "batch":
-        seconds = seconds_from_millis(F.col("timestamp"))
-    else:
-        seconds = whole_number(seconds_from_prefix(F.col(TIME_KEY)))
-    timed = df.withColumn("_seconds", seconds)
+    timed = df.withColumn("_seconds", _seconds(layout))
     timed = timed.withColumn("_wall", civil_time(F.col("_seconds"), zone))
     text, day = CIVIL
     return timed.select(
@@ -44,6 +42,36 @@ def with_civil_time(df: DataFrame, zone: str, layout: str = "batch") -> DataFram
     )
 
 
+def _seconds(layout: str) -> Column:
+    if layout == "batch":
+        return seconds_from_millis(F.col("timestamp"))
+    return whole_number(seconds_from_prefix(F.col(TIME_KEY)))
+
+
+def with_civil_day(
+    df: DataFrame, day: dt.date | str, zone: str, layout: str = "batch", timeless: bool = False
+) -> DataFrame:
+    """The rows of one civil day, with their civil time; with `timeless` also those without a usable time.
+
+    Rows are told by their epoch seconds, against the two instants between which the day lies, so no zone
+    is looked up for rows of other days, and once for each of this one.
+    """
+    day = as_date(day)
+    start, stop, exact = day_seconds(day, zone)
+    text, day_name = CIVIL
+    seconds = F.col("_seconds")
+    inside = (seconds >= start) & (seconds < stop)
+    timed = df.withColumn("_seconds", in_calendar(_seconds(layout)))
+    timed = timed.where(inside | seconds.isNull()) if timeless else timed.where(inside)
+    wall = civil_time(seconds, zone)
+    civil_day = F.when(inside, F.lit(day)) if exact else civil_date(wall)
+    rows = timed.select(*df.columns, civil_text(wall).alias(text), civil_day.alias(day_name))
+    if exact:
+        return rows
+    kept = F.col(day_name) == F.lit(day)
+    return rows.where(kept | F.col(day_name).isNull()) if timeless else rows.where(kept)
+
+
 def normalize_ticks(
     df: DataFrame, zone: str, layout: str = "batch", keep: tuple[str, ...] = ()
 ) -> DataFrame:

@@ -6,7 +6,7 @@ import datetime as dt
 from dataclasses import dataclass, field
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.days import as_date
@@ -18,12 +18,13 @@ from tickloom.operators import (
     explode_snapshot,
     normalize_ticks,
     rejected,
+    with_civil_day,
     with_civil_time,
 )
-from tickloom.scratch import staged
+from tickloom.scratch import observed
 from tickloom.schemas import BATCH, FIELDS, QUARANTINE, QUARANTINE_KEY, TIME_KEY, WAREHOUSE
 from tickloom.sinks import append_days, compact_small_files, merge_partitions, replace_day
-from tickloom.sinks.merge import MergeReport
+from tickloom.sinks.merge import CLOCK, MergeReport, Touched, measures, touched
 from tickloom.sources import read_snapshots
 
 
@@ -103,9 +104,10 @@ def load_batch(
     the merge, the reject counts and the quarantine. Both merges are safe to
     repeat.
     """
-    with staged(batch_rows(lines, zone), "batch") as rows:
+    good_ones, rows = F.col("reason").isNull(), batch_rows(lines, zone)
+    with observed(rows, "batch", *measures(None if rewrite else CLOCK, when=good_ones)) as (rows, found):
         good = accepted(rows).select(*BATCH.names)
-        merged = merge_partitions(good, out, BATCH, stage=False, rewrite=rewrite)
+        merged = merge_partitions(good, out, BATCH, stage=False, rewrite=rewrite, seen=touched(found))
         bad = rejected(rows)
         counts = {row.reason: row["count"] for row in bad.groupBy("reason").count().collect()}
         if quarantine is not None and counts:
@@ -116,7 +118,9 @@ def load_batch(
     return BatchReport(merged, counts)
 
 
-def _keep_rejects(rejects: DataFrame, quarantine: str, rewrite: bool = False) -> None:
+def _keep_rejects(
+    rejects: DataFrame, quarantine: str, rewrite: bool = False, seen: Touched | None = None
+) -> None:
     """Merges rejects by their digest: no stored text is read, and none is shuffled twice."""
     merge_partitions(
         rejects,
@@ -127,9 +131,25 @@ def _keep_rejects(rejects: DataFrame, quarantine: str, rewrite: bool = False) ->
         rewrite=rewrite,
         key=QUARANTINE_KEY,
         clock="landed",
+        seen=seen,
     )
 
 
+def warehouse_rows(messages: DataFrame, zone: str, day: dt.date | str | None = None) -> DataFrame:
+    """Topic messages to warehouse rows of every day, or of one; `dt` is null without a time."""
+    flat = decode_flat(messages)
+    if day is not None:
+        flat = with_civil_day(flat, day, zone, "warehouse")
+    return normalize_ticks(flat, zone, "warehouse")
+
+
+def _observed_messages(rows: DataFrame, rejects_dt: Column):
+    """Staged messages, and what is known of the good ones (`good_`) and of the rejects (`bad_`)."""
+    good = F.col("reason").isNull()
+    bad = measures("landed", rejects_dt, ~good, "bad_")
+    return observed(rows, "messages", *measures(CLOCK, when=good, prefix="good_"), *bad)
+
+
 def warehouse_rows(messages: DataFrame, zone: str) -> DataFrame:
     """Topic messages to warehouse rows of every day; `dt` is null without a time."""
     return normalize_ticks(decode_flat(messages), zone, "warehouse")
@@ -158,17 +178,18 @@ def daily_load(
     if mode not in ("merge", "append", "replace"):
         raise ValueError(f"unknown mode: {mode}")
     day = as_date(day)
-    with staged(marked_messages(messages, zone, day), "daily") as rows:
+    landed = F.lit(day)
+    with _observed_messages(marked_messages(messages, zone, day), landed) as (rows, found):
         good = rows.where(F.col("reason").isNull()).select(*WAREHOUSE.names)
         if mode == "append":
             append_days(good, out, files)
         elif mode == "merge":
-            merge_partitions(good, out, WAREHOUSE, stage=False, rewrite=False)
+            merge_partitions(good, out, WAREHOUSE, stage=False, rewrite=False, seen=touched(found, "good_"))
         else:
             replace_day(good, out, day, files, stage=False, shrink=shrink)
         if quarantine is not None:
-            rejects = rows.where(F.col("reason").isNotNull())
-            _keep_rejects(rejects.select(*QUARANTINE.names[:-1], F.lit(day).alias("dt")), quarantine)
+            rejects = rows.where(F.col("reason").isNotNull()).select(*QUARANTINE.names[:-1], landed.alias("dt"))
+            _keep_rejects(rejects, quarantine, seen=touched(found, "bad_"))
 
 
 def load_messages(messages: DataFrame, out: str, zone: str, quarantine: str | None = None) -> None:
@@ -176,30 +197,31 @@ def load_messages(messages: DataFrame, out: str, zone: str, quarantine: str | No
 
     Safe to repeat. Rejects go under the civil day on which they arrived.
     """
-    with staged(marked_messages(messages, zone), "messages") as rows:
+    arrived = F.coalesce("arrived", F.lit(NO_DAY))
+    with _observed_messages(marked_messages(messages, zone), arrived) as (rows, found):
         good = rows.where(F.col("reason").isNull()).select(*WAREHOUSE.names)
-        merge_partitions(good, out, WAREHOUSE, stage=False, rewrite=False)
+        merge_partitions(good, out, WAREHOUSE, stage=False, rewrite=False, seen=touched(found, "good_"))
         if quarantine is not None:
-            arrived = F.coalesce("arrived", F.lit(NO_DAY)).alias("dt")
-            rejects = rows.where(F.col("reason").isNotNull())
-            _keep_rejects(rejects.select(*QUARANTINE.names[:-1], arrived), quarantine)
+            rejects = rows.where(F.col("reason").isNotNull()).select(*QUARANTINE.names[:-1], arrived.alias("dt"))
+            _keep_rejects(rejects, quarantine, seen=touched(found, "bad_"))
 
 
 def marked_messages(messages: DataFrame, zone: str, day: dt.date | None = None) -> DataFrame:
     """Warehouse rows with `reason`, `body`, `digest` and the day they `arrived`, in one pass.
 
-    With `day` only the rows of that day, and those of none. The reason is `message` for one
-    without any known field and `time` for one without a usable time.
+    With `day` only the rows of that day, and those of none; these go under that day, so when they
+    arrived is not worked out. The reason is `message` for one without any known field and `time` for
+    one without a usable time.
     """
     arrival = F.lit(None).cast("date")
-    if "timestamp" in messages.columns:
+    if "timestamp" in messages.columns and day is None:
         arrival = civil_date(civil_time(F.unix_seconds("timestamp"), zone))
     flat = decode_flat(messages.withColumn("_arrived", arrival), keep=("value", "_arrived"))
     flat = flat.withColumn("_empty", F.coalesce(*FIELDS, "coin", TIME_KEY).isNull())
+    if day is not None:
+        flat = with_civil_day(flat, day, zone, "warehouse", timeless=True)
     rows = normalize_ticks(flat, zone, "warehouse", keep=("value", "_empty", "_arrived"))
     timeless = F.col("dt").isNull()
-    if day is not None:
-        rows = rows.where(timeless | (F.col("dt") == F.lit(day)))
     body = F.when(timeless, F.col("value").cast("string"))
     return rows.select(
         *WAREHOUSE.names,

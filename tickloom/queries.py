@@ -319,7 +319,7 @@ def normalize_tick(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check("day_slice", f"select * from ({_WAREHOUSE}) where dt = date '{DAY}'")
 def day_slice_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return day_slice(warehouse_rows(_messages(spark, sf_dir), ZONE), DAY)
+    return day_slice(warehouse_rows(_messages(spark, sf_dir), ZONE, DAY), DAY)
 
 
 # --- functions ---------------------------------------------------------------

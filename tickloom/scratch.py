@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from tickloom.hadoop import remove
 
@@ -46,3 +46,15 @@ def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
         remove(spark, path)
+
+
+@contextmanager
+def observed(df: DataFrame, label: str, *measures: Column) -> Iterator[tuple[DataFrame, dict[str, object]]]:
+    """The staged table, and the values of the aggregates `measures`, taken while it is written.
+
+    A task that runs again may be counted again, so counts are bounds where an executor is lost: use
+    them for sizes, and the others for what repetition does not change.
+    """
+    seen = Observation()
+    with staged(df.observe(seen, *measures), label) as table:
+        yield table, seen.get

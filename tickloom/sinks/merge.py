@@ -3,26 +3,34 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tickloom.operators.membership import may_be_in
 from tickloom.operators.sets import dedupe_exact, union_prior
-from tickloom.scratch import staged
+from tickloom.scratch import observed
 from tickloom.schemas import BATCH
 from tickloom.sinks.days import append_days, overwrite_days, write_dynamic
 from tickloom.sinks.layout import TASK_ROWS, packed, widened
 from tickloom.sources.paths import MAX_LISTED_DAYS
-from tickloom.sources.tables import read_days, read_optional
+from tickloom.sources.tables import read_days, read_optional, scan_bytes
 
 # Up to this many days the dedupe's own tasks are written as they are, joined to
 # a good size. Each holds rows of every day, so it writes at most this many
 # files, and a second shuffle of all rows is saved.
 FEW_DAYS = 8
 
+# Stored rows of an appending merge are counted by the size of their files, not by a job: this or more
+# bytes a row. A wider shuffle than needed costs little, since adaptive execution joins its tasks.
+STORED_ROW_BYTES = 24
+
+# From this size of stored files on, a filter of the new rows is built before the stored ones are shuffled.
+FILTER_BYTES = 64 << 20
+
 # The column by which stored rows are narrowed before an appending merge.
 CLOCK = "timestamp"
 
@@ -38,6 +46,38 @@ class MergeReport:
         return len(self.days)
 
 
+@dataclass(frozen=True)
+class Touched:
+    """What a merge has to know of its new rows: days, number, first and last time, and rows without a day."""
+
+    days: tuple[dt.date, ...]
+    rows: int
+    first: object = None
+    last: object = None
+    dayless: int = 0
+
+
+def measures(clock: str | None, dt: Column | str = "dt", when: Column | None = None, prefix: str = "") -> list[Column]:
+    """The aggregates of `Touched`, over the rows that meet `when`; for `observe` or `agg`."""
+    when = F.lit(True) if when is None else when
+    day = F.col(dt) if isinstance(dt, str) else dt
+    time = F.when(when, F.col(clock)) if clock else F.lit(None)
+    return [
+        F.count(F.when(when, 1)).alias(f"{prefix}rows"),
+        F.count(F.when(when & day.isNull(), 1)).alias(f"{prefix}dayless"),
+        F.collect_set(F.when(when, day)).alias(f"{prefix}days"),
+        F.min(time).alias(f"{prefix}first"),
+        F.max(time).alias(f"{prefix}last"),
+    ]
+
+
+def touched(found: Mapping[str, object], prefix: str = "") -> Touched:
+    """`Touched` from the values of `measures`. Nothing was observed where there was nothing to write."""
+    days = tuple(sorted(found.get(f"{prefix}days") or ()))
+    rows, dayless = (found.get(f"{prefix}{name}") or 0 for name in ("rows", "dayless"))
+    return Touched(days, rows, found.get(f"{prefix}first"), found.get(f"{prefix}last"), dayless)
+
+
 def merge_partitions(
     new: DataFrame,
     path: str,
@@ -47,6 +87,7 @@ def merge_partitions(
     rewrite: bool = True,
     key: Sequence[str] | None = None,
     clock: str = CLOCK,
+    seen: Touched | None = None,
 ) -> MergeReport:
     """Adds `new` to the stored rows of every day it touches, without copies.
 
@@ -61,16 +102,22 @@ def merge_partitions(
 
     `key` names columns that tell rows apart, for tables with long texts: only
     these are compared, and an appending merge reads no others of the stored
-    rows. `clock` is a column by whose range stored rows are narrowed.
+    rows. Of rows with one key the stored one stays; of several new ones the least, as
+    a whole, in both modes. `clock` is a column by whose range stored rows are narrowed.
 
-    `new` is read twice (for its days and for its rows). It is staged as a table
-    in the scratch folder first; pass `stage=False` if it is a plain table scan.
+    `new` is staged as a table in the scratch folder, and its days are observed while
+    it is written. Pass `stage=False` if it is a plain table scan, and with it what
+    was `seen` of its rows, or they are read once more.
     `task_rows` sizes the shuffle and, for few days, the files.
     """
-    if not stage:
-        return _merge(new.select(*schema.names), path, schema, task_rows, rewrite, key, clock)
-    with staged(new.select(*schema.names), "merge") as rows:
-        return _merge(rows, path, schema, task_rows, rewrite, key, clock)
+    rows = new.select(*schema.names)
+    timed = clock if not rewrite and clock in schema.names else None
+    if stage:
+        with observed(rows, "merge", *measures(timed)) as (table, found):
+            return _merge(table, path, schema, task_rows, rewrite, key, timed, touched(found))
+    if seen is None:
+        seen = touched(rows.agg(*measures(timed)).first().asDict())
+    return _merge(rows, path, schema, task_rows, rewrite, key, timed, seen)
 
 
 def _merge(
@@ -80,38 +127,42 @@ def _merge(
     task_rows: int,
     rewrite: bool,
     key: Sequence[str] | None,
-    clock: str,
+    timed: str | None,
+    seen: Touched,
 ) -> MergeReport:
     spark = new.sparkSession
-    timed = not rewrite and clock in new.columns
-    span = [F.min(clock).alias("first"), F.max(clock).alias("last")] if timed else []
-    touched = new.groupBy("dt").agg(F.count(F.lit(1)).alias("rows"), *span).collect()
-    if any(day.dt is None for day in touched):
+    if seen.dayless:
         raise ValueError("rows without dt; keep them apart before the merge")
-    if not touched:
+    if not seen.days:
         return MergeReport(())
-    days, added = sorted(day.dt for day in touched), sum(day.rows for day in touched)
-    few = len(days) <= FEW_DAYS
+    days, few = list(seen.days), len(seen.days) <= FEW_DAYS
 
     def stored(session: SparkSession) -> DataFrame:
-        rows = stored_days(session, path, days, schema).select(*schema.names)
-        return _near(rows, clock, touched) if timed else rows
+        return stored_days(session, path, days, schema).select(*schema.names)
 
-    rows = stored(spark).count() + added
-    prior = stored(widened(spark, rows, task_rows))
-    if not rewrite:
-        missing = _missing(prior, new, key)
-        if few:
-            packed(missing, added, task_rows).write.mode("append").partitionBy("dt").parquet(path)
-        else:
-            append_days(missing, path)
-    else:
-        both = union_prior(prior, new)
-        merged = dedupe_exact(both) if key is None else both.dropDuplicates(list(key))
+    if rewrite:
+        # The footers of the files tell their rows.
+        rows = stored(spark).count() + seen.rows
+        both = stored(widened(spark, rows, task_rows))
+        merged = dedupe_exact(union_prior(both, new)) if key is None else _first_by_key(both, new, key)
         if few:
             write_dynamic(packed(merged, rows, task_rows), path, "dt")
         else:
             overwrite_days(merged, path)
+        return MergeReport(tuple(days))
+    size = scan_bytes(stored(spark))
+    prior = stored(widened(spark, max(size // STORED_ROW_BYTES, seen.rows * TASK_ROWS // task_rows)))
+    if timed:
+        prior = _near(prior, timed, [{"first": seen.first, "last": seen.last}])
+    if size >= FILTER_BYTES:
+        # A file of a rewritten day holds all its times, so only the filter keeps its rows from the shuffle.
+        partners = may_be_in(new, key or new.columns, seen.rows)
+        prior = prior if partners is None else prior.where(partners)
+    missing = _missing(prior, new, key)
+    if few:
+        packed(missing, seen.rows, task_rows).write.mode("append").partitionBy("dt").parquet(path)
+    else:
+        append_days(missing, path)
     return MergeReport(tuple(days))
 
 
@@ -131,32 +182,46 @@ def stored_days(
     return table.join(F.broadcast(wanted), "dt", "left_semi")
 
 
-def _near(stored: DataFrame, clock: str, touched: Sequence[Row]) -> DataFrame:
-    """Stored rows that may equal a new one, by the first and last time of each touched day.
+def _near(stored: DataFrame, clock: str, touched: Sequence[Mapping]) -> DataFrame:
+    """Stored rows that may equal a new one, by the first and last time of the new rows or of parts of them.
 
     Equal rows have equal times. Appended files hold few hours each, so this
     skips most of the day by file statistics.
     """
-    first = min((day["first"] for day in touched if day["first"] is not None), default=None)
-    last = max((day["last"] for day in touched if day["last"] is not None), default=None)
+    first = min((part["first"] for part in touched if part["first"] is not None), default=None)
+    last = max((part["last"] for part in touched if part["last"] is not None), default=None)
     time = F.col(clock)
     return stored.where(time.between(F.lit(first), F.lit(last)) | time.isNull())
 
 
 def _missing(stored: DataFrame, new: DataFrame, key: Sequence[str] | None = None) -> DataFrame:
-    """The distinct rows of `new` that are not in `stored`.
+    """The distinct rows of `new` that are not in `stored`; one of each key.
 
     One aggregation over both, with the equality and the shuffle of a dedupe.
     """
     if key is None:
         key = new.columns
     # Of the stored rows only the key is read.
-    rest = [field for field in new.schema.fields if field.name not in key]
-    keys_only = stored.select(
-        *key, *[F.lit(None).cast(f.dataType).alias(f.name) for f in rest], F.lit(True).alias("_stored")
-    )
-    both = keys_only.unionByName(new.select(*key, *[f.name for f in rest], F.lit(False).alias("_stored")))
-    kept = both.groupBy(*key).agg(
-        F.max("_stored").alias("_stored"), *[F.min(f.name).alias(f.name) for f in rest]
-    )
-    return kept.where(~F.col("_stored")).select(*new.columns)
+    rest = [name for name in new.columns if name not in key]
+    row = F.struct(*rest) if rest else F.lit(True)
+    keys_only = stored.select(*key, F.lit(True).alias("_stored"), F.lit(None).cast(_type_of(new, row)).alias("_rest"))
+    both = keys_only.unionByName(new.select(*key, F.lit(False).alias("_stored"), row.alias("_rest")))
+    # Whole rows are compared, so that no values of two rows are mixed.
+    kept = both.groupBy(*key).agg(F.max("_stored").alias("_stored"), F.min("_rest").alias("_rest"))
+    return _unfolded(kept.where(~F.col("_stored")), new.columns, rest)
+
+
+def _first_by_key(stored: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
+    """One row of each key: a stored one where there is one, the least of several."""
+    rest = [name for name in new.columns if name not in key]
+    marked = stored.withColumn("_new", F.lit(False)).unionByName(new.withColumn("_new", F.lit(True)))
+    kept = marked.groupBy(*key).agg(F.min(F.struct("_new", *rest)).alias("_rest"))
+    return _unfolded(kept, new.columns, rest)
+
+
+def _unfolded(rows: DataFrame, columns: Sequence[str], rest: Sequence[str]) -> DataFrame:
+    return rows.select(*[F.col("_rest").getField(c).alias(c) if c in rest else F.col(c) for c in columns])
+
+
+def _type_of(df: DataFrame, column: Column):
+    return df.select(column.alias("c")).schema["c"].dataType

@@ -63,3 +63,8 @@ def read_days(
     path = days_glob(root, wanted) if len(wanted) <= MAX_LISTED_DAYS else None
     stored = read_optional(spark, root, schema, path)
     return stored.where(F.col("dt").isin([F.lit(day) for day in wanted]))
+
+
+def scan_bytes(stored: DataFrame) -> int:
+    """The size of the files that a scan of stored days reads, by their listing."""
+    return int(str(stored._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
