@@ -18,9 +18,10 @@ from tickloom.operators import (
     with_civil_day,
     with_civil_time,
 )
-from tickloom.plans.jobs import daily_load, hourly_batch, land_hour
+from tickloom.plans.jobs import daily_load, daily_load_indexed, hourly_batch, land_hour
 from tickloom.sinks import (
     append_days,
+    append_once,
     compact_small_files,
     merge_partitions,
     overwrite_days,
@@ -34,13 +35,17 @@ from tickloom.sources import (
     read_snapshots,
     read_ticks,
     read_topic,
+    read_topic_day,
+    refresh_index,
 )
 
 __all__ = [
     "accepted",
     "append_days",
+    "append_once",
     "compact_small_files",
     "daily_load",
+    "daily_load_indexed",
     "day_range",
     "day_slice",
     "decode_envelope",
@@ -62,6 +67,8 @@ __all__ = [
     "read_snapshots",
     "read_ticks",
     "read_topic",
+    "read_topic_day",
+    "refresh_index",
     "rejected",
     "replace_day",
     "status_filter",

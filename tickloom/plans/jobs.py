@@ -23,9 +23,10 @@ from tickloom.operators import (
 )
 from tickloom.scratch import observed
 from tickloom.schemas import BATCH, FIELDS, QUARANTINE, QUARANTINE_KEY, TIME_KEY, WAREHOUSE
-from tickloom.sinks import append_days, compact_small_files, merge_partitions, replace_day
+from tickloom.sinks import append_days, append_once, compact_small_files, merge_partitions, replace_day
 from tickloom.sinks.merge import CLOCK, MergeReport, Touched, measures, touched
-from tickloom.sources import read_snapshots
+from tickloom.sources import read_snapshots, read_topic_day, refresh_index
+from tickloom.sources.offsets import BLOCK, day_ranges
 
 
 NO_DAY = dt.date(1970, 1, 1)
@@ -150,11 +151,6 @@ def _observed_messages(rows: DataFrame, rejects_dt: Column):
     return observed(rows, "messages", *measures(CLOCK, when=good, prefix="good_"), *bad)
 
 
-def warehouse_rows(messages: DataFrame, zone: str) -> DataFrame:
-    """Topic messages to warehouse rows of every day; `dt` is null without a time."""
-    return normalize_ticks(decode_flat(messages), zone, "warehouse")
-
-
 def daily_load(
     messages: DataFrame,
     out: str,
@@ -164,12 +160,15 @@ def daily_load(
     files: int | None = None,
     quarantine: str | None = None,
     shrink: bool = False,
+    load: str | None = None,
+    note: dict | None = None,
 ) -> None:
     """Loads the messages of one civil day into the warehouse table.
 
     `merge` adds the rows that the day lacks: safe to repeat, and it never removes a row, also when
     the topic has forgotten some. Rows that are equal in every column become one. `append` adds all
-    rows once more on each run. `replace` makes the messages the whole day; it refuses to leave the
+    rows once more on each run, or with the name of a `load` once for each name: the table's ledger keeps
+    the name and the `note`. `replace` makes the messages the whole day; it refuses to leave the
     day with fewer rows than it has unless `shrink` says so.
 
     Messages without a usable time belong to no day. With `quarantine` the run merges them into
@@ -181,7 +180,9 @@ def daily_load(
     landed = F.lit(day)
     with _observed_messages(marked_messages(messages, zone, day), landed) as (rows, found):
         good = rows.where(F.col("reason").isNull()).select(*WAREHOUSE.names)
-        if mode == "append":
+        if mode == "append" and load is not None:
+            append_once(good, out, load, {"day": day.isoformat(), **(note or {})}, files)
+        elif mode == "append":
             append_days(good, out, files)
         elif mode == "merge":
             merge_partitions(good, out, WAREHOUSE, stage=False, rewrite=False, seen=touched(found, "good_"))
@@ -192,6 +193,29 @@ def daily_load(
             _keep_rejects(rejects, quarantine, seen=touched(found, "bad_"))
 
 
+def daily_load_indexed(
+    spark: SparkSession,
+    source: str | dict[str, str],
+    index: str,
+    out: str,
+    day: dt.date | str,
+    zone: str,
+    block: int = BLOCK,
+    **options,
+) -> None:
+    """`daily_load` of a topic through its offset index, which learns first what has come since.
+
+    Reads each message once for the index, over all loads, and the ranges of offsets that hold messages of
+    the day. With a quarantine also those that hold messages without a time. `options` are those of
+    `daily_load`; the ranges go to the ledger of an append with a name.
+    """
+    refresh_index(spark, source, index, zone, block)
+    timeless = options.get("quarantine") is not None
+    messages = read_topic_day(spark, source, index, day, zone, timeless)
+    ranges = [list(r) for r in day_ranges(spark, index, day, zone)]
+    daily_load(messages, out, day, zone, note={"offsets": ranges}, **options)
+
+
 def load_messages(messages: DataFrame, out: str, zone: str, quarantine: str | None = None) -> None:
     """Merges messages of all days into the warehouse table, and those without a time into `quarantine`.
 

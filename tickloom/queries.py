@@ -35,7 +35,7 @@ from tickloom.operators import (
     union_prior,
     with_civil_time,
 )
-from tickloom.plans.jobs import daily_load, hourly_batch, land_hour, warehouse_rows
+from tickloom.plans.jobs import daily_load, daily_load_indexed, hourly_batch, land_hour, warehouse_rows
 from tickloom.scratch import fresh_path
 from tickloom.samples import ZONE
 from tickloom.schemas import BATCH, FIELDS, QUARANTINE, TIME_KEY, WAREHOUSE
@@ -47,6 +47,7 @@ from tickloom.sinks import (
     replace_day,
 )
 from tickloom.sources import (
+    list_documents,
     partition_filter,
     read_days,
     read_documents,
@@ -54,6 +55,8 @@ from tickloom.sources import (
     read_snapshots,
     read_ticks,
     read_topic,
+    read_topic_day,
+    refresh_index,
 )
 from tickloom.streaming import (
     stream_batch_layer,
@@ -275,6 +278,57 @@ def optional_partition_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present.unionByName(read_optional(spark, f"{path}-missing"))
 
 
+@check(
+    "small_file_listing",
+    f"{_FEEDS} select {_day('seen')} as dt, strftime(seen + interval 9 hour, '%H') as hh, "
+    "count(*) as documents from feeds group by 1, 2",
+)
+def small_file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = list_documents(spark, samples.written(spark, sf_dir, "documents"))
+    return listed.where("size > 0").groupBy("dt", "hh").agg(F.count(F.lit(1)).alias("documents"))
+
+
+#: The first hour of DAY comes so many offsets late, and the index has entries of so many.
+_LATE, _BLOCK = 1_000_000, 500
+
+
+def _late_topic(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """The topic in which the first hour of DAY arrives after all the rest, and its index."""
+    path = fresh_path(spark, "late")
+    start = dt.datetime.combine(dt.date.fromisoformat(DAY), dt.time(), ZoneInfo(ZONE))
+    late = (F.col("timestamp") >= F.lit(start)) & (F.col("timestamp") < F.lit(start + dt.timedelta(hours=1)))
+    messages = read_topic(spark, samples.written(spark, sf_dir, "topic"))
+    messages = messages.withColumn("_late", late)
+    in_time = messages.where(~F.col("_late")).drop("_late")
+    in_time.write.parquet(path)
+    refresh_index(spark, path, f"{path}-index", ZONE, _BLOCK)
+    afterwards = messages.where("_late").withColumn("offset", F.col("offset") + _LATE).drop("_late")
+    afterwards.write.mode("append").parquet(path)
+    return path, f"{path}-index"
+
+
+@check(
+    "topic_scan_indexed",
+    f"""with placed as (
+      select event_id, {_day("ts")} as dt,
+        event_id + case when {_day("ts")} = date '{DAY}' and hour(ts + interval 9 hour) = 0
+          then {_LATE} else 0 end as "offset" from events
+    ), blocks as (
+      select "offset" // {_BLOCK} as block, min("offset") as first, max("offset") as last from placed
+      where dt = date '{DAY}' group by 1
+    ), runs as (
+      select min(first) as first, max(last) as last
+      from (select *, block - row_number() over (order by block) as run from blocks) group by run
+    )
+    select "offset" from placed join runs on "offset" between first and last""",
+)
+def topic_scan_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only the ranges in which the index has seen the day."""
+    topic, index = _late_topic(spark, sf_dir)
+    refresh_index(spark, topic, index, ZONE, _BLOCK)
+    return read_topic_day(spark, topic, index, DAY, ZONE).select("offset")
+
+
 # --- decoding ----------------------------------------------------------------
 
 
@@ -460,6 +514,34 @@ def merged_by_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_ticks(spark, path)
 
 
+_KEY = ("coin", "timestamp", "dt")
+_KEY_SQL = ", ".join(f'"{name}"' for name in _KEY)
+_REST_SQL = ", ".join(f'"{name}" nulls first' for name in BATCH.names if name not in _KEY)
+
+
+@check(
+    "merge_partitions_keyed",
+    f"""{_TICKS}, new as (
+      select * replace (closing_price + 1 as closing_price) from ticks where hh >= '08'
+    ), least as (
+      select *, row_number() over (partition by {_KEY_SQL} order by {_REST_SQL}) as place from new
+    )
+    select {_BATCH} from ticks where hh < '16'
+    union all select {_BATCH} from least l
+      where place = 1 and not exists (from ticks t where t.hh < '16' and t.coin = l.coin
+        and t."timestamp" = l."timestamp" and t.dt = l.dt)""",
+)
+def merged_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Later prices of known ticks change nothing; of new ones with one key the least row stays, whole."""
+    prior, new = _halves(spark, sf_dir)
+    path = fresh_path(spark, "table")
+    append_days(prior, path)
+    raised = new.withColumn("closing_price", F.col("closing_price") + 1)
+    for _ in range(2):
+        merge_partitions(raised, path, rewrite=False, key=_KEY)
+    return read_ticks(spark, path)
+
+
 # --- jobs --------------------------------------------------------------------
 
 
@@ -518,6 +600,30 @@ def warehouse_replace_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_ticks(spark, path, WAREHOUSE)
 
 
+@check("daily_load_indexed", f"select * from ({_WAREHOUSE}) where dt = date '{DAY}'")
+def warehouse_indexed_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day of which an hour came after all the rest, through the index."""
+    topic, index = _late_topic(spark, sf_dir)
+    path = fresh_path(spark, "warehouse")
+    for _ in range(2):
+        daily_load_indexed(spark, topic, index, path, DAY, ZONE, _BLOCK)
+    return read_ticks(spark, path, WAREHOUSE)
+
+
+@check(
+    "daily_load_append_once",
+    f"select * from ({_WAREHOUSE}) where dt = date '{DAY}' "
+    f"union all select * from ({_WAREHOUSE}) where dt = date '{DAY}'",
+)
+def warehouse_append_once_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message is in the topic twice, and both stay; the load comes three times, and counts once."""
+    path = fresh_path(spark, "warehouse")
+    topic = read_topic(spark, samples.written(spark, sf_dir, "topic"))
+    for _ in range(3):
+        daily_load(topic.unionAll(topic), path, DAY, ZONE, mode="append", load=f"load-{DAY}")
+    return read_ticks(spark, path, WAREHOUSE)
+
+
 def _landed(spark: SparkSession, sf_dir: str, path: str) -> list[tuple[dt.date, int]]:
     """The small files of DAY, landed hour by hour."""
     source = samples.written(spark, sf_dir, "documents")

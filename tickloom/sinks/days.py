@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from tickloom.days import as_date
 from tickloom.operators.ticks import day_slice
 from tickloom.scratch import staged
+from tickloom.sinks.changes import change_days, finish
 from tickloom.sinks.layout import packed, spread
-from tickloom.sources.paths import no_rows
 from tickloom.sources.tables import read_days
 
 
@@ -45,6 +45,16 @@ def append_days(df: DataFrame, path: str, files: int | None = None) -> None:
     rows.write.mode("append").partitionBy("dt").parquet(path)
 
 
+def append_once(df: DataFrame, path: str, load: str, note: dict | None = None, files: int | None = None) -> bool:
+    """Appends `df` as the load of that name; false, and nothing added, if the table has had it.
+
+    The ledger of the table decides, not the rows: copies within a load, or of two loads, all stay. `note`
+    is kept there.
+    """
+    rows = spread(df, "dt") if files is None else df.repartition(files)
+    return change_days(rows, path, change=load, note=note)
+
+
 def replace_day(
     df: DataFrame,
     path: str,
@@ -70,15 +80,11 @@ def replace_day(
 
 def _replace(rows: DataFrame, path: str, day: dt.date, files: int | None, shrink: bool) -> int:
     count = rows.count()
+    finish(rows.sparkSession, path)
     if not shrink:
         stored = read_days(rows.sparkSession, path, [day], rows.schema).count()
         if count < stored:
             raise ValueError(f"{day} holds {stored} rows and would keep {count}; see shrink")
-    if count:
-        tasks = packed(rows, count) if files is None else rows.repartition(files)
-        write_dynamic(tasks, path, "dt")
-    else:
-        # A dynamic overwrite leaves a day alone when it gets no rows for it.
-        empty = no_rows(rows.sparkSession, rows.drop("dt").schema)
-        empty.write.mode("overwrite").parquet(f"{path.rstrip('/')}/dt={day}")
+    tasks = packed(rows, count) if files is None else rows.repartition(files)
+    change_days(tasks, path, [f"dt={day}"])
     return count

@@ -14,8 +14,9 @@ from tickloom.operators.membership import may_be_in
 from tickloom.operators.sets import dedupe_exact, union_prior
 from tickloom.scratch import observed
 from tickloom.schemas import BATCH
-from tickloom.sinks.days import append_days, overwrite_days, write_dynamic
-from tickloom.sinks.layout import TASK_ROWS, packed, widened
+from tickloom.sinks.changes import change_days, finish
+from tickloom.sinks.days import append_days
+from tickloom.sinks.layout import TASK_ROWS, packed, spread, widened
 from tickloom.sources.paths import MAX_LISTED_DAYS
 from tickloom.sources.tables import read_days, read_optional, scan_bytes
 
@@ -99,6 +100,7 @@ def merge_partitions(
     copies they already held. Without it only the rows they lack are appended:
     the cost then follows the new rows, not the day, and no stored file is ever
     removed. Both give the same rows for a table that only this function writes.
+    A driver lost at any point loses no row; the next merge finishes what it left.
 
     `key` names columns that tell rows apart, for tables with long texts: only
     these are compared, and an appending merge reads no others of the stored
@@ -135,6 +137,7 @@ def _merge(
         raise ValueError("rows without dt; keep them apart before the merge")
     if not seen.days:
         return MergeReport(())
+    finish(spark, path)
     days, few = list(seen.days), len(seen.days) <= FEW_DAYS
 
     def stored(session: SparkSession) -> DataFrame:
@@ -145,13 +148,14 @@ def _merge(
         rows = stored(spark).count() + seen.rows
         both = stored(widened(spark, rows, task_rows))
         merged = dedupe_exact(union_prior(both, new)) if key is None else _first_by_key(both, new, key)
-        if few:
-            write_dynamic(packed(merged, rows, task_rows), path, "dt")
-        else:
-            overwrite_days(merged, path)
+        tasks = packed(merged, rows, task_rows) if few else spread(merged, "dt")
+        change_days(tasks, path, [f"dt={day}" for day in days])
         return MergeReport(tuple(days))
-    size = scan_bytes(stored(spark))
-    prior = stored(widened(spark, max(size // STORED_ROW_BYTES, seen.rows * TASK_ROWS // task_rows)))
+    prior = stored(spark)
+    size = scan_bytes(prior)
+    wide = widened(spark, max(size // STORED_ROW_BYTES, seen.rows * TASK_ROWS // task_rows))
+    if wide is not spark:
+        prior = stored(wide)
     if timed:
         prior = _near(prior, timed, [{"first": seen.first, "last": seen.last}])
     if size >= FILTER_BYTES:

@@ -59,7 +59,7 @@ def scan(
     fmt: str,
     schema: StructType | str,
     root: str,
-    path: str | None = None,
+    path: str | list[str] | None = None,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
     reader = spark.read.format(fmt).schema(schema).option("basePath", root)
