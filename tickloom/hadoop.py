@@ -11,6 +11,12 @@ def _resolve(spark: SparkSession, path: str):
     return target.getFileSystem(conf), target
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme of its file system."""
+    system, target = _resolve(spark, path)
+    return system.makeQualified(target).toString()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     system, target = _resolve(spark, path)
     return system.exists(target)
