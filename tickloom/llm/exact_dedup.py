@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import SPACE, free_names, text_or_empty, written
+from tickloom.operators.membership import may_be_in
 
 
 def _bare(text: str) -> Column:
@@ -80,8 +81,9 @@ def exact_groups(
 def drop_copies(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of `docs` that stay, with all their columns.
 
-    Only the keys of dropped rows meet the texts; Spark sends them to every task if they are few,
-    by their written size, and shuffles otherwise.
+    Only the keys of groups with dropped rows meet the texts. A Bloom filter of them, as long as they are
+    few enough for one, lets all other rows pass where they are read, so that texts are shuffled in
+    proportion to the copies; beyond that all rows meet the keys.
     """
     sha, n_chars, row_id = names = free_names(docs, "text_sha256", "n_code_points", "row_id")
     keyed = docs.select(
@@ -96,14 +98,24 @@ def drop_copies(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     gone = written(gone.where(~F.col("all")), "copies")
     one_each = gone.where("kept")  # rows that go are tied with the one that stays
 
+    likely = may_be_in(
+        gone.select(F.col("text_sha256").alias(sha), F.col("n_chars").alias(n_chars), F.col("doc_id").alias(row_id)),
+        names,
+        gone.count(),
+    )
+    # A row that is not in the filter has no copy that stays in its place.
+    asked = keyed if likely is None else keyed.where(likely)
+
     def match(some: DataFrame) -> Column:
         return (
-            (keyed[sha] == some["text_sha256"])
-            & (keyed[n_chars] == some["n_chars"])
-            & keyed[row_id].eqNullSafe(some["doc_id"])
+            (asked[sha] == some["text_sha256"])
+            & (asked[n_chars] == some["n_chars"])
+            & asked[row_id].eqNullSafe(some["doc_id"])
         )
 
-    kept = keyed.join(gone, match(gone), "left_anti")
+    kept = asked.join(gone, match(gone), "left_anti")
+    if likely is not None:
+        kept = kept.unionByName(keyed.where(~likely))
     if not one_each.isEmpty():
-        kept = kept.unionByName(keyed.join(one_each, match(one_each), "left_semi").dropDuplicates(names))
+        kept = kept.unionByName(asked.join(one_each, match(one_each), "left_semi").dropDuplicates(names))
     return kept.drop(*names)
