@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 
@@ -107,3 +108,50 @@ def test_a_marked_part_of_a_line_goes_and_the_line_stays_one():
     assert main_text("<p>A line of text with<span class='ad box'> buy</span> words after it.</p>") == "A line of text with words after it."
     most = "<p>Before <a class=share>nearly all of the characters of this page</a> after.</p>"
     assert main_text(most) == "Before nearly all of the characters of this page after."
+
+
+P = "A plain sentence of the article, long enough to be one of its paragraphs, and then a little longer. " * 3
+
+
+@pytest.mark.parametrize(
+    "page, lines",
+    [
+        (f"<article><div><h1>Title</h1></div><div><p>{P}<p>{P}</div></article>", ["Title", P, P]),
+        (f"<body><h1>Title</h1><div><p>{P}<p>{P}</div></body>", ["Title", P, P]),
+        (
+            f"<article><section><h2>A</h2><p>{P}<p>{P}</section><section><h2>B</h2><p>Short end.</p></section></article>",
+            ["A", P, P, "B", "Short end."],
+        ),
+        (f"<form><article><h1>T</h1><p>{P}<p>{P}</article></form>", ["T", P, P]),
+        (f"<dialog open><div><p>{P}<p>{P}</div></dialog><p>x</p>", [P, P]),
+        (f"<article><p>{P}<p>{P}<div class='reader-comments'><p>I say so.</p></div></article>", [P, P]),
+        (f"<div class='has-comments'><p>{P}<p>{P}</div>", [P, P]),
+        (
+            f"<article><div><p>{P}<p>{P}</div><div><ul><li><a href=1>One more</a><li><a href=2>Two more</a></ul></div></article>",
+            [P, P],
+        ),
+        (f"<div id=logo><h1>Site</h1></div><article><h1>T</h1><div><p>{P}<p>{P}</div></article>", ["T", P, P]),
+        (f"<form><input><button>Send</button></form><div><p>{P}<p>{P}</div>", [P, P]),
+    ],
+)
+def test_the_article_is_kept_whole(page, lines):
+    assert main_text(page) == "\n".join(x.strip() for x in lines)
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<p title='a > b'>x", "x"), ("<p title='a > b>x", "b>x"), ('<p a="\'>y</p>\'">z', "z"), ("x <a y", "x <a y"),
+        ("<p title=\"it's\">x</p>", "x"),
+    ],
+)
+def test_where_tags_end(page, text):
+    assert main_text(page) == text
+
+
+@pytest.mark.parametrize("part", ["<a x", "<p title='", '<p title="', "<p title='>", "<!x", "</a", "<a '\""])
+@pytest.mark.parametrize("last", ["", ">", "'>"])
+def test_unclosed_tags_take_time_in_proportion(part, last):
+    start = time.perf_counter()
+    main_text(part * 100_000 + last)
+    assert time.perf_counter() - start < 5

@@ -9,13 +9,19 @@ decides. The density of a node is its characters per tag, lowered by how much of
 density sum of a node is the sum over its children. The node with the highest sum is the core of
 the page. The lowest density on its path to the body is the threshold: below the body, every node
 that reaches it gives the subtree with the highest sum in it, so an article in several parts is
-kept whole and sparse parts go.
+kept whole and sparse parts go. Where the chosen parts lie in an article or main element, the author has
+said where the article ends: all of it is kept but boxes and lists that are mostly links. Elsewhere the
+last first-level heading before the first part is kept with it.
+
+Forms, dialogs, buttons and objects are treated like elements with such a name, so one round the whole page
+takes nothing away. A name with a word for readers' comments counts whatever its other words are.
 
 Blocks come in page order, one per line: character references decoded, white space inside a block
 turned into one space, trimmed, empty blocks left out, nothing else dropped or cut.
 
-Defined cases: null, empty and tag-free pages are fine (a page without tags is one block); missing
-end tags, unknown tags and stray end tags are taken as browsers do in the plain cases; depth is not
+Defined cases: null, empty and tag-free pages are fine (a page without tags is one block); of equal
+density sums the first in the page wins; a tag ends at the first `>` outside quotes, or inside them if
+there is none for `TAG` characters, and what no `>` follows is text; missing end tags, unknown tags and stray end tags are taken as browsers do in the plain cases; depth is not
 bounded by the interpreter's stack; every row gives one row, repeated or not; other columns of the
 table are not read.
 """
@@ -42,9 +48,11 @@ INLINE = frozenset(
 )
 RAW = frozenset("script style textarea title xmp noembed noframes iframe".split())
 BOILERPLATE = frozenset(
-    "head script style noscript template iframe object embed svg math canvas audio video map nav footer aside "
-    "form button select textarea input menu dialog title".split()
+    "head script style noscript template iframe embed svg math canvas audio video map nav footer aside "
+    "select textarea input menu title".split()
 )
+#: Kinds that go unless the article may be in them.
+DOUBTFUL = frozenset("form button dialog object".split())
 CLOSES_PARAGRAPH = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
@@ -69,14 +77,21 @@ BESIDE = frozenset(
     "area bar block bottom box button buttons form icons item items left link links list main page post posts right "
     "section site slot top unit".split()
 )
+#: Elements that are left out of an article if they are mostly links.
+BOXES = frozenset("div dl fieldset menu ol section table ul".split())
 #: What an article is told by: no name takes it away.
 HOLDS_ARTICLE = frozenset(("article", "main", "h1"))
 
+#: Words for readers' comments, and words that say that there are none or some elsewhere.
+COMMENTS = frozenset("comment comments commentlist disqus replies respond".split())
+NOT_COMMENTS = frozenset("no has with without".split())
+
 _TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"""
-    r"""|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>"']|"[^"]*"|'[^']*')*)>""",
-    re.S,
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)", re.S
 )
+_STOP = re.compile("[>\"']")
+#: Characters of a tag in which quotes count.
+TAG = 1 << 16
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -110,6 +125,8 @@ def _attributes(raw: str) -> dict[str, str]:
 @lru_cache(1 << 16)
 def _marks(token: str) -> bool:
     parts = [x.lower() for x in _PARTS.findall(token)]
+    if not COMMENTS.isdisjoint(parts):
+        return NOT_COMMENTS.isdisjoint(parts)
     return any(x in MARKS for x in parts) and all(x in MARKS or x in BESIDE for x in parts)
 
 
@@ -132,7 +149,9 @@ def _unwanted(name: str, attributes: dict[str, str], inside: Node) -> bool:
 
 
 def _marked(name: str, attributes: dict[str, str]) -> bool:
-    """Whether an element's names say that it is no article."""
+    """Whether an element's kind or names say that it may be no article."""
+    if name in DOUBTFUL:
+        return True
     if not attributes or name in ("html", "body", "article", "main"):
         return False
     return any(_marks(x) for key in ("class", "id", "role") for x in attributes.get(key, "").split())
@@ -176,8 +195,22 @@ def _prune(root: Node) -> None:
         node.parts, node.children = parts, children
 
 
+def _tag_end(page: str, at: int, last: dict[str, int]) -> int:
+    """The place of the `>` that ends a tag, given the last place of each sign; the page has one from `at` on."""
+    place = at
+    while (stop := _STOP.search(page, place, at + TAG)) is not None:
+        sign, place = stop[0], stop.end()
+        if sign == ">":
+            return place - 1
+        if last[sign] < place:
+            break
+        place = page.index(sign, place) + 1
+    return page.index(">", at)
+
+
 def parse(page: str) -> Node:
     """The tree of what may hold the article."""
+    last = {sign: page.rfind(sign) for sign in ">\"'"}
     root = Node("", None)
     node = root
     # Open elements: name, the node to go back to, whether it is dropped.
@@ -211,13 +244,17 @@ def parse(page: str) -> Node:
         close(found)
 
     while match := _TOKEN.search(page, at):
+        name = match["name"]
+        if name and match.end() > last[">"]:
+            break
         text(page[at : match.start()])
         at = match.end()
-        name = match["name"]
         if not name:
             if match[0].startswith("<![CDATA["):
                 text(entities.escape(match[0][9:-3]))
             continue
+        end = _tag_end(page, at, last)
+        attributes, at = page[at:end], end + 1
         name = name.lower()
         if match["end"]:
             if not open_names[name]:
@@ -236,7 +273,6 @@ def parse(page: str) -> Node:
             close_open({"p"}, {"table", "td", "th", "button", "object"})
         if name in ENDS:
             close_open(*ENDS[name])
-        attributes = match["attributes"]
         named = _attributes(attributes) if attributes else {}
         gone, marked = _unwanted(name, named, node), _marked(name, named)
         if name in VOID or attributes.endswith("/") and name not in RAW and name not in INLINE | CLOSES_PARAGRAPH:
@@ -334,13 +370,53 @@ def main_nodes(root: Node) -> list[Node]:
     return chosen
 
 
+def _outer(node: Node) -> Node | None:
+    """The outermost article element round a node, or else the outermost main element."""
+    found = {}
+    while node is not None:
+        if node.name in ("article", "main"):
+            found[node.name] = node
+        node = node.parent
+    return found.get("article") or found.get("main")
+
+
+def _is_links(node: Node) -> bool:
+    """Whether a box or list is mostly links."""
+    return node.name in BOXES and node.links > 1 and 2 * node.link_chars > node.chars
+
+
+def _title(root: Node, chosen: list[Node]) -> Node | None:
+    """The last first-level heading before the first chosen node, if none is in them."""
+    first, title = {id(x) for x in chosen}, None
+    for node in _nodes(root):
+        if id(node) in first:
+            break
+        if node.name == "h1" and node.chars:
+            title = node
+    inside = any(x.name == "h1" for node in chosen for x in _nodes(node))
+    return None if inside else title
+
+
 def main_text(page: str) -> str:
     """The main text of one page."""
     root = parse(page)
-    taken = {id(x) for x in main_nodes(root)}
+    chosen = main_nodes(root)
+    taken = {id(x) for x in chosen}
+    outer = {id(x): x for x in map(_outer, chosen) if x is not None}
+    if not outer and chosen and (title := _title(root, chosen)) is not None:
+        taken.add(id(title))
     lines, line = [], []
-    # Depth first with a stack of its own: (node, next part, whether it is taken).
-    stack = [(root, iter(root.parts), id(root) in taken)]
+
+    def state(node: Node, around: int) -> int:
+        """2: taken whole; 1: part of the article, unless it is mostly links; 0: not taken."""
+        if around == 2 or id(node) in taken:
+            return 2
+        if around == 1:
+            return 0 if _is_links(node) else 1
+        return int(id(node) in outer)
+
+    # Depth first with a stack of its own: (node, next part, its state).
+    stack = [(root, iter(root.parts), state(root, 0))]
 
     def end() -> None:
         if block := _squeezed("".join(line)):
@@ -357,7 +433,7 @@ def main_text(page: str) -> str:
             end()
         elif isinstance(part, Node):
             end()
-            stack.append((part, iter(part.parts), inside or id(part) in taken))
+            stack.append((part, iter(part.parts), state(part, inside)))
         elif inside:
             line.append(part[0])
     return "\n".join(lines)
