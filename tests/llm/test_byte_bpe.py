@@ -62,3 +62,11 @@ def test_awkward_rows(spark, reference):
         want.append((id_, len(ids) // 4, *digest))
     assert sorted((tuple(r) for r in rows), key=str) == sorted(want, key=str)
     assert encode_decode(empty(spark), PATH, PATTERN).count() == 0
+
+
+def test_all_documents_of_the_table(spark, reference):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256) for r in digests(encode_decode(docs, PATH, PATTERN)).collect()}
+    for row in docs.select("doc_id", "text").collect():
+        ids = np.array(reference.encode_ordinary(row.text or ""), "<u4").tobytes()
+        assert got[row.doc_id] == (len(ids) // 4, hashlib.sha256(ids).hexdigest())

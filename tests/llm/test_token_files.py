@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tests.llm.helpers import AWKWARD, awkward, empty
+from tests.llm.helpers import AWKWARD, SF_DIR, awkward, empty
 from tickloom.llm import token_files
 from tickloom.llm.token_files import (
     WordEncoder,
@@ -26,9 +26,7 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    out = Tokenizer.from_file(PATH)
-    out.encode_special_tokens = True
-    return out
+    return Tokenizer.from_file(PATH)
 
 
 @pytest.fixture(scope="module")
@@ -78,7 +76,9 @@ def test_file_round_trip():
 
 
 parts = [*"ab.,;#'!=<1 ", "\u00e9", "\u0338", "\u0301", "\u03a3", "\u0130", "\ufb01", "\u6f22", "\t", "\n", "\x85", "\xa0", "\x1c", "\u3000"]
-parts += ["the", "'re", "<|endoftext|>"]
+# Capitals without a composed form, whose small letters have one, and one the other way round.
+parts += ["J\u030c", "T\u0308", "H\u0331", "W\u030a", "Y\u030a", "I\u0307", "E\u0301", "JAB", "Gr\u00d6\u00dfe"]
+parts += ["the", "'re", "<|endoftext|>", "<|EndOfText|>", "<|startoftext|>", "<|"]
 texts = st.lists(st.sampled_from(parts), max_size=30).map("".join) | st.text(max_size=30)
 
 
@@ -90,6 +90,35 @@ def test_words_give_the_ids_of_the_text(tokenizer, encoder, text):
     assert np.frombuffer(encoder.ids([text])[0], "<u4").tolist() == want
 
 
+def test_words_that_were_given_away(tokenizer, encoder):
+    for text in ("J\u030cab", "T\u0308x", "H\u0331", "W\u030a", "Y\u030a", "<|endoftext|> a", "x<|endoftext|>Y"):
+        want = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.ids([text, "other"])[0], "<u4").tolist() == want
+
+
+def test_all_documents_of_the_table(spark, tokenizer):
+    rows = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    got = sorted(tuple(r) for r in token_file_round_trip(docs, PATH).collect())
+    assert got == plain(tokenizer, [tuple(r) for r in rows])
+
+
+def test_rows_without_id_are_read_by_several_tasks(spark):
+    docs = spark.range(4000).selectExpr("cast(null as long) doc_id", "if(id % 3 = 0, 'same', concat('t ', id)) text")
+    folder = fresh_path(spark, "tokens")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small tasks are joined otherwise
+    try:
+        files = write_token_files(docs, folder, PATH)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert files.select("part").distinct().count() > 4 and files.agg({"docs": "sum"}).first()[0] == 4000
+    rows = read_token_files(spark, folder, files).orderBy("start").collect()
+    at = 0
+    for r in rows:
+        assert r.start == at and r.doc_id is None
+        at += r.n_tokens
+
+
 def test_a_full_memory_of_words_changes_nothing(tokenizer, monkeypatch):
     monkeypatch.setattr(token_files, "WORDS_KEPT", 3)
     small = WordEncoder(PATH)

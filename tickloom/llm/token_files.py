@@ -17,8 +17,9 @@ Documents are encoded by a tokenizer of the tokenizers library, the end id is ap
 range of ids becomes files in ascending order of id. A task renames a file when it is complete and
 always gives it the same name and content, so a task that runs twice, or is lost, does no harm.
 
-Defined cases: a null or empty text is the end id alone; a null id comes first; rows that share an
-id follow each other by text; no documents give no files and an empty result. Other columns are
+Defined cases: a null or empty text is the end id alone; the string of a special token in a text is that
+token's id, as the library gives it; a null id comes first; rows that share an id, or have none, follow each
+other by the first `START` characters of their text, equal ones as they are read; no documents give no files and an empty result. Other columns are
 not read. A task holds one file's ids, `FILE_VALUES` and one document at most.
 """
 
@@ -38,6 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tickloom.hadoop import qualified
 from tickloom.llm.common import text_or_empty, written
 from tickloom.scratch import fresh_path
 
@@ -55,6 +57,8 @@ WORDS_KEPT = 1_000_000
 #: Plain letters lie before this sign: Latin, Greek and Cyrillic.
 LAST_PLAIN = "\u0530"
 TEXTS_AT_ONCE = 500
+#: Characters by which rows of one id are put in order.
+START = 64
 
 _BITS = np.array([int(x).bit_length() for x in range(256)], dtype=np.uint8)
 
@@ -216,6 +220,12 @@ class WordEncoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        #: As the library encodes a whole text: a special token's own string is its id.
+        self.whole = Tokenizer.from_file(path)
+        added = self.whole.get_added_tokens_decoder().values()
+        self.special = [t.content for t in added]
+        self.special_lower = [t.content.lower() for t in added if t.normalized]
+        #: For words of texts without such strings, which a word may spell once its capitals are small.
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.merges = Tokenizer(self.tokenizer.model)
@@ -234,7 +244,7 @@ class WordEncoder:
     def _plain(self, part: bytes) -> str | None:
         """A part by its bytes' signs, if it is plain."""
         if part.isalpha():
-            return part.decode("ascii")
+            return part.lower().decode("ascii")
         word = part.decode("utf-8")
         if word.isalpha() and max(word) < LAST_PLAIN and word.lower() == word and is_normalized("NFC", word):
             return part.decode("latin-1").translate(self.signs)
@@ -290,11 +300,36 @@ class WordEncoder:
             found[word] = (known[stem] if first is None else first) + (known[signs] if last is None else last)
         return found
 
+    def _is_special(self, text: str) -> bool:
+        return any(x in text for x in self.special) or any(x in text.lower() for x in self.special_lower)
+
+    @staticmethod
+    def _words(text: str) -> list[bytes]:
+        """The words, A-Z in lower case where that changes nothing.
+
+        The tokenizer composes characters before it makes them small. Some capitals have no composed form
+        where their small letters have one, so they stay capitals unless the text is composed either way.
+        """
+        # bytes.lower() and bytes.split() know ASCII letters and white space only.
+        raw = text.encode("utf-8")
+        low = raw.lower()
+        if text.isascii() or is_normalized("NFC", text) and is_normalized("NFC", low.decode("utf-8")):
+            return low.split()
+        return raw.split()
+
     def ids(self, texts: list[str]) -> list[bytes]:
+        special = [i for i, text in enumerate(texts) if self._is_special(text)]
+        if not special:
+            return self._ids_of_words(texts)
+        out = self._ids_of_words(["" if i in special else text for i, text in enumerate(texts)])
+        for i in special:
+            out[i] = np.array(self.whole.encode(texts[i], add_special_tokens=False).ids, "<u4").tobytes()
+        return out
+
+    def _ids_of_words(self, texts: list[str]) -> list[bytes]:
         rows, new, count = [], set(), 0
         for text in texts:
-            # bytes.lower() and bytes.split() know ASCII letters and white space only.
-            words = text.encode("utf-8").lower().split()
+            words = self._words(text)
             parts, gaps, at = list(map(self.known.get, words)), [], -1
             for _ in range(parts.count(None)):
                 at = parts.index(None, at + 1)
@@ -325,8 +360,8 @@ def _store(folder: str, name: str, data: bytes) -> None:
     """Writes a file under a hidden name, which Spark's readers pass over, and renames it."""
     from pyarrow import fs
 
-    if folder.startswith("/"):
-        system, root = fs.LocalFileSystem(), folder
+    if folder.startswith("file:"):
+        system, root = fs.LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")
     else:
         system, root = fs.FileSystem.from_uri(folder.replace("s3a://", "s3://", 1))
     system.create_dir(root)
@@ -379,13 +414,17 @@ def write_token_files(
     file_values: int = FILE_VALUES,
 ) -> DataFrame:
     """Writes the files below `folder`; gives part, number, docs, tokens of each."""
+    # Tasks write where Spark will read: a path without a scheme means the default file system.
+    folder = qualified(docs.sparkSession, folder)
     rows = docs.select(
         F.coalesce(F.col(id).cast("long"), F.lit(0)).alias("doc_id"),
         F.col(id).isNull().alias("no_id"),
         text_or_empty(text).alias("content"),
     )
-    in_order = [F.col("no_id").desc(), F.col("doc_id"), F.col("content")]
-    spread = rows.repartitionByRange(*in_order[:2]).sortWithinPartitions(*in_order)
+    # Rows of one id, or of none, stand by their text, and equal ones by where they come from, so that they part.
+    rows = rows.select("*", F.substring("content", 1, START).alias("start"), F.monotonically_increasing_id().alias("from"))
+    in_order = [F.col("no_id").desc(), F.col("doc_id"), F.col("start"), F.col("from")]
+    spread = rows.repartitionByRange(*in_order).sortWithinPartitions(*in_order).drop("start", "from")
     write = _writer(folder, tokenizer, end_id, block, file_values)
     return written(spread.mapInPandas(write, "part int, number int, docs long, tokens long"), "token-files")
 
