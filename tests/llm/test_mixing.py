@@ -2,6 +2,7 @@ import hashlib
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import AWKWARD, SF_DIR, awkward, empty, words
 from tickloom.llm.mixing import mix, source_targets, with_copies
@@ -51,7 +52,8 @@ def plain(rows):
     for id_, text, _, source in rows:
         n = len(words(text))
         rate = target[source] / sizes[source] if sizes[source] else 0.0
-        key = f"mix-1:{'' if id_ is None else id_}".encode()
+        digest = hashlib.md5((text or "").encode()).hexdigest()
+        key = f"mix-1:{'' if id_ is None else id_}:{digest}".encode()
         coin = int(hashlib.md5(key).hexdigest()[:13], 16) / 16**13
         out.append((id_, n, int(rate) + (coin < rate - int(rate))))
     return sorted(out, key=str)
@@ -86,6 +88,23 @@ def test_sources_come_near_their_targets(spark):
     assert abs(sum(r["sum(taken)"] for r in rows) - total) < 0.02 * total
 
 
+@pytest.mark.parametrize("id_", ["cast(null as long)", "7L"])
+def test_sources_come_near_their_targets_without_ids(spark, id_):
+    docs = spark.read.parquet(f"{SF_DIR.replace('0.001', '0.01')}/documents.parquet").selectExpr(f"{id_} as doc_id", "text", "source")
+    counted, _ = with_copies(docs)
+    part = "(target / source_size - floor(target / source_size))"
+    # Rows of one text share a coin.
+    groups = counted.groupBy("source", "text").agg(
+        F.sum("size").alias("size"), F.max("copies").alias("copies"), F.max("target").alias("target"),
+        F.max("source_size").alias("source_size"),
+    )
+    rows = groups.selectExpr(
+        "source", "size * copies as taken", "target", f"size * size * {part} * (1 - {part}) as variance"
+    ).groupBy("source").agg({"taken": "sum", "target": "max", "variance": "sum"}).collect()
+    for r in rows:
+        assert abs(r["sum(taken)"] - r["max(target)"]) <= 4 * r["sum(variance)"] ** 0.5 + 1
+
+
 def test_nothing_to_mix(spark):
     assert mix(empty(spark)).count() == 0
     silent = spark.createDataFrame([(1, "", "a"), (2, None, None)], "doc_id long, text string, source string")

@@ -3,11 +3,12 @@
 The size of a document is its number of words. Sources stand in order of code point, null last,
 and weigh 1, 2, 3, 1, 2, 3, … A source's target is its share of all words, by weight, but at most
 `MOST` times its own size; what is over is shared again by weight among the others until none is
-above. A document is emitted floor(rate) times, and once more if the hash of its id and the seed
-falls below the rate's fraction: reruns agree, and each source's words come near its target.
+above. A document is emitted floor(rate) times, and once more if the hash of the seed, its id and its
+text falls below the rate's fraction: reruns agree, and each source's words come near its target, also
+where rows share an id or have none.
 
 Defined cases: a null text has no words; a null source is a source of its own; a source without
-words has rate 0, so its documents are not emitted; rows that repeat an id share one coin; no
+words has rate 0, so its documents are not emitted; rows equal in id and text share one coin; no
 documents, or no words at all, give no copies. Other columns are kept as they are.
 
 One row per source is all that meets in one task. It is written, so Spark knows its size: it sends
@@ -82,9 +83,8 @@ def with_copies(
     )
     sized = docs.select("*", word_count(text).alias(size))
     rate = F.when(F.col(source_size) > 0, F.col(target) / F.col(source_size)).otherwise(F.lit(0.0))
-    digits = F.substring(
-        F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(id).cast("string"), F.lit("")))), 1, _DIGITS
-    )
+    drawn_by = F.concat_ws(":", F.lit(seed), F.coalesce(F.col(id).cast("string"), F.lit("")), F.md5(text_or_empty(text)))
+    digits = F.substring(F.md5(drawn_by), 1, _DIGITS)
     coin = F.conv(digits, 16, 10).cast("double") / F.lit(_RANGE)
     emitted = (F.floor(rate) + F.when(coin < rate - F.floor(rate), 1).otherwise(0)).cast("int")
     mixed = sized.join(rates, sized[source].eqNullSafe(rates[key])).drop(key)

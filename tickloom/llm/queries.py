@@ -109,7 +109,8 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     r"""
     with sized as (
         select doc_id, source,
-            cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size
+            cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size,
+            md5(coalesce(text, '')) as digest
         from documents
     ), totals as (
         select source, cast(sum(size) as bigint) as source_size from sized group by source
@@ -132,7 +133,7 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     ), rated as (
         select s.doc_id, s.size, t.source_size, t.target,
             case when t.source_size > 0 then t.target / t.source_size else 0 end as rate,
-            cast(('0x' || substr(md5('mix-1:' || coalesce(cast(s.doc_id as varchar), '')), 1, 13)) as bigint)
+            cast(('0x' || substr(md5('mix-1:' || coalesce(cast(s.doc_id as varchar), '') || ':' || s.digest), 1, 13)) as bigint)
                 / 4503599627370496.0 as coin
         from sized s join targets t on s.source is not distinct from t.source
     )
