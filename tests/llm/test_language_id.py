@@ -58,6 +58,28 @@ def test_held_out_documents_are_told_apart(spark):
     assert all(0 <= r[score] <= 1 for r in rows)
 
 
+@pytest.mark.parametrize("id_", ["cast(null as long)", "1L"])
+def test_every_language_is_learned_without_ids(spark, id_):
+    docs = spark.read.parquet(f"{SF_DIR.replace('0.001', '0.01')}/documents.parquet").selectExpr(
+        f"{id_} as doc_id", "text", "lang"
+    )
+    # A third of all rows are copies of one text in a language of its own.
+    copies = spark.range(500).selectExpr(f"{id_} as doc_id", "'always the same few words' as text", "'zz' as lang")
+    sample = language_id.sample_windows(docs.unionByName(copies), "doc_id", "text", "lang")
+    found = sample.groupby("lang").size()
+    assert set(found.index) == {r.lang for r in docs.select("lang").distinct().collect() if r.lang} | {"zz"}
+    assert found["zz"] == language_id.WINDOWS_PER_TEXT
+    assert found.max() < 1.5 * language_id.PER_LANGUAGE * language_id.WINDOWS_PER_TEXT
+
+
+def test_texts_are_grouped_by_number_and_bytes(monkeypatch):
+    monkeypatch.setattr(language_id, "TEXTS_AT_ONCE", 3)
+    monkeypatch.setattr(language_id, "BYTES_AT_ONCE", 10)
+    texts = [b"", b"a", b"b", b"c" * 30, b"d" * 6, b"e" * 6, b"f"]
+    groups = list(language_id._together(iter(texts)))
+    assert groups == [[b"", b"a", b"b"], [b"c" * 30], [b"d" * 6, b"e" * 6], [b"f"]]
+
+
 def test_labels_of_held_out_documents_do_not_matter(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     other = docs.withColumn("held", language_id.held_out()).selectExpr(

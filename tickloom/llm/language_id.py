@@ -5,13 +5,14 @@ forwards and one backwards; at every position both states give a probability per
 document's probabilities are the means over all its positions. Every byte of every text is read.
 
 The network is trained in numpy by backpropagation through time, on the driver, from a bounded
-sample: about `PER_LANGUAGE` documents of each language, drawn by a hash of the id, and
+sample: about `PER_LANGUAGE` documents of each language, drawn by a hash of id and text, and
 `WINDOWS_PER_TEXT` windows at hashed places of each of them. Nothing else of the corpus is kept.
 
 Defined cases: a text that is null or has no letter is `und` with score 0, and so is every text if
 no labelled row can be learned from; rows without a language or text are not learned from; a
-single learned language is given to all texts with letters; repeated rows are learned from as
-often as they occur; an empty table gives an empty result; other columns are kept.
+single learned language is given to all texts with letters; rows equal in id and text are learned from
+once; of equally likely languages the first by name is given; an empty table gives an empty result; other
+columns are kept.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ LETTER = r"\p{L}"
 WINDOW, UNITS = 64, 8
 #: The bound of the training sample.
 PER_LANGUAGE, WINDOWS_PER_TEXT = 400, 6
+#: Texts, and bytes of them, that are put through the network together; one text is never divided.
+TEXTS_AT_ONCE, BYTES_AT_ONCE = 500, 1 << 23
 STEPS, BATCH, RATE = 240, 256, 0.03
 #: Windows that run through the network at a time.
 AT_ONCE = 4096
@@ -187,16 +190,19 @@ def sample_windows(docs: DataFrame, id: str, text: str, lang: str) -> pd.DataFra
     labelled = docs.where(~held_out(id) & F.col(lang).isNotNull() & F.col(text).rlike(LETTER)).select(
         F.col(lang).alias("lang"), F.col(id).cast("string").alias("id"), F.col(text).alias("content")
     )
-    sizes = written(labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
-    coin = F.pmod(F.xxhash64("id", F.lit("language-sample")), F.lit(1 << 40)) / float(1 << 40)
-    drawn = labelled.join(sizes, "lang").where(coin < F.lit(float(PER_LANGUAGE)) / F.col("n"))
+    labelled = labelled.withColumn("key", F.xxhash64("id", "content", F.lit("language-sample")))
+    # Different documents, within a fiftieth: copies of one text must not stand for a language.
+    sizes = written(labelled.groupBy("lang").agg(F.approx_count_distinct("key", 0.02).alias("n")), "languages")
+    coin = F.pmod("key", F.lit(1 << 40)) / float(1 << 40)
+    drawn = labelled.join(sizes, "lang").where(coin < F.lit(1.1 * PER_LANGUAGE) / F.col("n"))
+    drawn = drawn.dropDuplicates(["lang", "key"])
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for language, key, content in zip(batch["lang"], batch["id"], batch["content"]):
+            for language, key, content in zip(batch["lang"], batch["key"].tolist(), batch["content"]):
                 data = content.encode("utf-8")
-                random = np.random.default_rng(list((key or "").encode("utf-8")) + [len(data)])
+                random = np.random.default_rng([key & 0xFFFFFFFF, key >> 32 & 0xFFFFFFFF])
                 for at in random.integers(0, max(1, len(data) - WINDOW + 1), WINDOWS_PER_TEXT):
                     rows.append((language, data[at : at + WINDOW].ljust(WINDOW, bytes([_PAD]))))
             yield pd.DataFrame(rows, columns=["lang", "window"])
@@ -216,6 +222,18 @@ def fit(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "la
     return train(windows, wanted, languages)
 
 
+def _together(texts: Iterator[bytes]) -> Iterator[list[bytes]]:
+    group, held = [], 0
+    for text in texts:
+        group.append(text)
+        held += len(text)
+        if len(group) == TEXTS_AT_ONCE or held >= BYTES_AT_ONCE:
+            yield group
+            group, held = [], 0
+    if group:
+        yield group
+
+
 def identify(docs: DataFrame, net: Network | None, text: str = "text") -> tuple[DataFrame, str, str]:
     """`docs` with a predicted language and its score, and the names of these columns."""
     lang_pred, score, guess = free_names(docs, "lang_pred", "score", "language_guess")
@@ -226,8 +244,8 @@ def identify(docs: DataFrame, net: Network | None, text: str = "text") -> tuple[
     def guessed(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for some in texts:
             best, scores = [], []
-            for at in range(0, len(some), 500):
-                part = text_probabilities([x.encode("utf-8") for x in some.iloc[at : at + 500]], net)
+            for group in _together(x.encode("utf-8") for x in some):
+                part = text_probabilities(group, net)
                 best += [net.languages[k] for k in part.argmax(axis=1)]
                 scores += part.max(axis=1).tolist()
             yield pd.DataFrame({"lang": best, "score": np.clip(scores, 0.0, 1.0)})
