@@ -32,6 +32,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -175,12 +176,18 @@ def _train_round(part: DataFrame, kinds: Broadcast, start: Broadcast, trainers:
     while lanes > 1:
         rows = _summed(rows).withColumn("lane", F.floor(F.col("lane") / LANE).cast("int"))
         lanes = -(-lanes // LANE)
-    found = _summed(rows).orderBy("slice").collect()
-    if not found:
+    found = _summed(rows).toArrow()
+    if not len(found):
         return None
-    means = [np.frombuffer(r.weights, np.float32).reshape(SLICE, -1) / np.float32(r.tokens) for r in found]
-    both = np.concatenate(means)
-    return Weights(start.value.bias, np.ascontiguousarray(both[:, :-1]), np.ascontiguousarray(both[:, -1]))
+    # Slice by slice into their places, so that the weights are held once.
+    bias, table, seen = start.value
+    mean = Weights(bias, np.empty_like(table), np.empty_like(seen))
+    for batch in found.to_batches():
+        for at, tokens, raw in zip(*(batch.column(c) for c in ("slice", "tokens", "weights"))):
+            both = np.frombuffer(raw.as_buffer(), np.float32).reshape(SLICE, -1) / np.float32(tokens.as_py())
+            mean.table[at.as_py() : at.as_py() + SLICE] = both[:, :-1]
+            mean.seen[at.as_py() : at.as_py() + SLICE] = both[:, -1]
+    return mean
 
 
 def train(
@@ -195,9 +202,18 @@ def train(
         start = context.broadcast(weights)
         part = learned.where(F.col("round") == number).select("content")
         weights = _train_round(part, shared, start, trainers) or weights
+        # Nothing reads the weights of a finished round again.
+        start.destroy()
     return weights
 
 
+def heavy_words(counts: DataFrame) -> tuple[pa.Array, np.ndarray]:
+    """Words and their counts, as Arrow and numpy hold them; the last count, -1, is that of no word."""
+    found = counts.select("word", "n").toArrow().combine_chunks()
+    words = found.column("word").combine_chunks() if len(found) else pa.array([], pa.binary())
+    return words.cast(pa.binary()), np.append(found.column("n").to_numpy().astype(np.int64), -1)
+
+
 def _scores(rows: DataFrame, kinds: Broadcast, weights: Broadcast, heavy: Broadcast, sizes: np.ndarray) -> DataFrame:
     """Of each row its tokens, what the heavy words add, the class scores, and its other words."""
     log_sizes = np.log10(sizes)
@@ -205,6 +221,7 @@ def _scores(rows: DataFrame, kinds: Broadcast, weights: Broadcast, heavy: Broadc
     types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields if f.name in kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        heavy_words, heavy_counts = heavy.value
         for batch in batches:
             n = len(batch)
             tokens, known = np.zeros(n, np.int64), np.zeros(n, np.int64)
@@ -214,7 +231,8 @@ def _scores(rows: DataFrame, kinds: Broadcast, weights: Broadcast, heavy: Broadc
                 some = maxent.batch_of(groups, kinds.value, len(weights.value.table), before)
                 owner = np.repeat(np.array(places), some.lengths)
                 by_text = maxent.log10_class(weights.value, some) - log_sizes[some.classes]
-                counts = np.array([heavy.value.get(w, -1) for w in some.words], np.int64)[some.token]
+                at = pc.index_in(pa.array(some.words, pa.binary()), heavy_words).fill_null(-1).to_numpy()
+                counts = heavy_counts[at][some.token]
                 is_heavy = counts >= 0
                 tokens += np.bincount(owner, minlength=n)
                 classes += np.bincount(owner, by_text, n)
@@ -259,7 +277,7 @@ def score_texts(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     weights = train(learned, kinds, sizes, total, maxent.buckets_for(distinct))
 
     is_heavy = (F.col("n") * HEAVY >= total) & (F.octet_length("word") <= HEAVY_BYTES)
-    heavy = context.broadcast({bytes(r.word): r.n for r in counts.where(is_heavy).collect()})
+    heavy = context.broadcast(heavy_words(counts.where(is_heavy)))
     rows = docs.select(
         F.col(id).alias("doc_id"),
         held_out(id).alias("held_out"),
