@@ -4,6 +4,7 @@ import datetime as dt
 import gzip
 import os
 import random
+import time
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
@@ -34,6 +35,7 @@ from tickloom.sources import (
     read_topic,
     topic_reader_options,
 )
+from tickloom.sources import files
 from tests.oracle import rows_of
 
 ZONE = "Asia/Seoul"
@@ -679,3 +681,15 @@ def test_staged_table_is_gone_afterwards(spark):
         path = rows.inputFiles()[0].removeprefix("file://")
         assert rows.count() == 3 and os.path.exists(path)
     assert not os.path.exists(os.path.dirname(path))
+
+
+def test_a_path_is_searched_once_for_its_day_and_hour(spark):
+    """A long path without them took a search from each of its characters, for every line."""
+    paths = spark.range(20).select(F.repeat(F.lit("a/"), F.lit(30_000)).alias("path"))
+    start = time.perf_counter()
+    found = paths.select(F.regexp_extract("path", files.HOUR_NAME, 1), F.regexp_extract("path", files.DAY_DIRECTORY, 1))
+    assert set(map(tuple, found.collect())) == {("", "")}
+    assert time.perf_counter() - start < 10
+    twice = spark.range(1).select(F.lit("f:/dt=20240101/hh=01/x/dt=2024-01-02/hh_13.txt").alias("path"))
+    last = twice.select(F.regexp_extract("path", files.DAY_DIRECTORY, 1), F.regexp_extract("path", files.HOUR_NAME, 1))
+    assert tuple(last.first()) == ("2024-01-02", "13")
