@@ -12,6 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
+from tickloom import samples
 from tickloom.operators import day_range, day_slice
 from tickloom.plans.jobs import daily_load, hourly_batch, land_hour, load_batch
 from tickloom.scratch import fresh_path, scratch_root, staged
@@ -693,3 +694,26 @@ def test_a_path_is_searched_once_for_its_day_and_hour(spark):
     twice = spark.range(1).select(F.lit("f:/dt=20240101/hh=01/x/dt=2024-01-02/hh_13.txt").alias("path"))
     last = twice.select(F.regexp_extract("path", files.DAY_DIRECTORY, 1), F.regexp_extract("path", files.HOUR_NAME, 1))
     assert tuple(last.first()) == ("2024-01-02", "13")
+
+
+def test_sample_documents_are_a_file_each(spark):
+    """As Spark's writer leaves them, nulls too, without a process and a sum for each file."""
+    rows = [(f"{{{i} é\r\n}}" if i % 7 else None, None if i % 5 == 0 else "20240101", None if i % 11 == 0 else f"{i % 3:02d}")
+            for i in range(500)]
+    docs = spark.createDataFrame([*rows, *rows[:20]], "value string, dt string, hh string")
+    own, plain = fresh_path(spark, "small"), fresh_path(spark, "small")
+    for _ in range(2):
+        samples._write_each(docs, own)
+    docs.repartition(3).write.option("maxRecordsPerFile", 1).partitionBy("dt", "hh").text(plain)
+
+    def held(root):
+        found = []
+        for folder, _, names in os.walk(root.removeprefix("file://")):
+            for name in names:
+                if name[0] not in "._":
+                    with open(f"{folder}/{name}", "rb") as file:
+                        found.append((folder.split("/dt=")[1], file.read()))
+        return sorted(found)
+
+    assert held(own) == held(plain) and len(held(own)) == 520
+    assert not any(name.endswith(".crc") for _, _, names in os.walk(own.removeprefix("file://")) for name in names)
