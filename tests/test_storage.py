@@ -696,6 +696,44 @@ def test_a_path_is_searched_once_for_its_day_and_hour(spark):
     assert tuple(last.first()) == ("2024-01-02", "13")
 
 
+def test_small_files_are_read_as_they_are_packed_or_not(spark):
+    root = fresh_path(spark, "small")
+    folder = f"{root.removeprefix('file://')}/dt=20240101/hh=03"
+    os.makedirs(folder)
+    plain = {"a.txt": b"x\xff\r\ny\n", "b": b"\xef\xbb\xbf{}", "long.json": b"q" * 100_000, "empty": b"", "_no": b"-", ".no": b"-"}
+    for name, data in plain.items():
+        with open(f"{folder}/{name}", "wb") as out:
+            out.write(data)
+
+    def values():
+        rows = read_documents(spark, root).select(F.col("value").cast("binary"), "dt", "hh").collect()
+        assert {(str(r.dt), r.hh) for r in rows} == {("2024-01-01", "03")}
+        return sorted(bytes(r.value) for r in rows)
+
+    whole = [plain["long.json"], plain["a.txt"], plain["b"]]
+    assert values() == sorted(whole)
+    assert "binaryFile" in read_documents(spark, root)._jdf.queryExecution().executedPlan().toString()
+    with gzip.open(f"{folder}/g.txt.gz", "wb") as out:
+        out.write(b"{ packed }\r\n")
+    assert values() == sorted([*whole, b"{ packed }\r\n"])
+    compact_small_files(spark, root, f"{root}-lines")
+    assert read_snapshots(spark, f"{root}-lines").where("value = '{packed}'").count() == 1
+    assert read_snapshots(spark, f"{root}-lines").count() == 4
+
+
+def test_compaction_reads_many_small_files_in_a_task(spark):
+    src = fresh_path(spark, "small")
+    docs = spark.range(600).selectExpr("string(id) as value", "'20240101' as dt", "lpad(id % 3, 2, '0') as hh")
+    docs.repartition(8).write.option("maxRecordsPerFile", 1).partitionBy("dt", "hh").text(src)
+    before = spark.conf.get(layout.OPEN_COST)
+    reader = layout.crowded(spark)
+    listed, docs = files.read_folders(reader, src, files.hour_folders(spark, src))
+    assert listed.count() == docs.select("path").distinct().count() == 600
+    assert docs.rdd.getNumPartitions() <= 9 < read_documents(spark, src).rdd.getNumPartitions()
+    assert spark.conf.get(layout.OPEN_COST) == before
+    assert layout.crowded(reader) is reader
+
+
 def test_sample_documents_are_a_file_each(spark):
     """As Spark's writer leaves them, nulls too, without a process and a sum for each file."""
     rows = [(f"{{{i} é\r\n}}" if i % 7 else None, None if i % 5 == 0 else "20240101", None if i % 11 == 0 else f"{i % 3:02d}")
