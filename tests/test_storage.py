@@ -755,3 +755,19 @@ def test_sample_documents_are_a_file_each(spark):
 
     assert held(own) == held(plain) and len(held(own)) == 520
     assert not any(name.endswith(".crc") for _, _, names in os.walk(own.removeprefix("file://")) for name in names)
+
+
+def test_many_folders_are_listed_in_parts(spark, monkeypatch):
+    root = fresh_path(spark, "small")
+    rows = spark.range(90).selectExpr("string(id) as value", "'2024010' || id % 3 as dt", "'0' || id % 5 as hh")
+    rows.where("dt > '20240100'").write.option("maxRecordsPerFile", 1).partitionBy("dt", "hh").text(root)
+    found = []
+    for at_once in (240, 4):
+        monkeypatch.setattr(files, "FOLDERS_AT_ONCE", at_once)
+        docs, listed = read_documents(spark, root), files.list_documents(spark, root)
+        found.append((rows_of(docs.columns, docs.collect()), rows_of(listed.columns, listed.collect())))
+        assert docs.count() == listed.count() == 60
+        assert read_documents(spark, root, "2024-01-01", until="2024-01-04").count() == 60
+        assert read_documents(spark, root, "2024-01-02", 3).count() == 6
+        assert docs._jdf.queryExecution().executedPlan().toString().count("FileScan") == (1 if at_once > 10 else 3)
+    assert found[0] == found[1]
