@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.helpers import AWKWARD, SF_DIR, awkward, empty, words
@@ -134,3 +135,95 @@ def test_context_goes_on_over_the_border_of_a_segment(monkeypatch):
     assert places == [0] * 6 + [1] and parts.lengths.tolist() == [len(g) for g in groups]
     assert (parts.buckets == whole.buckets).all() and (parts.classes == whole.classes).all()
     assert [parts.words[t] for t in parts.token] == [whole.words[t] for t in whole.token]
+
+
+def test_a_task_sends_one_sum_of_its_trainers(spark):
+    """Two trainers in a task end with the mean that they have in tasks of their own."""
+    texts = ["the old man sang to me " * 50_000, "der alte mann sang w1 w2 " * 50_000]
+    docs = spark.createDataFrame([(t,) for t in texts], "content string").coalesce(1)
+    kinds = maxent.classes_of([b"the", b"der"], [b"ang"])
+    shared, start = (spark.sparkContext.broadcast(x) for x in (kinds, maxent.no_weights(np.ones(maxent.CLASSES))))
+    groups = list(lm_score._segments(texts))
+    assert [places for places, _, _ in groups] == [[0, 0], [1, 1]]
+    got = lm_score._train_round(docs, shared, start, 1, 300_000)
+    ends, sizes = [], []
+    for _, words_, before in groups:
+        own, batch = maxent.no_weights(np.ones(maxent.CLASSES)), maxent.batch_of(words_, kinds, before=before)
+        maxent.learn(own, batch)
+        ends.append(own)
+        sizes.append(len(batch.token))
+    assert np.abs(ends[0].table - ends[1].table).max() > 0.1
+    for name in ("table", "seen"):
+        mean = sum(n * getattr(w, name) for n, w in zip(sizes, ends)) / sum(sizes)
+        assert getattr(got, name) == pytest.approx(mean, rel=1e-4, abs=1e-4)
+
+
+def test_what_trainers_exchange_grows_with_their_tokens_only(spark, monkeypatch):
+    """Tables of weights that are sent: one for two trainers, so fewer than trainers."""
+    asked = []
+    monkeypatch.setattr(lm_score, "_train_round", lambda part, kinds, start, tasks, turn=None: asked.append((tasks, turn)))
+    learned = spark.createDataFrame([("a", 0)], "content string, round int")
+    most = lm_score.TRAINER_TOKENS
+    for trainers in (1, 2, 7, 100):
+        kinds, sizes = maxent.classes_of([], []), np.ones(maxent.CLASSES)
+        lm_score.train(learned, kinds, sizes, trainers * most * lm_score.ROUNDS)
+    tasks, turns = zip(*asked[:: lm_score.ROUNDS])
+    assert tasks == (1, 1, 3, 50)
+    # No trainer reads fewer tokens than it is meant to.
+    assert turns[0] == math.inf and all(t >= most for t in turns[1:])
+
+
+def test_a_step_moves_buckets_by_the_plain_gradient(monkeypatch):
+    monkeypatch.setattr(maxent, "OFTEN", 3)
+    texts = [maxent.words_of("the cat sat on the mat and the cat ran " * k) for k in (1, 2, 9)]
+    kinds = maxent.classes_of([b"the", b"cat"], [b"and"])
+    batch = maxent.batch_of(texts, kinds)
+    weights = maxent.no_weights(np.bincount(batch.classes, minlength=maxent.CLASSES) + 0.5)
+    maxent.learn(weights, batch)
+    table, seen = weights.table.copy(), weights.seen.copy()
+    error = maxent.shares(weights, batch.buckets).astype(np.float64)
+    error[np.arange(len(error)), batch.classes] -= 1
+    gradient = np.zeros(table.shape)
+    for row in batch.buckets:
+        np.add.at(gradient, row, error)
+    maxent.learn(weights, batch)
+    seen = seen + (gradient**2).sum(axis=1)
+    assert weights.seen == pytest.approx(seen, rel=1e-4, abs=1e-4)
+    want = table - gradient * (maxent.RATE / np.sqrt(seen + 1))[:, None]
+    assert weights.table == pytest.approx(want, rel=1e-4, abs=1e-5)
+
+
+def test_factors_score_as_weights_do():
+    texts = [maxent.words_of(x) for x in ["the cat sat on the mat", "der hund lag auf der matte", ""] * 20]
+    kinds = maxent.classes_of([b"the", b"der"], [b"cat"])
+    batch = maxent.batch_of(texts, kinds)
+    weights = maxent.no_weights(np.bincount(batch.classes, minlength=maxent.CLASSES) + 0.5)
+    for _ in range(20):
+        maxent.learn(weights, batch)
+    factors = maxent.for_scoring(weights)
+    assert isinstance(factors, maxent.Factors)
+    plain = maxent.log10_class(weights, batch)
+    assert maxent.log10_class(factors, batch) == pytest.approx(plain, abs=1e-5)
+    # Products of larger weights would leave the range of 32 bits.
+    weights.table[batch.buckets[0, 0], 0] = 17
+    assert maxent.for_scoring(weights) is weights
+
+
+def test_classes_and_endings_of_many_words_as_of_one():
+    found = [b"the", b"", b"...", b"thing!!", b"a!b", "straße".encode(), "漢字。".encode(), b"x" * 500, b"ng"]
+    kinds = maxent.classes_of([b"the", b"..."], [b"ing", b"", "字".encode()])
+    words_ = pa.array(found, pa.large_binary())
+    assert maxent.endings_of(words_).to_pylist() == [maxent.ending_of(w) for w in found]
+    assert kinds.of_all(words_).tolist() == [kinds.of(w) for w in found]
+
+
+def test_words_are_counted_as_they_are_split(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "TEXTS_AT_ONCE", 3)
+    monkeypatch.setattr(lm_score, "COUNTED_AT_ONCE", 40)
+    texts = ["A b\x0bc\x1cd\x85e F g", "", " \t", "İx ÄB ﬁ I", "one two " * 50, "x\r\ny\x0cz\x00 q"] * 5
+    docs = spark.createDataFrame([(t,) for t in texts], "content string").coalesce(1)
+    want = Counter(w for t in texts for w in maxent.words_of(t))
+    runs = list(lm_score._runs(pa.array(texts, pa.string())))
+    assert [len(r) for r in runs] == [3] * 10
+    assert Counter(w for r in runs for w in lm_score._words(r).to_pylist()) == want
+    assert {bytes(r.word): r.n for r in lm_score.word_counts(docs).collect()} == want

@@ -9,7 +9,8 @@ all words, known or not, sum to one after any context.
 Words are counted over all texts that may be learned from. Training runs in rounds, each over its
 own part of the texts, so that every text is learned from once: trainers take gradient steps from
 the same weights, the weights they end with are averaged by tokens, and the next round starts from
-the mean. Averages are summed in lanes, so no task gets the weights of all trainers.
+the mean. Averages are summed in lanes, so no task gets the weights of all trainers. A task trains two of
+them one after the other and sends one sum of their weights, which halves what is exchanged.
 
 A word's count reaches the tokens in one of two ways. The words that make up a `1 / HEAVY` of all
 tokens or more, `HEAVY` words at most and short, are sent to every task. All others are joined by
@@ -26,11 +27,10 @@ words of one class.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
@@ -47,10 +47,14 @@ FOLDS, HELD_OUT = 5, 1
 HEAVY, HEAVY_BYTES = 1 << 20, 64
 #: A trainer's tokens: so many, and so many for each bucket if the buckets are many.
 ROUNDS, TRAINER_TOKENS, BUCKET_TOKENS = 3, 5_000_000, 40
+#: Trainers that a task runs, one after the other.
+TRAINERS_A_TASK = 2
 #: Words of a segment, and tokens that are worked on together.
 SEGMENT, TOKENS_AT_ONCE = 200_000, 300_000
-#: Distinct words that a counting task holds.
-COUNTED_AT_ONCE = 400_000
+#: Words, repeats included, that a counting task holds.
+COUNTED_AT_ONCE = 4_000_000
+#: Texts that are split together when words are counted; their bytes if there are more than one, and those held.
+TEXTS_AT_ONCE, BYTES_AT_ONCE = 1_000, 1 << 26
 #: Buckets in one row of exchanged weights, and trainers whose rows one lane sums.
 SLICE, LANE = 128, 64
 
@@ -76,23 +80,45 @@ def _segments(texts: Iterator[str]) -> Iterator[tuple[list[int], list[list[bytes
         yield places, groups, before
 
 
+def _runs(texts: pa.Array) -> Iterator[pa.Array]:
+    """Texts one after the other: TEXTS_AT_ONCE and BYTES_AT_ONCE at most, or a single longer one."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        done = ends[at - 1] if at else 0
+        to = max(at + 1, min(at + TEXTS_AT_ONCE, int(np.searchsorted(ends, done + BYTES_AT_ONCE, "right"))))
+        # Copies, for pyarrow's kernels on text misread some slices.
+        yield texts.take(pa.array(np.arange(at, to)))
+        at = to
+
+
+def _words(texts: pa.Array) -> pa.Array:
+    """The words of the texts, as `maxent.words_of` finds them, and an end for each text."""
+    # These kernels know ASCII letters and white space only.
+    words = pc.ascii_split_whitespace(pc.ascii_lower(texts)).flatten().view(pa.binary())
+    words = words.filter(pc.not_equal(words, pa.scalar(maxent.END, pa.binary())))
+    return pa.concat_arrays([words, pa.array([maxent.END] * len(texts), pa.binary())])
+
+
 def word_counts(learned: DataFrame) -> DataFrame:
     """word, n over all texts (`content`)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        held, waiting = [], 0
 
         def rows() -> pa.RecordBatch:
-            words, times = pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())
-            return pa.record_batch({"word": words, "n": times})
+            counts = pa.chunked_array(held, pa.binary()).value_counts()
+            held.clear()
+            return pa.record_batch({"word": counts.field("values"), "n": counts.field("counts")})
 
         for batch in batches:
-            for _, groups, _ in _segments(batch["content"].to_pylist()):
-                counts.update(chain.from_iterable(groups))
-                if len(counts) >= COUNTED_AT_ONCE:
+            for texts in _runs(batch["content"]):
+                held.append(_words(texts))
+                waiting += len(held[-1])
+                if waiting >= COUNTED_AT_ONCE or sum(x.nbytes for x in held) >= BYTES_AT_ONCE:
                     yield rows()
-                    counts.clear()
-        if counts:
+                    waiting = 0
+        if held:
             yield rows()
 
     partial = learned.mapInArrow(run, "word binary, n long")
@@ -106,7 +132,7 @@ def word_classes(counts: DataFrame) -> Classes:
 
     @F.pandas_udf("binary")
     def ending(words):
-        return words.map(maxent.ending_of)
+        return pd.Series(maxent.endings_of(pa.array(words, pa.large_binary())).to_numpy(zero_copy_only=False))
 
     other = counts.where((F.octet_length("word") > 0) & ~F.col("word").isin([bytearray(w) for w in top]))
     endings = other.groupBy(ending("word").alias("ending")).agg(F.sum("n").alias("n"))
@@ -119,7 +145,7 @@ def class_sizes(counts: DataFrame, kinds: Classes) -> np.ndarray:
 
     @F.pandas_udf("int")
     def kind(words):
-        return words.map(lambda w: kinds.of(bytes(w))).astype("int32")
+        return pd.Series(kinds.of_all(pa.array(words, pa.large_binary())))
 
     sizes = np.full(maxent.CLASSES, 0.5)
     of_class = counts.groupBy(kind("word").alias("kind")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v"))
@@ -150,29 +176,48 @@ _SLICE_COLUMNS = "slice int, lane int, tokens long, weights binary"
 _SLICES = pa.schema([("slice", pa.int32()), ("lane", pa.int32()), ("tokens", pa.int64()), ("weights", pa.binary())])
 
 
-def _train_round(part: DataFrame, kinds: Broadcast, start: Broadcast, trainers: int) -> Weights | None:
-    """The mean of the trainers' weights, or None if there was nothing to learn from."""
+def _train_round(
+    part: DataFrame, kinds: Broadcast, start: Broadcast, tasks: int, turn: float = np.inf
+) -> Weights | None:
+    """The mean of the trainers' weights, or None if there was nothing to learn from.
+
+    After `turn` tokens a task's next trainer takes over, the last of them keeps what is left.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         bias, table, seen = start.value
-        own = Weights(bias, table.copy(), seen.copy())
-        tokens, lane = 0, TaskContext.get().partitionId() // LANE
+        own, before_own = Weights(bias, table.copy(), seen.copy()), None
+        tokens, done, turns, lane = 0, 0, 1, TaskContext.get().partitionId() // LANE
+
+        def summed() -> Weights:
+            """What the trainers before this one, and this one, end with, each times its tokens."""
+            for values in (own.table, own.seen):
+                values *= np.float32(tokens)
+            if before_own:
+                np.add(own.table, before_own.table, out=own.table)
+                np.add(own.seen, before_own.seen, out=own.seen)
+            return own
+
         for batch in batches:
             for _, groups, before in _segments(batch["content"].to_pylist()):
+                if tokens >= turn and turns < TRAINERS_A_TASK:
+                    before_own, own = summed(), Weights(bias, table.copy(), seen.copy())
+                    tokens, done, turns = 0, done + tokens, turns + 1
                 some = maxent.batch_of(groups, kinds.value, len(table), before)
                 maxent.learn(own, some)
                 tokens += len(some.token)
         if not tokens:
             return
+        found, done = summed(), done + tokens
         for at in range(0, len(table), SLICE):
-            part = np.concatenate([own.table[at : at + SLICE], own.seen[at : at + SLICE, None]], axis=1)
-            row = {"slice": at, "lane": lane, "tokens": tokens, "weights": (part * np.float32(tokens)).tobytes()}
+            part = np.concatenate([found.table[at : at + SLICE], found.seen[at : at + SLICE, None]], axis=1)
+            row = {"slice": at, "lane": lane, "tokens": done, "weights": part.tobytes()}
             yield pa.RecordBatch.from_pylist([row], _SLICES)
 
-    rows = part.coalesce(trainers).mapInArrow(run, _SLICE_COLUMNS)
-    lanes = -(-trainers // LANE)
+    rows = part.coalesce(tasks).mapInArrow(run, _SLICE_COLUMNS)
+    lanes = -(-tasks // LANE)
     while lanes > 1:
         rows = _summed(rows).withColumn("lane", F.floor(F.col("lane") / LANE).cast("int"))
         lanes = -(-lanes // LANE)
@@ -198,10 +243,12 @@ def train(
     weights, shared = maxent.no_weights(sizes, buckets), context.broadcast(kinds)
     # What trainers exchange stays in proportion to what they read.
     trainers = max(1, round(tokens / ROUNDS / max(TRAINER_TOKENS, BUCKET_TOKENS * buckets)))
+    tasks = max(1, trainers // TRAINERS_A_TASK)
+    turn = tokens / ROUNDS / (tasks * TRAINERS_A_TASK) if trainers > 1 else np.inf
     for number in range(ROUNDS):
         start = context.broadcast(weights)
         part = learned.where(F.col("round") == number).select("content")
-        weights = _train_round(part, shared, start, trainers) or weights
+        weights = _train_round(part, shared, start, tasks, turn) or weights
         # Nothing reads the weights of a finished round again.
         start.destroy()
     return weights
@@ -231,7 +278,8 @@ def _scores(rows: DataFrame, kinds: Broadcast, weights: Broadcast, heavy: Broadc
                 some = maxent.batch_of(groups, kinds.value, len(weights.value.table), before)
                 owner = np.repeat(np.array(places), some.lengths)
                 by_text = maxent.log10_class(weights.value, some) - log_sizes[some.classes]
-                at = pc.index_in(pa.array(some.words, pa.binary()), heavy_words).fill_null(-1).to_numpy()
+                distinct = pa.array(some.words, pa.binary())
+                at = pc.index_in(distinct, heavy_words).fill_null(-1).to_numpy()
                 counts = heavy_counts[at][some.token]
                 is_heavy = counts >= 0
                 tokens += np.bincount(owner, minlength=n)
@@ -241,7 +289,7 @@ def _scores(rows: DataFrame, kinds: Broadcast, weights: Broadcast, heavy: Broadc
                 pairs, times = np.unique(
                     owner[~is_heavy].astype(np.int64) * len(some.words) + some.token[~is_heavy], return_counts=True
                 )
-                words = pa.array(some.words, pa.binary()).take(pa.array(pairs % max(len(some.words), 1)))
+                words = distinct.take(pa.array(pairs % max(len(some.words), 1)))
                 found.append((pairs // max(len(some.words), 1), words, times))
             place = np.concatenate([np.zeros(0, np.int64), *(x[0] for x in found)])
             words = pa.concat_arrays([pa.array([], pa.binary()), *(x[1] for x in found)])
@@ -284,7 +332,7 @@ def score_texts(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
         F.monotonically_increasing_id().alias("row"),
         text_or_empty(text).alias("content"),
     )
-    scored = written(_scores(rows, context.broadcast(kinds), context.broadcast(weights), heavy, sizes), "scores")
+    scored = written(_scores(rows, context.broadcast(kinds), context.broadcast(maxent.for_scoring(weights)), heavy, sizes), "scores")
     other = scored.select("row", F.inline("others")).join(counts.where(~is_heavy), "word", "left")
     n = F.coalesce("n", F.lit(0))
     sums = other.groupBy("row").agg(

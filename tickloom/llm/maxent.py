@@ -7,6 +7,8 @@ from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: The end of a text is a word without letters.
 END = b""
@@ -22,6 +24,10 @@ LEAST_BUCKETS, MOST_BUCKETS, WORDS_A_BUCKET = 1 << 13, 1 << 18, 32
 REACH = 3
 #: Tokens of a gradient step, and the step's size.
 STEP_TOKENS, RATE = 8192, 1.0
+#: Buckets that occur more often in a step are summed one by one.
+OFTEN = 32
+#: Sums of weights up to this have exponentials, and these inverses, that 32 bits hold.
+LARGEST_SUM = 80
 _BEFORE = 0x9E3779B1  # stands for words before the text
 _SIGNS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _MIX = np.array([0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F, 0x165667B1, 0x9E3779B1], np.uint32)
@@ -40,6 +46,13 @@ def ending_of(word: bytes) -> bytes:
     return word.rstrip(_SIGNS)[-ENDING:]
 
 
+def endings_of(words: pa.Array) -> pa.Array:
+    """The endings of many words (`large_binary`)."""
+    # Signs are ASCII and cut off as such; an ending is bytes and may begin within a character.
+    bare = pc.ascii_rtrim(words.view(pa.large_string()), characters=_SIGNS.decode()).view(pa.large_binary())
+    return pc.binary_slice(bare, -ENDING, None)
+
+
 class Classes(NamedTuple):
     """The class of every word there may be; END is class 0."""
 
@@ -55,6 +68,15 @@ class Classes(NamedTuple):
                 found = CLASSES - REST + zlib.crc32(ending) % REST
         return found
 
+    def of_all(self, words: pa.Array) -> np.ndarray:
+        """The classes of many words (`large_binary`): each distinct ending is looked up once."""
+        coded = endings_of(words).dictionary_encode()
+        endings = coded.dictionary.to_pylist()
+        of_ending = [self.endings.get(e, CLASSES - REST + zlib.crc32(e) % REST) for e in endings]
+        out = np.array(of_ending, np.int32)[coded.indices.to_numpy()]
+        own = pc.index_in(words, pa.array(list(self.words), pa.large_binary())).fill_null(-1).to_numpy()
+        return np.where(own < 0, out, np.array(list(self.words.values()), np.int32)[own])
+
 
 def classes_of(top_words: list[bytes], top_endings: list[bytes]) -> Classes:
     words = {w: 1 + i for i, w in enumerate(top_words[:TOP_WORDS])}
@@ -85,7 +107,7 @@ def no_weights(sizes: np.ndarray, buckets: int = LEAST_BUCKETS) -> Weights:
 class Batch(NamedTuple):
     """Texts one after the other: their distinct words, and for each token its word, class, features."""
 
-    words: list[bytes]
+    words: np.ndarray  # of bytes
     token: np.ndarray
     classes: np.ndarray
     buckets: np.ndarray  # (FEATURES, tokens)
@@ -101,12 +123,11 @@ def batch_of(
         own = np.concatenate([np.arange(len(b) + len(x)) >= len(b) for b, x in zip(before, split)])
         split = [b + x if b else x for b, x in zip(before, split)]
     lengths = np.array([len(x) for x in split], np.int64)
-    flat = list(chain.from_iterable(split))
-    number = {w: i for i, w in enumerate(dict.fromkeys(flat))}
-    words = list(number)
-    token = np.fromiter(map(number.__getitem__, flat), np.int32, len(flat))
+    flat = pa.array(list(chain.from_iterable(split)), pa.large_binary())
+    coded = flat.dictionary_encode()
+    words, token = coded.dictionary.to_numpy(zero_copy_only=False), coded.indices.to_numpy()
     hashes = np.fromiter(map(zlib.crc32, words), np.uint32, len(words))[token]
-    classes = np.fromiter(map(kinds.of, words), np.int32, len(words))[token]
+    classes = kinds.of_all(coded.dictionary)[token]
     place = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
 
     def earlier(x: np.ndarray, by: int, outside: int) -> np.ndarray:
@@ -150,31 +171,79 @@ def shares(weights: Weights, buckets: np.ndarray) -> np.ndarray:
     return out
 
 
-def log10_class(weights: Weights, batch: Batch) -> np.ndarray:
+class Factors(NamedTuple):
+    """Weights as what they multiply a class's odds by: scoring then takes no exponentials."""
+
+    bias: np.ndarray
+    table: np.ndarray
+
+
+def for_scoring(weights: Weights) -> Weights | Factors:
+    """Factors, unless the weights are so large that a product of them may leave the range of its type."""
+    if np.abs(weights.table).max(initial=0) * FEATURES > LARGEST_SUM:
+        return weights
+    return Factors(weights.bias, np.exp(weights.table))
+
+
+def log10_class(weights: Weights | Factors, batch: Batch) -> np.ndarray:
     """Of each token, log10 of its class's probability after what stands before it."""
     out = np.empty(len(batch.token))
     for at in range(0, len(out), STEP_TOKENS):
         part = slice(at, at + STEP_TOKENS)
-        logits = _sums(weights, batch.buckets[:, part])
-        chosen = logits[np.arange(len(logits)), batch.classes[part]].astype(np.float64)
-        out[part] = chosen - np.log(np.exp(logits, out=logits).sum(axis=1))
+        buckets, classes = batch.buckets[:, part], batch.classes[part]
+        if isinstance(weights, Factors):
+            odds = weights.table.take(buckets[0], axis=0)
+            for row in buckets[1:]:
+                odds *= weights.table.take(row, axis=0)
+            chosen = np.log(odds[np.arange(len(odds)), classes].astype(np.float64)) + weights.bias[classes]
+            out[part] = chosen - np.log(odds @ np.exp(weights.bias))
+        else:
+            logits = _sums(weights, buckets)
+            chosen = logits[np.arange(len(logits)), classes].astype(np.float64)
+            out[part] = chosen - np.log(np.exp(logits, out=logits).sum(axis=1))
     return out / np.log(10)
 
 
+def _distinct(buckets: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct buckets, most frequent first; how often each occurs, the tokens ordered by bucket, and
+    the place of each (feature, token) among the distinct buckets."""
+    flat = buckets.reshape(-1)
+    counts = np.bincount(flat, minlength=most)
+    touched = np.flatnonzero(counts)
+    # numpy sorts numbers of 16 bits by their digits.
+    small = np.uint16 if len(flat) <= 1 << 16 else np.uint32
+    touched = touched[np.argsort((len(flat) - counts[touched]).astype(small), kind="stable")]
+    rank = np.empty(most, small)
+    rank[touched] = np.arange(len(touched))
+    place = rank[flat]
+    return touched, counts[touched], place.argsort(kind="stable") % buckets.shape[1], place.reshape(buckets.shape)
+
+
+def _gradient(error: np.ndarray, times: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """Of each distinct bucket, as `_distinct` orders them, the sum of its tokens' errors."""
+    starts = np.cumsum(times) - times
+    out = error.take(tokens[starts], axis=0)
+    # Buckets that occur often one by one, all others at once: their second tokens, their third and so on.
+    often = int(np.count_nonzero(times > OFTEN))
+    for k in range(often):
+        out[k] = error.take(tokens[starts[k] : starts[k] + times[k]], axis=0).sum(axis=0, dtype=np.float64)
+    for k in range(1, OFTEN):
+        more = int(np.count_nonzero(times > k))
+        out[often:more] += error.take(tokens[starts[often:more] + k], axis=0)
+    return out
+
+
 def learn(weights: Weights, batch: Batch) -> None:
     """Gradient steps over the batch, in place; each feature's rate falls with what it has seen."""
     for at in range(0, len(batch.token), STEP_TOKENS):
         part = slice(at, at + STEP_TOKENS)
-        buckets = batch.buckets[:, part]
-        error = shares(weights, buckets)
-        n = len(error)
-        error[np.arange(n), batch.classes[part]] -= 1
-        # Only the buckets of these tokens move.
-        touched, place = np.unique(buckets.reshape(-1), return_inverse=True)
-        each = np.ascontiguousarray(error.T)
-        gradient = np.empty((CLASSES, len(touched)), np.float32)
-        for k in range(CLASSES):
-            gradient[k] = np.bincount(place, np.tile(each[k], FEATURES), len(touched))
-        weights.seen[touched] += np.einsum("ij,ij->j", gradient, gradient)
-        gradient *= RATE / np.sqrt(weights.seen[touched] + 1.0)
-        weights.table[touched] -= gradient.T
+        # Only the buckets of these tokens move, and they are fetched once.
+        touched, times, tokens, place = _distinct(batch.buckets[:, part], len(weights.table))
+        own = Weights(weights.bias, weights.table.take(touched, axis=0), weights.seen[touched])
+        error = shares(own, place)
+        error[np.arange(len(error)), batch.classes[part]] -= 1
+        gradient = _gradient(error, times, tokens)
+        seen = own.seen + np.einsum("ij,ij->i", gradient, gradient)
+        gradient *= (RATE / np.sqrt(seen + 1.0))[:, None]
+        weights.seen[touched] = seen
+        weights.table[touched] = np.subtract(own.table, gradient, out=gradient)
