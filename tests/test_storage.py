@@ -771,3 +771,79 @@ def test_many_folders_are_listed_in_parts(spark, monkeypatch):
         assert read_documents(spark, root, "2024-01-02", 3).count() == 6
         assert docs._jdf.queryExecution().executedPlan().toString().count("FileScan") == (1 if at_once > 10 else 3)
     assert found[0] == found[1]
+
+
+def plain_files(spark, count, folders=30):
+    """Small files as a feed leaves them, without sums; gives their root and what a scan finds of them."""
+    root = fresh_path(spark, "small")
+    found = []
+    for i in range(count):
+        day, hour = f"202401{i % folders // 24 + 1:02d}", f"{i % folders % 24:02d}"
+        below = f"{root.removeprefix('file://')}/dt={day}/hh={hour}" + ("/deeper" if i % 17 == 0 else "")
+        os.makedirs(below, exist_ok=True)
+        data = f"{{ {i} é\r\n}}".encode() + (b"\xff" if i % 13 == 0 else b"")
+        with open(f"{below}/a {i}%20.txt", "wb") as out:
+            out.write(data)
+        found.append((f"{below}/a {i}%20.txt", data, f"{day[:4]}-{day[4:6]}-{day[6:]}", hour))
+        for name, held in ((".hidden", b"-"), ("_no", b"-"), ("empty", b""), ("half._COPYING_", b"-")):
+            with open(f"{below}/{name}", "wb") as out:
+                out.write(held)
+    return root, sorted(found)
+
+
+def read_values(docs):
+    rows = docs.select(F.col("value").cast("binary"), "dt", "hh").collect()
+    return sorted((bytes(r.value), str(r.dt), r.hh) for r in rows)
+
+
+def names_on_the_driver(df):
+    """Files that the plan's scans hold in their index on the driver."""
+    return [name for name in df.inputFiles() if "/dt=" in name]
+
+
+def test_many_small_files_are_listed_and_read_off_the_driver(spark, any_planner, monkeypatch):
+    root, found = plain_files(spark, 300)
+    docs, listed = read_documents(spark, root), files.list_documents(spark, root)
+    assert names_on_the_driver(docs) == names_on_the_driver(listed) == []
+    assert read_values(docs) == sorted((data, day, hour) for _, data, day, hour in found)
+    rows = sorted((r.path.removeprefix("file:"), r.size, str(r.dt), r.hh) for r in listed.collect())
+    assert rows == [(path, len(data), day, hour) for path, data, day, hour in found]
+    monkeypatch.setattr(files, "BATCH_BYTES", 20)
+    monkeypatch.setattr(files, "BATCH_FILES", 7)
+    assert read_values(read_documents(spark, root)) == sorted((data, day, hour) for _, data, day, hour in found)
+    assert read_documents(spark, root, "2024-01-01", until="2028-01-01").count() == 300
+    assert read_documents(spark, root, "2024-01-02", until="2028-01-01").count() == 60
+
+
+@pytest.mark.parametrize("reason", ["store", "packed", "sum"])
+def test_what_tasks_cannot_read_goes_through_the_index_in_parts(spark, monkeypatch, reason):
+    root, found = plain_files(spark, 120)
+    found = [(data, day, hour) for _, data, day, hour in found]
+    folder = f"{root.removeprefix('file://')}/dt=20240101/hh=03"
+    if reason == "store":
+        monkeypatch.setattr(files, "is_mounted", lambda spark, root: False)
+    elif reason == "packed":
+        with gzip.open(f"{folder}/g.txt.gz", "wb") as out:
+            out.write(b"packed")
+        found.append((b"packed", "2024-01-01", "03"))
+    else:
+        spark.createDataFrame([("summed",)], "value string").write.mode("append").text(folder)
+        found.append((b"summed\n", "2024-01-01", "03"))
+    monkeypatch.setattr(files, "INDEXED_FILES", 20)
+    sizes = []
+    scanned = files.read_folders
+    monkeypatch.setattr(files, "read_folders", lambda spark, root, part: sizes.append(len(part)) or scanned(spark, root, part))
+    docs = read_documents(spark, root)
+    assert read_values(docs) == sorted(found) and names_on_the_driver(docs) == []
+    assert sizes[0] == files.INDEXED_AT_ONCE and sum(sizes) == 30 and sizes[1] <= 6
+    assert files.list_documents(spark, root).count() == len(found)
+
+
+def test_a_file_that_is_gone_fails_the_read(spark):
+    root, _ = plain_files(spark, 60)
+    docs = read_documents(spark, root)
+    for folder, _, names in os.walk(f"{root.removeprefix('file://')}/dt=20240102"):
+        for name in names:
+            os.rename(f"{folder}/{name}", f"{folder}/.{name}")
+    with pytest.raises(Exception, match="FileNotFound"):
+        docs.collect()
