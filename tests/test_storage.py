@@ -839,6 +839,21 @@ def test_what_tasks_cannot_read_goes_through_the_index_in_parts(spark, monkeypat
     assert files.list_documents(spark, root).count() == len(found)
 
 
+def test_compaction_lists_and_reads_off_the_driver(spark, any_planner, monkeypatch):
+    root, found = plain_files(spark, 200)
+
+    def indexed(*args):
+        raise AssertionError("the files went through the driver")
+
+    monkeypatch.setattr(files, "_files", indexed)
+    for _ in range(2):
+        compact_small_files(spark, root, f"{root}-lines")
+    lines = read_snapshots(spark, f"{root}-lines").select(F.col("value").cast("binary"), "dt", "landed").collect()
+    text = [data.decode(errors="replace").translate({10: None, 13: None, 32: None}).encode() for _, data, _, _ in found]
+    whole = [(line, day, int(hour)) for line, (_, _, day, hour) in zip(text, found)]
+    assert sorted((bytes(r.value), str(r.dt), r.landed) for r in lines) == sorted(whole)
+
+
 def test_a_file_that_is_gone_fails_the_read(spark):
     root, _ = plain_files(spark, 60)
     docs = read_documents(spark, root)
